@@ -36,8 +36,8 @@ def event_time(epoch_s: Column) -> Column:
 
 
 def bytes_to_text(df: DataFrame) -> DataFrame:
-    """Every binary column as UTF-8 text."""
+    """Every binary column as text. The bytes stay as they are, valid UTF-8 or not."""
     text = {
-        f.name: F.decode(F.col(f"`{f.name}`"), "UTF-8") for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)
+        f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)
     }
     return df.withColumns(text) if text else df

@@ -73,4 +73,4 @@ def rename_drop(df: DataFrame, rename: dict[str, str] | None = None, drop: Seque
     unknown = [c for c in wanted if c not in df.columns]
     if unknown:
         raise ValueError(f"no such columns: {', '.join(unknown)}")
-    return df.drop(*drop).withColumnsRenamed({k: v for k, v in (rename or {}).items() if k not in set(drop)})
+    return df.select(*(F.col(f"`{c}`").alias((rename or {}).get(c, c)) for c in df.columns if c not in set(drop)))

@@ -96,7 +96,8 @@ def open_transaction_gauge(events: DataFrame, slice_bytes: int = SLICE_BYTES) ->
     """After each event: open transactions and the row events they hold back.
 
     Only file, position and operation travel through the shuffles. Totals are
-    carried from slice to slice and from file to file.
+    carried from slice to slice and from file to file; the last step sees one row
+    per log file.
     """
     slim = events.select("binlog_file", "log_pos", "op").withColumn("_slice", slice_of("log_pos", slice_bytes))
     levels, order = [["_slice"]], ["log_pos"]

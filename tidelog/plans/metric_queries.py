@@ -239,14 +239,14 @@ def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "latency_ema",
-    """SELECT user_id, event_id, round(list_reduce(list(CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE value END) OVER w,
+    """SELECT user_id, event_id, round(list_reduce(list(CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE value / 7 END) OVER w,
       lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.1 * x + 0.9 * a END), 6) AS latency_ema
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""",
 )
 def smoothed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third write reports no latency."""
     writes = d.table(spark, sf_dir, "events").select(
-        "user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.lit(0.0)).otherwise(F.col("value")).alias("ms")
+        "user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.lit(0.0)).otherwise(F.col("value") / 7).alias("ms")
     )
     out = latency_ema(writes, ["user_id"], "event_id", "ms", slice_width=1000)
     return out.select("user_id", "event_id", F.round("latency_ema", 6).alias("latency_ema"))

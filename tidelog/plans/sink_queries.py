@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.model import CHANGE_ROW_SCHEMA, INSERT_ID
+from tidelog.model import CDC_TIMESTAMP, CHANGE_ROW_SCHEMA, INSERT_ID
 from tidelog.operators import positions as pos
 from tidelog.operators.images import after_images, explode_row_images, named_columns, route_event_kind, row_events
 from tidelog.operators.rows import generic_change_rows, typed_change_rows
@@ -212,21 +212,21 @@ def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_dedup", GTID_IMAGES + ROWS)
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every step of the log arrives a second time after the first has been read."""
+    """Every step of the log arrives a second time; the window is wider than a step."""
     log = d.landed_log(spark, sf_dir)
     path = new_path(spark, "twice")
     for first, last in d.step_bounds(log):
         for _ in range(2):
             d.land_step(log, path, first, last)
     rows = jobs.change_row_stream(stream_change_log(spark, path, max_files=d.FILES_PER_STEP))
-    return flat(drained(spark, stream_dedup(rows, "_cdc_timestamp", "3650 days", INSERT_ID)))
+    return flat(drained(spark, stream_dedup(rows, "_cdc_timestamp", "2 days", INSERT_ID)))
 
 
 @query("continuous_mode", GTID_IMAGES + ROWS)
 def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "stream")
     rows = jobs.change_row_stream(steps(spark, sf_dir))
-    running = jobs.start_continuous(rows, sinks.idempotent_sink(path, "a"), new_path(spark, "checkpoint"), 0.1)
+    running = jobs.start_continuous(rows, sinks.idempotent_sink(path, "a", prune=CDC_TIMESTAMP), new_path(spark, "checkpoint"), 0.1)
     try:
         running.processAllAvailable()
     finally:
@@ -253,7 +253,7 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(name: str, at: str) -> DataFrame:
         rows = jobs.change_row_stream(stream_change_log(spark, landed))
-        jobs.run_once(rows, sinks.idempotent_sink(path, name), at)
+        jobs.run_once(rows, sinks.idempotent_sink(path, name, prune=CDC_TIMESTAMP), at)
         return rows
 
     for first, last in d.step_bounds(log, 2):

@@ -57,17 +57,26 @@ def distinct_rows(rows: DataFrame, key: str = INSERT_ID) -> DataFrame:
     return rows.dropDuplicates([key])
 
 
-def new_rows(rows: DataFrame, target: DataFrame | None, key: str = INSERT_ID, prune: str | None = None) -> DataFrame:
+def new_rows(
+    rows: DataFrame,
+    target: DataFrame | None,
+    key: str = INSERT_ID,
+    prune: str | None = None,
+    bounds: tuple | None = None,
+) -> DataFrame:
     """Rows not yet in the target.
 
-    ``prune`` names a partition column of both sides: only the target partitions
-    between the lowest and highest value of ``rows`` are read.
+    ``prune`` names a column of both sides that is equal in every copy of a row,
+    such as the event time or a partition column: only the target's partitions
+    and row groups between the lowest and highest value of ``rows`` are read.
+    ``bounds`` gives these two values where they are known; else they take an
+    extra pass over ``rows``.
     """
     fresh = distinct_rows(rows, key)
     if target is None:
         return fresh
     if prune is not None:
-        low, high = rows.agg(F.min(prune), F.max(prune)).first()
+        low, high = bounds or rows.agg(F.min(prune), F.max(prune)).first()
         if low is None:
             return fresh
         target = target.where(F.col(prune).between(F.lit(low), F.lit(high)))
@@ -85,14 +94,18 @@ def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def idempotent_append(
-    rows: DataFrame, path: str, key: str = INSERT_ID, partition: Sequence[str] = (), prune: str | None = None
+    rows: DataFrame,
+    path: str,
+    key: str = INSERT_ID,
+    partition: Sequence[str] = (),
+    prune: str | None = None,
+    bounds: tuple | None = None,
 ) -> None:
     """Append only rows the target lacks; doing it again adds nothing.
 
     One writer at a time: a plain folder has no transactions.
     """
-    spark = rows.sparkSession
-    fresh = new_rows(rows, read_or_none(spark, path), key, prune)
+    fresh = new_rows(rows, read_or_none(rows.sparkSession, path), key, prune, bounds)
     writer = (even_out(fresh, *partition) if partition else fresh).write.mode("append")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 

@@ -18,9 +18,9 @@ def stream_change_log(
     path: str,
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """The same log as a stream; the limits bound a micro-batch."""
+    """The same log as a stream; files or bytes, not both, bound a micro-batch."""
     reader = spark.readStream.schema(CHANGE_LOG_SCHEMA).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

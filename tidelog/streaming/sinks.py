@@ -34,8 +34,9 @@ def idempotent_sink(path: str, run: str, key: str = INSERT_ID, prune: str | None
 
     Rows that any other batch holds are left out, so neither a restart nor a
     replay under a new checkpoint adds a row twice. ``run`` goes with the
-    checkpoint: a new checkpoint counts its batches from 0 again. ``prune`` limits
-    the look-up to the value range of that column in the batch.
+    checkpoint: a new checkpoint counts its batches from 0 again. ``prune`` names
+    a column that is equal in every copy of a row; the look-up is then limited to
+    its range in the batch. For log rows the event time is such a column.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -43,7 +44,13 @@ def idempotent_sink(path: str, run: str, key: str = INSERT_ID, prune: str | None
         others = read_batches(spark, path, batch.schema)
         if others is not None:
             others = others.where(~((F.col("run") == run) & (F.col("batch_id") == batch_id)))
-        new_rows(batch, others, key, prune).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+        if prune is not None:
+            batch = batch.persist()  # read for its range, then for its rows
+        try:
+            new_rows(batch, others, key, prune).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+        finally:
+            if prune is not None:
+                batch.unpersist()
 
     return write
 
