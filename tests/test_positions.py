@@ -87,3 +87,18 @@ def test_contains(spark):
     )
     got = {r.set_id: r.contained for r in pos.gtid_contains(outer, inner, "set_id", 4).collect()}
     assert got == {1: True, 2: False, 3: False, 4: True, 5: False}
+
+
+def test_lost_numbers_fall_back_to_the_position(spark, caplog):
+    log = log_of(spark, [("f", 100 + n, "u", n) for n in range(5, 12)] + [("f", 200, "v", 1)])
+    schema = "source_uuid string, lo bigint, hi bigint"
+    complete = spark.createDataFrame([("u", 1, 2), ("u", 3, 6)], schema)
+    assert pos.missing_sources(log, complete).count() == 0
+    assert sorted(r.log_pos for r in pos.resume_log(log, complete).collect()) == [107, 108, 109, 110, 111, 200]
+    gap = spark.createDataFrame([("u", 1, 3), ("u", 5, 6)], schema)
+    assert [r.source for r in pos.missing_sources(log, gap).collect()] == ["u"]
+    assert sorted(r.log_pos for r in pos.resume_log(log, gap, Position("f", 109)).collect()) == [110, 111, 200]
+    assert "lost numbers" in caplog.text
+    with pytest.raises(RuntimeError):
+        pos.resume_log(log, gap)
+    assert pos.resume_log(log, None, None, Position("f", 110)).count() == 2

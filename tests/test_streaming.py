@@ -114,3 +114,12 @@ def test_state_of_the_gate_stays_in_the_jvm(spark, tmp_path):
     query = jobs.run_once(rows, sinks.append_sink(out, "a"), str(tmp_path / "cp"))
     operators = [o["operatorName"] for o in json.loads(query.lastProgress.json)["stateOperators"]]
     assert operators == ["symmetricHashJoin"]
+
+
+def test_rows_are_counted_as_they_pass(spark, tmp_path):
+    landed = d.landed_steps(spark, SF_DIR)
+    rows = jobs.with_metrics(jobs.change_row_stream(stream_change_log(spark, landed, max_files=d.FILES_PER_STEP)))
+    query = jobs.run_once(rows, sinks.append_sink(str(tmp_path / "out"), "a"), str(tmp_path / "cp"))
+    totals = jobs.progress_totals(query)
+    assert totals["rows_processed"] == sinks.read_batches(spark, str(tmp_path / "out"), rows.schema).count() > 0
+    assert totals["batches_written"] >= 2 and totals["rows_per_second"] > 0 and totals["last_event_time"]

@@ -26,6 +26,11 @@ def txn_marker(kind: Column, query: Column) -> Column:
     )
 
 
+def is_marker(kind: Column, query: Column) -> Column:
+    """Transaction bounds as a filter on the log's own columns, which the scan can take."""
+    return (kind == "XID") | ((kind == "QUERY") & query.isin(*BEGIN_STATEMENTS, *COMMIT_STATEMENTS))
+
+
 def event_op(kind: Column, query: Column) -> Column:
     rule = F.when(F.lit(False), F.lit(None).cast("string"))
     for op, kinds in EVENT_KINDS.items():
@@ -40,10 +45,7 @@ def route_event_kind(log: DataFrame) -> DataFrame:
     """
     kind, query = F.col("kind"), F.col("query")
     kinds = [k for names in EVENT_KINDS.values() for k in names]
-    wanted = kind.isin(*kinds, "XID") | (
-        (kind == "QUERY") & query.isin(*BEGIN_STATEMENTS, *COMMIT_STATEMENTS)
-    )
-    return log.where(wanted).withColumn("op", event_op(kind, query))
+    return log.where(kind.isin(*kinds) | is_marker(kind, query)).withColumn("op", event_op(kind, query))
 
 
 def row_events(events: DataFrame) -> DataFrame:

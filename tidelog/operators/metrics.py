@@ -25,23 +25,34 @@ def position_text(binlog_file: Column, log_pos: Column) -> Column:
     return F.when(F.length(binlog_file) > 0, binlog_file).otherwise(log_pos.cast("string"))
 
 
-def _totals() -> list[Column]:
-    text = position_text(F.col("binlog_file"), F.col("log_pos"))
-    return [
-        F.count("*").alias("events_processed"),
-        F.coalesce(F.sum(F.size("rows")), F.lit(0)).cast("bigint").alias("rows_processed"),
-        F.timestamp_seconds(F.max("event_ts_s")).alias("last_event_time"),
-        F.max_by(text, F.struct("binlog_file", "log_pos")).alias("current_position"),
-    ]
+def _totals(row_events: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals per ``keys``, by way of totals per log file.
+
+    The first step has only numbers to add up, which keeps it a hash
+    aggregation; texts are compared on one row per file.
+    """
+    by_file = row_events.groupBy(*keys, "binlog_file").agg(
+        F.count("*").alias("_events"),
+        F.sum(F.size("rows")).alias("_rows"),
+        F.max("event_ts_s").alias("_ts"),
+        F.max("log_pos").alias("_pos"),
+    )
+    text = position_text(F.col("binlog_file"), F.col("_pos"))
+    return by_file.groupBy(*keys).agg(
+        F.coalesce(F.sum("_events"), F.lit(0)).alias("events_processed"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_processed"),
+        F.timestamp_seconds(F.max("_ts")).alias("last_event_time"),
+        F.max_by(text, F.struct("binlog_file", "_pos")).alias("current_position"),
+    )
 
 
 def global_totals(row_events: DataFrame) -> DataFrame:
-    return row_events.agg(*_totals())
+    return _totals(row_events, [])
 
 
 def table_totals(row_events: DataFrame) -> DataFrame:
     named = row_events.withColumn("table_name", F.concat_ws(".", "source_db", "source_table"))
-    return named.groupBy("table_name").agg(*_totals())
+    return _totals(named, ["table_name"])
 
 
 def throughput_rates(totals: DataFrame, elapsed_s: Column) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.model import Position
 from tidelog.operators.ordered import Running, running, slice_of
 from tidelog.session import broadcast_if_small
 
+_log = logging.getLogger(__name__)
+
 HIGH_WATER_SCHEMA = "save_no bigint, binlog_file string, log_pos bigint, saved_at_s bigint"
 # Sets with more intervals than this are matched by a sorted pass.
 BROADCAST_SPANS = 1_000
@@ -92,18 +96,35 @@ def starting_position(log: DataFrame, saved: Position | None, rule: str | Positi
 
 
 def merge_spans(spans: DataFrame, group: Sequence[str], slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
-    """Join intervals ``(lo, hi)`` that overlap or touch, per ``group``."""
+    """Join intervals ``(lo, hi)`` that overlap or touch, per ``group``.
+
+    Intervals are first joined within slices, where a long run of numbers
+    shrinks to one row, and what is left is joined across slices.
+    """
     keys = list(group)
     levels, order = [["_slice"]], ["lo", "hi"]
     sliced = spans.select(*keys, "lo", "hi").distinct().withColumn("_slice", slice_of("lo", slice_numbers))
-    reach = running(sliced, keys, levels, order, [Running("_reach", "max", F.col("hi"), exclusive=True)])
-    starts = F.when(F.col("_reach").isNull() | (F.col("lo") > F.col("_reach") + 1), F.col("lo"))
-    islands = running(reach, keys, levels, order, [Running("_island", "max", starts)])
+
+    local = W.partitionBy(*keys, "_slice").orderBy(*order)
+    here = sliced.withColumn("_reach", F.max("hi").over(local.rowsBetween(W.unboundedPreceding, -1)))
+    runs = (
+        here.withColumn("_island", F.max(_island_start()).over(local.rowsBetween(W.unboundedPreceding, 0)))
+        .groupBy(*keys, "_slice", "_island")
+        .agg(F.max("hi").alias("hi"))
+        .withColumnRenamed("_island", "lo")
+    )
+    reach = running(runs, keys, levels, order, [Running("_reach", "max", F.col("hi"), exclusive=True)])
+    islands = running(reach, keys, levels, order, [Running("_island", "max", _island_start())])
     return (
         islands.groupBy(*keys, "_island").agg(F.max("hi").alias("hi")).select(*keys, F.col("_island").alias("lo"), "hi")
     )
 
 
+def _island_start() -> Column:
+    """``lo`` where nothing before the interval reaches or touches it."""
+    return F.when(F.col("_reach").isNull() | (F.col("lo") > F.col("_reach") + 1), F.col("lo"))
+
+
 def executed_gtids(events: DataFrame, slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
     """The set of transaction numbers in a log, as merged intervals per source."""
     numbers = events.where(F.col("gtid_uuid").isNotNull()).select(
@@ -154,3 +175,39 @@ def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers
     """
     probes = inner.select(set_id, "source_uuid", "lo", "hi")
     return _reached(outer, probes, slice_numbers).groupBy(set_id).agg(F.bool_and("_covered").alias("contained"))
+
+
+def purged_gtids(log: DataFrame) -> DataFrame:
+    """Per source, the numbers that lie before the first one still in the log."""
+    first = log.where(F.col("gtid_uuid").isNotNull()).groupBy(F.col("gtid_uuid").alias("source_uuid")).agg(
+        (F.min("gtid_no") - 1).alias("hi")
+    )
+    return first.where(F.col("hi") > 0).select("source_uuid", F.lit(1).cast("bigint").alias("lo"), "hi")
+
+
+def missing_sources(log: DataFrame, executed: DataFrame, slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
+    """Sources whose log no longer reaches back to the executed set.
+
+    A number that is neither executed nor in the log any more would be skipped
+    without a word, so a resume by numbers is not possible for these sources.
+    """
+    spans = merge_spans(executed, ["source_uuid"], slice_numbers)
+    purged = purged_gtids(log).withColumn("source", F.col("source_uuid"))
+    return gtid_contains(spans, purged, "source", slice_numbers).where(~F.col("contained")).select("source")
+
+
+def resume_log(
+    log: DataFrame,
+    executed: DataFrame | None = None,
+    checkpoint: Position | None = None,
+    default: Position | None = None,
+    slice_numbers: int = SLICE_NUMBERS,
+) -> DataFrame:
+    """Go on by transaction numbers where that is possible, else by position."""
+    if executed is not None:
+        if missing_sources(log, executed, slice_numbers).isEmpty():
+            return gtid_resume_filter(log, executed, slice_numbers)
+        if checkpoint is None:
+            raise RuntimeError("the log has lost numbers that were not executed, and there is no position to go on from")
+        _log.warning("the log has lost numbers that were not executed: going on from %s", checkpoint)
+    return resume_filter(log, checkpoint, default)

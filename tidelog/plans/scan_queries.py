@@ -156,6 +156,18 @@ def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pos.resume_filter(log, start).select("binlog_file", "log_pos", "kind", "gtid_no")
 
 
+@query(
+    "resume_log",
+    with_(LOG) + f"SELECT binlog_file, log_pos, kind, gtid_no FROM log WHERE {START}",
+)
+def resume_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log has lost its first numbers and the reader has executed none of them: the position decides."""
+    log = d.landed_log(spark, sf_dir)
+    kept = log.where(F.col("gtid_no") > 2)
+    out = pos.resume_log(kept, executed_intervals(spark, sf_dir).withColumn("lo", F.lit(3)), START_POSITION)
+    return out.select("binlog_file", "log_pos", "kind", "gtid_no")
+
+
 @query(
     "catch_up_range",
     with_(LOG)

@@ -31,7 +31,7 @@ from tidelog.plans.oracle import (
 from tidelog.plans.registry import query
 from tidelog.plans.row_queries import assigned
 from tidelog.plans.scan_queries import START_POSITION, snapshot_at
-from tidelog.plans.sync import catch_up_rows
+from tidelog.plans.sync import backfill, catch_up_rows, sync_once
 from tidelog.session import new_path
 from tidelog.sinks import targets
 from tidelog.sources import derived as d
@@ -304,3 +304,44 @@ def on_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
         slice_bytes=d.SLICE_BYTES,
         transform=lambda rows: rows.where(F.col("op") == "UPDATE"),
     )
+
+
+@query(
+    "sync_once",
+    with_(LOG, f"behind AS (SELECT * FROM log WHERE {START})", events("behind"), TX, images("tx"))
+    + f"""{SNAPSHOT_ORDERS} UNION ALL SELECT {ORDER_ROWS} AND committed""",
+)
+def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers go into one target in one write; the orders are read back."""
+    log = d.landed_log(spark, sf_dir)
+    target, state = new_path(spark, "target"), new_path(spark, "state")
+    orders = d.table(spark, sf_dir, "orders").withColumns(
+        {"o_totalprice": F.col("o_totalprice").cast("decimal(18,2)")}
+    )
+    tables = [(d.ORDERS, orders), (d.CUSTOMERS, d.table(spark, sf_dir, "customer"))]
+    stop = pos.last_position(log)
+    sync_once(tables, log, snapshot_at(), START_POSITION, stop, target, state, slice_bytes=d.SLICE_BYTES)
+    if pos.load_high_water(spark, state) != stop:
+        raise RuntimeError("the stop point was not saved")
+    return targets.read_target(spark, target, d.ORDERS)
+
+
+@query(
+    "backfill_handoff",
+    with_(LOG)
+    + """SELECT c_custkey, c_name, c_acctbal, binlog_file, log_pos FROM customer,
+    (SELECT binlog_file, log_pos FROM log ORDER BY binlog_file DESC, log_pos DESC LIMIT 1) WHERE c_acctbal > 0""",
+)
+def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the backfill beside the position from which the log takes over."""
+    target, state = new_path(spark, "raw"), new_path(spark, "state")
+    rows = d.table(spark, sf_dir, "customer")
+    backfill(spark, rows, d.landed_log(spark, sf_dir), target, state, "c_acctbal > 0")
+    start = pos.load_high_water(spark, state)
+    return spark.read.parquet(target).select(
+        "c_custkey",
+        "c_name",
+        "c_acctbal",
+        F.lit(start.binlog_file).alias("binlog_file"),
+        F.lit(start.log_pos).cast("bigint").alias("log_pos"),
+    )

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.model import Position, TableSpec
 from tidelog.operators.images import route_event_kind
-from tidelog.operators.positions import catch_up_range
-from tidelog.operators.rows import typed_change_rows
+from tidelog.operators.positions import catch_up_range, last_position, save_high_water
+from tidelog.operators.rows import generic_change_rows, typed_change_rows
 from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, commit_gate, flush_pending
+from tidelog.sinks.targets import append_change_rows, raw_append
 from tidelog.sources.change_log import select_log_tables
-from tidelog.sources.tables import snapshot_scan
+from tidelog.sources.tables import backfill_scan, snapshot_images, snapshot_scan
 
 
 def catch_up_rows(
@@ -57,3 +59,46 @@ def snapshot_plus_catch_up(
     typed = rows.select(*(F.col(f"`{c.name}`").try_cast(c.spark_type).alias(c.name) for c in spec.columns))
     snapshot = snapshot_scan(typed, spec.database, spec.table, spec.key, snapshot_ts)
     return snapshot.unionByName(catch_up_rows(log, spec, start, stop, gated, slice_bytes))
+
+
+def sync_once(
+    tables: list[tuple[TableSpec, DataFrame]],
+    log: DataFrame,
+    snapshot_ts: Column,
+    start: Position | None,
+    stop: Position,
+    target: str,
+    state: str,
+    gated: bool = True,
+    slice_bytes: int = SLICE_BYTES,
+    saved_at_s: int = 0,
+) -> None:
+    """Snapshot and catch-up of all tables in one write; the stop point is saved once the write is done."""
+    snapshots = [snapshot_images(rows, spec, snapshot_ts) for spec, rows in tables]
+    names = [(spec.database, spec.table) for spec, _ in tables]
+    events = route_event_kind(select_log_tables(catch_up_range(log, start, stop), names))
+    assigned = assign_transaction(events, slice_bytes)
+    changes = generic_change_rows(commit_gate(assigned) if gated else flush_pending(assigned))
+    append_change_rows(reduce(DataFrame.unionByName, [*snapshots, changes]), target)
+    save_high_water(log.sparkSession, state, stop, saved_at_s)
+
+
+def backfill(
+    spark: SparkSession,
+    rows: DataFrame,
+    log: DataFrame,
+    target: str,
+    state: str,
+    where: str | Column | None = None,
+    saved_at_s: int = 0,
+) -> Position | None:
+    """Copy one table as it is, and hand over to the log.
+
+    The log position is saved before the scan and stays saved after it, so that
+    the change log goes on from there and misses nothing.
+    """
+    start = last_position(log)
+    if start is not None:
+        save_high_water(spark, state, start, saved_at_s)
+    raw_append(backfill_scan(rows, where), target)
+    return start

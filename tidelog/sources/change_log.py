@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.model import CHANGE_LOG_SCHEMA, MARKER_OPS
-from tidelog.operators.images import event_op
+from tidelog.model import CHANGE_LOG_SCHEMA
+from tidelog.operators.images import is_marker
 
 
 def read_change_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -32,11 +32,10 @@ def stream_change_log(
 def select_log_tables(log: DataFrame, tables: list[tuple[str, str | None]]) -> DataFrame:
     """Row events of the chosen tables, with all transaction markers."""
     chosen = tables_predicate(tables, "source_db", "source_table")
-    marker = event_op(F.col("kind"), F.col("query")).isin(*MARKER_OPS)
-    return log.where(chosen | F.coalesce(marker, F.lit(False)))
+    return log.where(chosen | is_marker(F.col("kind"), F.col("query")))
 
 
-def tables_predicate(tables: list[tuple[str, str | None]], database: str, table: str):
+def tables_predicate(tables: list[tuple[str, str | None]], database: str, table: str) -> Column:
     """The configured tables as a plain predicate, which reaches the scan.
 
     ``(db, None)`` stands for every table of a database.
@@ -53,4 +52,4 @@ def tables_predicate(tables: list[tuple[str, str | None]], database: str, table:
     for db, names in by_db.items():
         here = F.col(database) == db
         chosen = chosen | (here if names is None else here & F.col(table).isin(*sorted(names)))
-    return F.coalesce(chosen, F.lit(False))
+    return chosen

@@ -85,6 +85,18 @@ ORDER_LINES = TableSpec(
     ),
     ("l_orderkey", "line_no"),
 )
+CUSTOMERS = TableSpec(
+    DATABASE,
+    "customer",
+    (
+        ColumnSpec("c_custkey", "bigint", True),
+        ColumnSpec("c_name", "string"),
+        ColumnSpec("c_nationkey", "int"),
+        ColumnSpec("c_acctbal", "double"),
+        ColumnSpec("c_mktsegment", "string"),
+    ),
+    ("c_custkey",),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,30 +128,34 @@ def _begin(k: Column) -> Column:
     return F.when(k % 10 == 0, F.lit("START TRANSACTION")).otherwise(F.lit("BEGIN"))
 
 
-def _event(keep: Column, offset: int, kind: Column, query: Column | None, table: str | None, rows: Column | None) -> Column:
+# Which images an event carries; the images themselves are built per kept event.
+NONE, EMPTY, BEFORE, PAIR, PAIR_AND_TAIL, NOTE = range(6)
+
+
+def _event(keep: Column, offset: int, kind: str, query: Column | str | None = None, table: str | None = None, shape: int = NONE) -> Column:
+    text = query if isinstance(query, Column) else F.lit(query).cast("string")
     return F.struct(
         keep.alias("keep"),
         F.lit(offset).alias("offset"),
-        kind.alias("kind"),
-        (query if query is not None else F.lit(None).cast("string")).alias("query"),
+        F.lit(kind).alias("kind"),
+        text.alias("query"),
         F.lit(table).cast("string").alias("source_table"),
-        (rows if rows is not None else F.lit(None).cast("array<array<string>>")).alias("rows"),
+        F.lit(shape).alias("shape"),
     )
 
 
 def _commit_events(k: Column) -> list[Column]:
     closed = k % 11 != 0
     return [
-        _event(closed & (k % 2 == 0), 90_000, F.lit("QUERY"), F.lit("COMMIT"), None, None),
-        _event(closed & (k % 2 == 1), 90_000, F.lit("XID"), None, None, None),
+        _event(closed & (k % 2 == 0), 90_000, "QUERY", "COMMIT"),
+        _event(closed & (k % 2 == 1), 90_000, "XID"),
     ]
 
 
-def _spread(df: DataFrame, events: list[Column], k: str, series: str) -> DataFrame:
-    """Events of each row in the canonical columns of the log."""
-    kept = F.filter(F.array(*events), lambda e: e["keep"])
-    flat = df.select(F.col(k).alias("k"), F.col(series).alias("series"), F.inline(kept))
-    return _canonical(flat.withColumn("log_pos", _base(F.col("k")) + F.col("offset")))
+def _spread(df: DataFrame, events: list[Column]) -> DataFrame:
+    """The kept events of each row, beside the row's own columns."""
+    flat = df.select("*", F.inline(F.array(*events))).where("keep")
+    return flat.withColumn("log_pos", _base(F.col("k")) + F.col("offset"))
 
 
 def _canonical(flat: DataFrame) -> DataFrame:
@@ -165,25 +181,33 @@ def order_events(orders: DataFrame) -> DataFrame:
         return F.array(
             _text("o_orderkey"), _text("o_custkey"), _text("o_orderstatus"), _money(price), _when("o_orderdate"),
             _text("o_orderpriority"),
-        )
+        )
 
-    before = image(F.col("o_totalprice"))
-    after = image(F.col("o_totalprice") * 2)
     m = k % 5
     events = [
-        _event(k % 97 == 0, 50, F.lit("QUERY"), F.lit("CREATE TABLE t"), None, None),
-        _event(k % 97 == 1, 50, F.lit("QUERY"), F.lit("commit"), None, None),
-        _event(F.lit(True), 100, F.lit("QUERY"), _begin(k), None, None),
-        _event(k % 89 == 0, 200, F.lit("WRITE_ROWS"), None, "orders", F.array().cast("array<array<string>>")),
-        _event(m <= 2, 300, F.lit("WRITE_ROWS"), None, "orders", F.array(before)),
-        _event((m == 3) & (k % 25 != 3), 300, F.lit("UPDATE_ROWS"), None, "orders", F.array(before, after)),
-        _event((m == 3) & (k % 25 == 3), 300, F.lit("UPDATE_ROWS"), None, "orders", F.array(before, after, before)),
-        _event(m == 4, 300, F.lit("DELETE_ROWS"), None, "orders", F.array(before)),
+        _event(k % 97 == 0, 50, "QUERY", "CREATE TABLE t"),
+        _event(k % 97 == 1, 50, "QUERY", "commit"),
+        _event(F.lit(True), 100, "QUERY", _begin(k)),
+        _event(k % 89 == 0, 200, "WRITE_ROWS", None, "orders", EMPTY),
+        _event(m <= 2, 300, "WRITE_ROWS", None, "orders", BEFORE),
+        _event((m == 3) & (k % 25 != 3), 300, "UPDATE_ROWS", None, "orders", PAIR),
+        _event((m == 3) & (k % 25 == 3), 300, "UPDATE_ROWS", None, "orders", PAIR_AND_TAIL),
+        _event(m == 4, 300, "DELETE_ROWS", None, "orders", BEFORE),
         *_commit_events(k),
-        _event(k % 53 == 0, 92_000, F.lit("WRITE_ROWS"), None, "audit", F.array(F.array(_text("o_orderkey"), F.lit("note")))),
-        _event(k % ORDERS_PER_FILE == ORDERS_PER_FILE - 1, 95_000, F.lit("ROTATE"), None, None, None),
+        _event(k % 53 == 0, 92_000, "WRITE_ROWS", None, "audit", NOTE),
+        _event(k % ORDERS_PER_FILE == ORDERS_PER_FILE - 1, 95_000, "ROTATE"),
     ]
-    return _spread(orders.withColumn("series", F.lit(0).cast("bigint")), events, "o_orderkey", "series")
+    flat = _spread(orders.withColumns({"k": k, "series": F.lit(0).cast("bigint")}), events)
+    before, after = image(F.col("o_totalprice")), image(F.col("o_totalprice") * 2)
+    shape = F.col("shape")
+    rows = (
+        F.when(shape == EMPTY, F.array().cast("array<array<string>>"))
+        .when(shape == BEFORE, F.array(before))
+        .when(shape == PAIR, F.array(before, after))
+        .when(shape == PAIR_AND_TAIL, F.array(before, after, before))
+        .when(shape == NOTE, F.array(F.array(_text("o_orderkey"), F.lit("note"))))
+    )
+    return _canonical(flat.withColumn("rows", rows))
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
@@ -228,9 +252,9 @@ def line_events(lines: DataFrame) -> DataFrame:
         )
     )
     k = F.col("k")
-    bounds = [_event(F.lit(True), 100, F.lit("QUERY"), _begin(k), None, None), *_commit_events(k)]
-    further = _spread(events.where((F.col("series") > 0) & (F.col("in_txn") == 0)), bounds, "k", "series")
-    return rows.unionByName(further)
+    bounds = [_event(F.lit(True), 100, "QUERY", _begin(k)), *_commit_events(k)]
+    further = _spread(events.where((F.col("series") > 0) & (F.col("in_txn") == 0)).select("k", "series"), bounds)
+    return rows.unionByName(_canonical(further.withColumn("rows", F.lit(None).cast("array<array<string>>"))))
 
 
 def change_log(orders: DataFrame, lines: DataFrame) -> DataFrame:

@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.identifiers import bytes_to_text, snapshot_insert_id
-from tidelog.model import INSERT_ID, SNAPSHOT, Position
+from tidelog.model import (
+    CDC_DATABASE,
+    CDC_OPERATION,
+    CDC_TABLE,
+    CDC_TIMESTAMP,
+    INSERT_ID,
+    SNAPSHOT,
+    Position,
+    TableSpec,
+)
 from tidelog.operators.rows import cdc_metadata
 
 
@@ -52,6 +61,19 @@ def snapshot_scan(
     return out
 
 
+def snapshot_images(rows: DataFrame, spec: TableSpec, snapshot_ts: Column) -> DataFrame:
+    """A snapshot in the form that all tables share: values as positional text."""
+    plain = bytes_to_text(rows)
+    return plain.select(
+        snapshot_ts.alias(CDC_TIMESTAMP),
+        F.lit(SNAPSHOT).alias(CDC_OPERATION),
+        F.lit(spec.database).alias(CDC_DATABASE),
+        F.lit(spec.table).alias(CDC_TABLE),
+        F.array(*(F.col(f"`{c}`").cast("string") for c in spec.column_names)).alias("image"),
+        snapshot_insert_id(spec.database, spec.table, list(spec.key)).alias(INSERT_ID),
+    )
+
+
 def backfill_scan(rows: DataFrame, where: str | Column | None = None) -> DataFrame:
     """Rows of one table without change metadata; the predicate is left to the scan."""
     return bytes_to_text(rows if where is None else rows.where(where))

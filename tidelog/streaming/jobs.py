@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.model import Position
+from tidelog.model import CDC_TIMESTAMP, Position
 from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
 from tidelog.operators.positions import catch_up_range, resume_filter
 from tidelog.operators.rows import generic_change_rows
@@ -50,3 +53,27 @@ def run_once(rows: DataFrame, write: BatchWriter, checkpoint: str) -> StreamingQ
     )
     query.awaitTermination()
     return query
+
+
+METRICS = "change_rows"
+
+
+def with_metrics(rows: DataFrame) -> DataFrame:
+    """Count the rows of each micro-batch as they pass, at no further job."""
+    return rows.observe(
+        METRICS, F.count(F.lit(1)).alias("rows_processed"), F.max(CDC_TIMESTAMP).alias("last_event_time")
+    )
+
+
+def progress_totals(query: StreamingQuery) -> dict:
+    """Rows, batches and rates over the batches a query still remembers."""
+    batches = [json.loads(p.json) for p in query.recentProgress]
+    seen = [b["observedMetrics"][METRICS] for b in batches if METRICS in b.get("observedMetrics", {})]
+    took = sum(b["durationMs"].get("triggerExecution", 0) for b in batches) / 1000
+    rows = sum(m["rows_processed"] for m in seen)
+    return {
+        "batches_written": len(seen),
+        "rows_processed": rows,
+        "rows_per_second": rows / took if took > 0 else 0.0,
+        "last_event_time": max((m["last_event_time"] for m in seen if m.get("last_event_time")), default=None),
+    }
