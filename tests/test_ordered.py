@@ -55,6 +55,20 @@ def test_nested_levels_carry_across(spark, backward):
     assert {(None, r.o): r.r for r in got} == want
 
 
+@pytest.mark.parametrize("backward", [False, True])
+def test_nearest_over_levels_whose_values_start_anew(spark, backward):
+    """Offsets begin at 0 in each file, so the nearest value is not the largest."""
+    rng = random.Random(4)
+    data = [(f"f{i // 40}", i % 40, i % 40 if rng.random() < 0.2 else None) for i in range(160)]
+    df = spark.createDataFrame(data, "f string, o bigint, v bigint").withColumn("s", slice_of("o", 9))
+    near = Running("r", "nearest", F.col("v"), exclusive=True, backward=backward)
+    got = {(r.f, r.o): r.r for r in running(df, [], [["f", "s"]], ["o"], [near]).collect()}
+    last = None
+    for f, o, v in reversed(data) if backward else data:
+        assert got[f, o] == last
+        last = v if v is not None else last
+
+
 def test_other_columns_pass_through(spark):
     df = spark.sql("SELECT id, array(id) AS payload, named_struct('x', id) AS st, 0 AS s FROM range(5)")
     got = running(df, [], [["s"]], ["id"], [Running("n", "sum", F.lit(1))])

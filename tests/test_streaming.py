@@ -123,3 +123,42 @@ def test_rows_are_counted_as_they_pass(spark, tmp_path):
     totals = jobs.progress_totals(query)
     assert totals["rows_processed"] == sinks.read_batches(spark, str(tmp_path / "out"), rows.schema).count() > 0
     assert totals["batches_written"] >= 2 and totals["rows_per_second"] > 0 and totals["last_event_time"]
+
+
+def test_position_gate_holds_open_transactions_over_batches(spark, tmp_path):
+    """A transaction over three files, an abandoned one, and a crash in between."""
+    landed, out = str(tmp_path / "log"), str(tmp_path / "out")
+
+    def land(*events):
+        rows = [
+            ("f", p, 0, kind, query, "app" if kind == "WRITE_ROWS" else None, "t", None, None, [[str(p)]])
+            for p, kind, query in events
+        ]
+        spark.createDataFrame(rows, CHANGE_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(landed)
+
+    land((1, "QUERY", "BEGIN"), (2, "WRITE_ROWS", None))
+    land((3, "WRITE_ROWS", None))
+    land((4, "WRITE_ROWS", None), (5, "XID", None), (6, "WRITE_ROWS", None), (7, "QUERY", "BEGIN"), (8, "WRITE_ROWS", None))
+    land((9, "QUERY", "BEGIN"), (10, "WRITE_ROWS", None), (11, "QUERY", "COMMIT"), (12, "QUERY", "BEGIN"))
+    land((13, "WRITE_ROWS", None))
+    keep, crashed = sinks.append_sink(out, "a"), []
+
+    def deliver(released, batch_id):
+        if batch_id == 2 and not crashed:
+            crashed.append(1)
+            raise RuntimeError("lost before the delivery")
+        keep(released, batch_id)
+
+    gate = sinks.position_gate_sink(str(tmp_path / "gate"), "a", deliver)
+    rows = route_event_kind(stream_change_log(spark, landed, max_files=1))
+    with pytest.raises(Exception, match="lost before the delivery"):
+        jobs.run_once(rows, gate, str(tmp_path / "cp"))
+    jobs.run_once(rows, gate, str(tmp_path / "cp"))
+    got = spark.read.parquet(out).select("batch_id", "log_pos", "txn_id").orderBy("log_pos").collect()
+    assert [(r.batch_id, r.log_pos, r.txn_id) for r in got] == [
+        (2, 2, "f:1"),
+        (2, 3, "f:1"),
+        (2, 4, "f:1"),
+        (2, 6, "single_f:6"),
+        (3, 10, "f:9"),
+    ]

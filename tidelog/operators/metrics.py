@@ -25,20 +25,20 @@ def position_text(binlog_file: Column, log_pos: Column) -> Column:
     return F.when(F.length(binlog_file) > 0, binlog_file).otherwise(log_pos.cast("string"))
 
 
-def _totals(row_events: DataFrame, keys: list[str]) -> DataFrame:
-    """Totals per ``keys``, by way of totals per log file.
-
-    The first step has only numbers to add up, which keeps it a hash
-    aggregation; texts are compared on one row per file.
-    """
-    by_file = row_events.groupBy(*keys, "binlog_file").agg(
+def _per_file(row_events: DataFrame) -> DataFrame:
+    """Totals per table and log file: only numbers to add up, which keeps it a hash aggregation."""
+    named = row_events.withColumn("table_name", F.concat_ws(".", "source_db", "source_table"))
+    return named.groupBy("table_name", "binlog_file").agg(
         F.count("*").alias("_events"),
         F.sum(F.size("rows")).alias("_rows"),
         F.max("event_ts_s").alias("_ts"),
         F.max("log_pos").alias("_pos"),
     )
+
+
+def _roll_up(per_file: DataFrame, keys: list[str]) -> DataFrame:
     text = position_text(F.col("binlog_file"), F.col("_pos"))
-    return by_file.groupBy(*keys).agg(
+    return per_file.groupBy(*keys).agg(
         F.coalesce(F.sum("_events"), F.lit(0)).alias("events_processed"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_processed"),
         F.timestamp_seconds(F.max("_ts")).alias("last_event_time"),
@@ -47,12 +47,11 @@ def _totals(row_events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def global_totals(row_events: DataFrame) -> DataFrame:
-    return _totals(row_events, [])
+    return _roll_up(_per_file(row_events), [])
 
 
 def table_totals(row_events: DataFrame) -> DataFrame:
-    named = row_events.withColumn("table_name", F.concat_ws(".", "source_db", "source_table"))
-    return _totals(named, ["table_name"])
+    return _roll_up(_per_file(row_events), ["table_name"])
 
 
 def throughput_rates(totals: DataFrame, elapsed_s: Column) -> DataFrame:
@@ -86,14 +85,15 @@ def metrics_snapshot(row_events: DataFrame, parts: Sequence[DataFrame], elapsed_
     ``parts`` are one-row tables such as transaction, batch and error figures.
     The map has one entry per source table.
     """
-    tables = table_totals(row_events)
+    per_file = _per_file(row_events)
+    tables = _roll_up(per_file, ["table_name"])
     entry = F.struct(*tables.columns)
     by_table = tables.agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("table_name").alias("key"), entry.alias("value"))))).alias(
             "table_metrics"
         )
     )
-    snapshot = throughput_rates(global_totals(row_events), elapsed_s)
+    snapshot = throughput_rates(_roll_up(per_file, []), elapsed_s)
     for part in (*parts, by_table):
         snapshot = snapshot.crossJoin(F.broadcast(part))  # one row each
     return snapshot

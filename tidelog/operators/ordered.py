@@ -25,8 +25,10 @@ _HEAD = "_is_body"
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is ``sum``, ``min`` or ``max``.
+    """One running value: ``kind`` is ``sum``, ``min``, ``max`` or ``nearest``.
 
+    ``nearest`` is the last value on the way to the current row, nulls left out;
+    within a slice the values must grow with the order, as positions do.
     ``exclusive`` leaves the current row out. ``backward`` runs from the end of
     the order towards the current row.
     """
@@ -38,8 +40,15 @@ class Running:
     backward: bool = False
 
     def total(self, column: Column) -> Column:
+        """Over the rows of a slice."""
+        if self.kind == "nearest":
+            return F.min(column) if self.backward else F.max(column)
         return {"sum": F.sum, "min": F.min, "max": F.max}[self.kind](column)
 
+    def along(self, column: Column) -> Column:
+        """Over a window that ends at the current row."""
+        return F.last(column, ignorenulls=True) if self.kind == "nearest" else self.total(column)
+
 
 def running(
     df: DataFrame,
@@ -84,7 +93,7 @@ def _apply(body: DataFrame, partition: list[str], order: Sequence[str], values:
     out = {}
     for v in values:
         window = (back if v.backward else ahead).rowsBetween(W.unboundedPreceding, -1 if v.exclusive else 0)
-        value = v.total(F.col(f"_in_{v.name}")).over(window)
+        value = v.along(F.col(f"_in_{v.name}")).over(window)
         out[v.name] = F.coalesce(value, F.lit(0)) if v.kind == "sum" else value
     result = body.withColumns(out).drop(*(f"_in_{v.name}" for v in values))
     if with_head:

@@ -39,7 +39,8 @@ def assign_transaction(events: DataFrame, slice_bytes: int = SLICE_BYTES, delive
     committed when the next marker in its file is a COMMIT. A transaction never
     spans two files. A row outside any transaction is a complete transaction of
     its own. ``deliver_once`` also drops repeated deliveries of an event, which
-    costs nothing here as copies share file and position.
+    costs nothing here as copies share file and position. ``undecided`` marks
+    the events of a file's last transaction while no marker has followed it.
     """
     sliced = events.withColumn("_slice", slice_of("log_pos", slice_bytes))
     values = [
@@ -65,6 +66,9 @@ def assign_transaction(events: DataFrame, slice_bytes: int = SLICE_BYTES, delive
             "committed",
             F.when(_is_row(), F.col("_begin").isNull() | F.coalesce(~_is_begin("_next"), F.lit(False))),
         )
+        .withColumn(
+            "undecided", F.col("_begin").isNotNull() & F.col("_next").isNull() & (F.col("op") != COMMIT)
+        )
         .drop("_slice", "_prev", "_next", "_begin")
     )
 
@@ -167,28 +171,29 @@ def txn_lifecycle(events: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFram
         .withColumn("txn_id", F.coalesce("txn_id", alone))
         .withColumn("_slice", slice_of("log_pos", slice_bytes))
     )
-    mark = F.struct("binlog_file", "log_pos", "op")
+    # Offset and operation in one number; files follow each other by the levels.
+    code = F.when(F.col("op") == BEGIN, F.lit(1)).when(F.col("op") == COMMIT, F.lit(2)).otherwise(F.lit(0))
+    mark = F.col("log_pos") * 4 + code
     out = running(
         named,
         ["txn_id"],
         [["binlog_file", "_slice"]],
         ["log_pos"],
         [
-            Running("_prev", "max", mark, exclusive=True),
-            Running("_next", "min", F.when(F.col("op").isin(*MARKER_OPS), mark), exclusive=True, backward=True),
+            Running("_prev", "nearest", mark, exclusive=True),
+            Running("_next", "nearest", F.when(code > 0, mark), exclusive=True, backward=True),
         ],
     )
+    before, behind = F.col("_prev") % 4, F.col("_next") % 4
     status = (
         F.when(F.col("_alone"), F.lit("committed"))
         .when(F.col("op") == BEGIN, F.lit("begin"))
         .when(
             F.col("op") == COMMIT,
-            F.when(F.col("_prev").isNull() | (F.col("_prev.op") == COMMIT), F.lit("orphan_commit")).otherwise(
-                F.lit("commit")
-            ),
+            F.when(before.isNull() | (before == 2), F.lit("orphan_commit")).otherwise(F.lit("commit")),
         )
-        .when(F.col("_next.op") == COMMIT, F.lit("committed"))
-        .when(F.col("_next.op") == BEGIN, F.lit("discarded"))
+        .when(behind == 2, F.lit("committed"))
+        .when(behind == 1, F.lit("discarded"))
         .otherwise(F.lit("open"))
     )
     return out.withColumn("status", status).drop("_slice", "_prev", "_next", "_alone")

@@ -195,6 +195,21 @@ def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(drained(spark, jobs.change_row_stream(steps(spark, sf_dir), gate=(DELAY, BOUND))))
 
 
+@query("commit_gate_by_position", TXN_IMAGES + ROWS + " WHERE committed")
+def gated_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate for a log whose events carry no transaction numbers."""
+    path = new_path(spark, "stream")
+    keep = sinks.append_sink(path, "a")
+
+    def deliver(released: DataFrame, batch_id: int) -> None:
+        keep(generic_change_rows(explode_row_images(after_images(released))), batch_id)
+
+    gate = sinks.position_gate_sink(new_path(spark, "gate"), "a", deliver, d.SLICE_BYTES)
+    plain = steps(spark, sf_dir).drop("gtid_uuid", "gtid_no")
+    jobs.run_once(route_event_kind(plain), gate, new_path(spark, "checkpoint"))
+    return flat(sinks.read_batches(spark, path, CHANGE_ROW_SCHEMA))
+
+
 @query(
     "force_flush",
     GTID_IMAGES

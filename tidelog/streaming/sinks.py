@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidelog.functions.failures import RETRY, classify_row_error, retry_delay_s, retry_exhausted
 from tidelog.model import INSERT_ID, TableSpec
 from tidelog.operators.images import cast_failures, missing_required
+from tidelog.operators.transactions import SLICE_BYTES, assign_transaction
 from tidelog.sinks.targets import new_rows, read_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -112,3 +113,34 @@ def outcome_sink(path: str, run: str) -> BatchWriter:
         batch.write.mode("overwrite").partitionBy("outcome").parquet(batch_folder(path, run, batch_id))
 
     return write
+
+
+RELEASED, HELD = "released", "held"
+
+
+def position_gate_sink(path: str, run: str, deliver: BatchWriter, slice_bytes: int = SLICE_BYTES) -> BatchWriter:
+    """Commit gate for a log without transaction numbers: markers decide, batch by batch.
+
+    Each micro-batch of routed events is joined by the events the batch before
+    it held back. What is decided goes to ``deliver``; the events of a
+    transaction that is still open are held in the batch's folder for the next
+    one. Nothing is bound by time. The log must arrive in log order.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events = batch
+        if batch_id > 0:
+            before = spark.read.schema(batch.schema).parquet(f"{batch_folder(path, run, batch_id - 1)}/gate={HELD}")
+            events = before.unionByName(batch)
+        assigned = assign_transaction(events, slice_bytes)
+        gate = F.when(F.col("undecided"), F.lit(HELD)).when(F.col("committed"), F.lit(RELEASED))
+        here = batch_folder(path, run, batch_id)
+        decided = assigned.withColumn("gate", gate).where(F.col("gate").isNotNull())
+        decided.write.mode("overwrite").partitionBy("gate").parquet(here)
+        # An empty table keeps both folders readable.
+        for name in (RELEASED, HELD):
+            assigned.limit(0).write.mode("append").parquet(f"{here}/gate={name}")
+        deliver(spark.read.schema(assigned.schema).parquet(f"{here}/gate={RELEASED}"), batch_id)
+
+    return write
