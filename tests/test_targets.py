@@ -61,7 +61,7 @@ def test_fallback_schema(spark):
 def test_typed_and_missing_values(spark):
     columns = (ColumnSpec("id", "bigint", True), ColumnSpec("n", "tinyint", True), ColumnSpec("s", "string"))
     df = spark.createDataFrame([(1, ["7", "300", None]), (2, ["x", None]), (3, ["1", "2", "3", "4"])], "k int, image array<string>")
-    got = df.select("k", cast_failures(columns).alias("unfit"), *named_columns(columns)).withColumn(
+    got = df.select("k", cast_failures(columns).alias("unfit"), *named_columns(columns, strict=False)).withColumn(
         "missing", missing_required(columns)
     ).orderBy("k").collect()
     assert [(r.id, r.n, r.s) for r in got] == [(7, None, None), (None, None, None), (1, 2, "3")]
@@ -70,6 +70,14 @@ def test_typed_and_missing_values(spark):
     assert df.select(*positional_columns(2)).columns == ["col_0", "col_1"]
 
 
+def test_misfit_ends_a_strict_job(spark):
+    df = spark.createDataFrame([(["7"],), (["x"],)], "image array<string>")
+    columns = (ColumnSpec("id", "bigint"),)
+    with pytest.raises(Exception, match="does not fit column id bigint: x"):
+        df.select(*named_columns(columns)).collect()
+    assert df.where("image[0] = '7'").select(*named_columns(columns)).first().id == 7
+
+
 def test_source_column_wins_over_metadata(spark):
     assert metadata_clashes(["id", "_cdc_table"]) == [CDC_TABLE]
     names = ["id", "_cdc_table"]
@@ -116,6 +124,8 @@ def test_append_again_adds_nothing(spark, path):
     assert spark.read.parquet(path).count() == 4
     targets.idempotent_append(rows.limit(0), path, prune="_cdc_timestamp")
     assert spark.read.parquet(path).count() == 4
+    targets.idempotent_append(rows.limit(3), path, single=True)
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_routes(spark):

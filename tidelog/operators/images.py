@@ -67,11 +67,21 @@ def explode_row_images(events: DataFrame) -> DataFrame:
     return events.select("*", F.posexplode("rows").alias("image_idx", "image")).drop("rows")
 
 
-def named_columns(columns: tuple[ColumnSpec, ...], image: str = "image") -> list[Column]:
-    """Positional image values as typed, named columns; a value that does not fit becomes null."""
-    return [
-        F.try_element_at(F.col(image), F.lit(i + 1)).try_cast(c.spark_type).alias(c.name) for i, c in enumerate(columns)
-    ]
+def named_columns(columns: tuple[ColumnSpec, ...], image: str = "image", strict: bool = True) -> list[Column]:
+    """Positional image values as typed, named columns.
+
+    A value that does not fit its column ends the job with the column's name.
+    With ``strict=False`` it becomes null; ``cast_failures`` then names it.
+    """
+    out = []
+    for i, c in enumerate(columns):
+        value = F.try_element_at(F.col(image), F.lit(i + 1))
+        typed = value.try_cast(c.spark_type)
+        if strict and c.spark_type != "string":
+            text = F.concat(F.lit(f"value does not fit column {c.name} {c.spark_type}: "), value)
+            typed = F.when(value.isNotNull() & typed.isNull(), F.raise_error(text)).otherwise(typed)
+        out.append(typed.alias(c.name))
+    return out
 
 
 def positional_columns(n: int, image: str = "image") -> list[Column]:

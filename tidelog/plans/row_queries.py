@@ -239,7 +239,7 @@ def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
         c._replace(spark_type="tinyint", required=True) if c.name == "o_custkey" else c for c in d.ORDERS.columns
     )
     rows = all_images(spark, sf_dir).where(F.col("source_table") == "orders")
-    typed = rows.select("log_pos", "binlog_file", "image_idx", *named_columns(narrow))
+    typed = rows.select("log_pos", "binlog_file", "image_idx", *named_columns(narrow, strict=False))
     found = typed.withColumn("missing", F.array_join(missing_required(narrow), ","))
     return found.where(F.col("missing") != "").select("log_pos", "binlog_file", "image_idx", "missing")
 

@@ -150,7 +150,7 @@ def with_outcomes(rows: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<reason:string,message:string>>")
     ours = rows.where((F.col("source_db") == NARROW.database) & (F.col("source_table") == NARROW.table))
     tried = (F.col("log_pos") % 5).cast("int")
-    return sinks.row_outcomes(ours, NARROW, named_columns(NARROW.columns), tried, F.coalesce(reported, none))
+    return sinks.row_outcomes(ours, NARROW, named_columns(NARROW.columns, strict=False), tried, F.coalesce(reported, none))
 
 
 OUTCOMES = f"""SELECT binlog_file, log_pos, image_idx, CAST(image[1] AS BIGINT) AS o_orderkey, n_errors, attempt,

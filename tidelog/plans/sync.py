@@ -56,7 +56,7 @@ def snapshot_plus_catch_up(
     The snapshot has one row per key and is not shuffled. Log rows are made
     single where their transactions are assigned, at no further shuffle.
     """
-    typed = rows.select(*(F.col(f"`{c.name}`").try_cast(c.spark_type).alias(c.name) for c in spec.columns))
+    typed = rows.select(*(F.col(f"`{c.name}`").cast(c.spark_type).alias(c.name) for c in spec.columns))
     snapshot = snapshot_scan(typed, spec.database, spec.table, spec.key, snapshot_ts)
     return snapshot.unionByName(catch_up_rows(log, spec, start, stop, gated, slice_bytes))
 

@@ -63,16 +63,18 @@ def new_rows(
     key: str = INSERT_ID,
     prune: str | None = None,
     bounds: tuple | None = None,
+    single: bool = False,
 ) -> DataFrame:
-    """Rows not yet in the target.
+    """Rows not yet in the target, each once.
 
     ``prune`` names a column of both sides that is equal in every copy of a row,
     such as the event time or a partition column: only the target's partitions
     and row groups between the lowest and highest value of ``rows`` are read.
     ``bounds`` gives these two values where they are known; else they take an
-    extra pass over ``rows``.
+    extra pass over ``rows``. ``single`` says that ``rows`` repeats no key, as
+    after ``assign_transaction``, and spares the search for copies.
     """
-    fresh = distinct_rows(rows, key)
+    fresh = rows if single else distinct_rows(rows, key)
     if target is None:
         return fresh
     if prune is not None:
@@ -100,12 +102,13 @@ def idempotent_append(
     partition: Sequence[str] = (),
     prune: str | None = None,
     bounds: tuple | None = None,
+    single: bool = False,
 ) -> None:
     """Append only rows the target lacks; doing it again adds nothing.
 
     One writer at a time: a plain folder has no transactions.
     """
-    fresh = new_rows(rows, read_or_none(rows.sparkSession, path), key, prune, bounds)
+    fresh = new_rows(rows, read_or_none(rows.sparkSession, path), key, prune, bounds, single)
     writer = (even_out(fresh, *partition) if partition else fresh).write.mode("append")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 

@@ -30,7 +30,9 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return read_or_none(spark, path, full)
 
 
-def idempotent_sink(path: str, run: str, key: str = INSERT_ID, prune: str | None = None) -> BatchWriter:
+def idempotent_sink(
+    path: str, run: str, key: str = INSERT_ID, prune: str | None = None, single: bool = False
+) -> BatchWriter:
     """Each micro-batch owns a folder, which a repeat of the batch replaces.
 
     Rows that any other batch holds are left out, so neither a restart nor a
@@ -38,6 +40,7 @@ def idempotent_sink(path: str, run: str, key: str = INSERT_ID, prune: str | None
     checkpoint: a new checkpoint counts its batches from 0 again. ``prune`` names
     a column that is equal in every copy of a row; the look-up is then limited to
     its range in the batch. For log rows the event time is such a column.
+    ``single`` says that a batch itself repeats no row.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -48,7 +51,7 @@ def idempotent_sink(path: str, run: str, key: str = INSERT_ID, prune: str | None
         if prune is not None:
             batch = batch.persist()  # read for its range, then for its rows
         try:
-            new_rows(batch, others, key, prune).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+            new_rows(batch, others, key, prune, single=single).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
         finally:
             if prune is not None:
                 batch.unpersist()
@@ -78,8 +81,9 @@ def row_outcomes(images: DataFrame, spec: TableSpec, typed: list[Column], attemp
     """Typed rows with their outcome: written, ignored, retry or quarantine.
 
     A value that does not fit its column and a missing required value are
-    permanent errors; ``sink_errors`` adds what the sink itself reports. A row
-    whose tries are used up is set aside instead of tried again.
+    permanent errors, so ``typed`` must be lenient; ``sink_errors`` adds what the
+    sink itself reports. A row whose tries are used up is set aside instead of
+    tried again.
     """
 
     def invalid(text: str) -> Callable[[Column], Column]:
