@@ -79,6 +79,16 @@ def test_number_filter_with_and_without_broadcast(spark, broadcast):
     assert sorted(r.log_pos for r in got.collect()) == [p for _, p, u, n in log if (u, n) not in done]
 
 
+def test_many_sets_that_start_at_one(spark):
+    """All sets begin at number 1, as they do in practice; their ends decide."""
+    outer = spark.createDataFrame([("u", 1, 500)], "source_uuid string, lo bigint, hi bigint")
+    inner = spark.sql("SELECT id AS set_id, 'u' AS source_uuid, 1L AS lo, id + 1 AS hi FROM range(1000)")
+    got = pos.gtid_contains(outer, inner, "set_id")
+    assert got.where("contained = (set_id < 500)").count() == 1000
+    merged = pos.merge_spans(inner, ["source_uuid"])
+    assert [(r.lo, r.hi) for r in merged.collect()] == [(1, 1000)]
+
+
 def test_contains(spark):
     outer = spark.createDataFrame([("u", 1, 10), ("u", 12, 20), ("v", 5, 5)], "source_uuid string, lo bigint, hi bigint")
     inner = spark.createDataFrame(

@@ -12,6 +12,7 @@ from tidelog.operators.transactions import (
     commit_gate,
     commit_gate_by_id,
     flush_pending,
+    merge_hot_copies,
     open_transaction_gauge,
     open_transactions_topk,
     txn_lifecycle,
@@ -96,6 +97,21 @@ def test_one_transaction_with_most_rows(spark):
     assert (totals.committed_transactions, totals.open_transactions, totals.buffered_events) == (1, 1, 1)
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_event_delivered_very_often(spark, monkeypatch, limit):
+    """One event makes up most of the log; few or too many hot keys to broadcast."""
+    monkeypatch.setattr("tidelog.session.broadcast_if_small.__defaults__", (limit,))
+    log = random_log(11, n=100, files=2)
+    hot = next(e for e in log if e[3] == "INSERT")
+    want, _ = replay(log)
+    merged = merge_hot_copies(events_of(spark, log + [hot] * 5000), most=50)
+    assert merged.count() == len(log)
+    got = assign_transaction(merged, 5_000).collect()
+    assert {(r.binlog_file, r.log_pos): (r.txn_id, r.committed) for r in got} == want
+    plain = events_of(spark, log)
+    assert merge_hot_copies(plain, most=50) is plain
+
+
 def test_flush_marks_open_rows(spark):
     log = [event("f0", 1, "BEGIN"), event("f0", 2, "INSERT", [["a"], ["b"]])]
     rows = flush_pending(assign_transaction(events_of(spark, log))).collect()

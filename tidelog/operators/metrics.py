@@ -89,9 +89,9 @@ def metrics_snapshot(row_events: DataFrame, parts: Sequence[DataFrame], elapsed_
     tables = _roll_up(per_file, ["table_name"])
     entry = F.struct(*tables.columns)
     by_table = tables.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("table_name").alias("key"), entry.alias("value"))))).alias(
-            "table_metrics"
-        )
+        F.map_from_entries(
+            F.array_sort(F.collect_list(F.struct(F.col("table_name").alias("key"), entry.alias("value"))))
+        ).alias("table_metrics")
     )
     snapshot = throughput_rates(_roll_up(per_file, []), elapsed_s)
     for part in (*parts, by_table):

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -76,7 +78,10 @@ def running(
         levels[-1],
         [Running(f"_carry_{v.name}", v.kind, F.col(f"_in_{v.name}"), True, v.backward) for v in values],
     )
-    heads = carried.select(
+    # A slice that starts with nothing needs no head; so groups of one slice add no rows.
+    carries = [(v.kind, F.col(f"_carry_{v.name}")) for v in values]
+    brings = [c != 0 if kind == "sum" else c.isNotNull() for kind, c in carries]
+    heads = carried.where(reduce(or_, brings)).select(
         *partition,
         *(F.col(f"_carry_{v.name}").alias(f"_in_{v.name}") for v in values),
         F.lit(False).alias(_HEAD),
@@ -85,7 +90,9 @@ def running(
     return _apply(joined, partition, order, values, with_head=True)
 
 
-def _apply(body: DataFrame, partition: list[str], order: Sequence[str], values: Sequence[Running], with_head: bool) -> DataFrame:
+def _apply(
+    body: DataFrame, partition: list[str], order: Sequence[str], values: Sequence[Running], with_head: bool
+) -> DataFrame:
     first = [F.col(_HEAD)] if with_head else []
     base = W.partitionBy(*partition) if partition else W.partitionBy()
     ahead = base.orderBy(*first, *(F.col(c).asc() for c in order))

@@ -20,7 +20,9 @@ HIGH_WATER_SCHEMA = "save_no bigint, binlog_file string, log_pos bigint, saved_a
 # Sets with more intervals than this are matched by a sorted pass.
 BROADCAST_SPANS = 1_000
 # Numbers per slice when sets are merged or matched.
-SLICE_NUMBERS = 1_000_000
+SLICE_NUMBERS = 100_000
+# Probes of one number are spread over this many groups; the intervals are copied to each.
+SALTS = 8
 
 
 def after(position: Position) -> Column:
@@ -98,12 +100,14 @@ def starting_position(log: DataFrame, saved: Position | None, rule: str | Positi
 def merge_spans(spans: DataFrame, group: Sequence[str], slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
     """Join intervals ``(lo, hi)`` that overlap or touch, per ``group``.
 
-    Intervals are first joined within slices, where a long run of numbers
-    shrinks to one row, and what is left is joined across slices.
+    Of intervals with one start only the longest counts, which leaves a bounded
+    number a slice. They are first joined within slices, where a long run of
+    numbers shrinks to one row, and what is left is joined across slices.
     """
     keys = list(group)
     levels, order = [["_slice"]], ["lo", "hi"]
-    sliced = spans.select(*keys, "lo", "hi").distinct().withColumn("_slice", slice_of("lo", slice_numbers))
+    longest = spans.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))
+    sliced = longest.withColumn("_slice", slice_of("lo", slice_numbers))
 
     local = W.partitionBy(*keys, "_slice").orderBy(*order)
     here = sliced.withColumn("_reach", F.max("hi").over(local.rowsBetween(W.unboundedPreceding, -1)))
@@ -133,26 +137,29 @@ def executed_gtids(events: DataFrame, slice_numbers: int = SLICE_NUMBERS) -> Dat
     return merge_spans(numbers, ["source_uuid"], slice_numbers)
 
 
-def _reached(spans: DataFrame, probes: DataFrame, slice_numbers: int) -> DataFrame:
+def _reached(spans: DataFrame, probes: DataFrame, spread: Sequence[str], slice_numbers: int) -> DataFrame:
     """Add ``_covered`` to probes (``source_uuid``, ``lo``, ``hi``): does one merged interval hold them?
 
     One sorted pass over both sides: the interval that starts last at or before
     a probe is the only one that can hold it. Probes are never paired with all
-    intervals.
+    intervals. Many probes may start at one number, so they are salted.
     """
-    held = spans.select("source_uuid", "lo", "hi").withColumn("_probe", F.lit(0))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    held = spans.select("source_uuid", "lo", "hi", F.lit(0).alias("_probe"), every_salt.alias("_salt"))
+    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in spread)), F.lit(SALTS)).cast("int")
     both = (
         probes.withColumn("_probe", F.lit(1))
+        .withColumn("_salt", salt)
         .unionByName(held, allowMissingColumns=True)
         .withColumn("_slice", slice_of("lo", slice_numbers))
     )
     # Merged intervals are apart, so the last one to start also reaches furthest.
     reach = F.when(F.col("_probe") == 0, F.col("hi"))
-    out = running(both, ["source_uuid"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", reach)])
+    out = running(both, ["source_uuid", "_salt"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", reach)])
     return (
         out.where(F.col("_probe") == 1)
         .withColumn("_covered", F.coalesce(F.col("_reach") >= F.col("hi"), F.lit(False)))
-        .drop("_probe", "_slice", "_reach")
+        .drop("_probe", "_salt", "_slice", "_reach")
     )
 
 
@@ -165,7 +172,7 @@ def gtid_resume_filter(
         inside = (F.col("gtid_uuid") == F.col("source_uuid")) & F.col("gtid_no").between(F.col("lo"), F.col("hi"))
         return log.join(spans, inside, "left_anti")
     probes = log.withColumns({"source_uuid": F.col("gtid_uuid"), "lo": F.col("gtid_no"), "hi": F.col("gtid_no")})
-    return _reached(executed, probes, slice_numbers).where(~F.col("_covered")).select(*log.columns)
+    return _reached(executed, probes, ["binlog_file", "log_pos"], slice_numbers).where(~F.col("_covered")).select(*log.columns)
 
 
 def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
@@ -174,7 +181,7 @@ def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers
     ``outer`` holds merged intervals, ``inner`` intervals as written.
     """
     probes = inner.select(set_id, "source_uuid", "lo", "hi")
-    return _reached(outer, probes, slice_numbers).groupBy(set_id).agg(F.bool_and("_covered").alias("contained"))
+    return _reached(outer, probes, [set_id, "hi"], slice_numbers).groupBy(set_id).agg(F.bool_and("_covered").alias("contained"))
 
 
 def purged_gtids(log: DataFrame) -> DataFrame:
@@ -208,6 +215,6 @@ def resume_log(
         if missing_sources(log, executed, slice_numbers).isEmpty():
             return gtid_resume_filter(log, executed, slice_numbers)
         if checkpoint is None:
-            raise RuntimeError("the log has lost numbers that were not executed, and there is no position to go on from")
+            raise RuntimeError("the log has lost numbers that were not executed, and no position is known")
         _log.warning("the log has lost numbers that were not executed: going on from %s", checkpoint)
     return resume_filter(log, checkpoint, default)

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.model import BEGIN, COMMIT, DEFAULT_BUFFER_CAPACITY, MARKER_OPS, ROW_OPS
+from tidelog.model import BEGIN, COMMIT, DEFAULT_BUFFER_CAPACITY, ROW_OPS
 from tidelog.operators.images import after_images, explode_row_images, row_events
 from tidelog.operators.ordered import Running, running, slice_of
+from tidelog.session import broadcast_if_small
 
 # Offsets are bytes and an event takes at least its 19-byte header, so a slice
 # of this width holds a bounded number of events, however large its file is.
 SLICE_BYTES = 64 * 1024 * 1024
+# Copies of one event that may meet in one slice.
+HOT_COPIES = 100_000
 
 
 def _marker() -> Column:
@@ -39,8 +42,9 @@ def assign_transaction(events: DataFrame, slice_bytes: int = SLICE_BYTES, delive
     committed when the next marker in its file is a COMMIT. A transaction never
     spans two files. A row outside any transaction is a complete transaction of
     its own. ``deliver_once`` also drops repeated deliveries of an event, which
-    costs nothing here as copies share file and position. ``undecided`` marks
-    the events of a file's last transaction while no marker has followed it.
+    costs nothing here as copies share file and position; where one event may
+    come very often, ``merge_hot_copies`` goes first. ``undecided`` marks the
+    events of a file's last transaction while no marker has followed it.
     """
     sliced = events.withColumn("_slice", slice_of("log_pos", slice_bytes))
     values = [
@@ -73,6 +77,24 @@ def assign_transaction(events: DataFrame, slice_bytes: int = SLICE_BYTES, delive
     )
 
 
+def merge_hot_copies(events: DataFrame, most: int = HOT_COPIES) -> DataFrame:
+    """Merge the copies of events that were delivered more than ``most`` times.
+
+    Only their keys are counted beforehand. The copies of such an event would
+    all meet in one slice; they are merged before the shuffle instead. Without
+    such events, the usual case, ``events`` is returned as it is.
+    """
+    keys = ["binlog_file", "log_pos"]
+    hot = events.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*keys)
+    if hot.isEmpty():
+        return events
+    hot, small = broadcast_if_small(hot)
+    if not small:
+        return events.dropDuplicates(keys)
+    merged = events.join(hot, keys, "left_semi").dropDuplicates(keys)
+    return events.join(hot, keys, "left_anti").unionByName(merged)
+
+
 def gtid_transaction(events: DataFrame) -> DataFrame:
     """Transactions by the source's own numbers, where every event carries one."""
     own = F.concat("gtid_uuid", F.lit(":"), F.col("gtid_no").cast("string"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidelog.model import CDC_TIMESTAMP, CHANGE_ROW_SCHEMA, INSERT_ID
 from tidelog.operators import positions as pos
 from tidelog.operators.images import after_images, explode_row_images, named_columns, route_event_kind, row_events
-from tidelog.operators.rows import generic_change_rows, typed_change_rows
+from tidelog.operators.rows import generic_change_rows
 from tidelog.operators.transactions import commit_gate, gtid_transaction
 from tidelog.plans.oracle import (
     INSERT_ID as INSERT_ID_SQL,
@@ -146,7 +146,10 @@ def with_outcomes(rows: DataFrame) -> DataFrame:
     key, status = F.col("image")[0].cast("bigint"), F.col("image")[2]
     reported = F.when(
         status == "P", F.array(F.struct(F.lit("backendError").alias("reason"), F.lit("try again").alias("message")))
-    ).when(key % 3 == 0, F.array(F.struct(F.lit(None).cast("string").alias("reason"), F.lit("duplicate row").alias("message"))))
+    ).when(
+        key % 3 == 0,
+        F.array(F.struct(F.lit(None).cast("string").alias("reason"), F.lit("duplicate row").alias("message"))),
+    )
     none = F.array().cast("array<struct<reason:string,message:string>>")
     ours = rows.where((F.col("source_db") == NARROW.database) & (F.col("source_table") == NARROW.table))
     tried = (F.col("log_pos") % 5).cast("int")

@@ -12,7 +12,13 @@ from tidelog.model import Position, TableSpec
 from tidelog.operators.images import route_event_kind
 from tidelog.operators.positions import catch_up_range, last_position, save_high_water
 from tidelog.operators.rows import generic_change_rows, typed_change_rows
-from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, commit_gate, flush_pending
+from tidelog.operators.transactions import (
+    SLICE_BYTES,
+    assign_transaction,
+    commit_gate,
+    flush_pending,
+    merge_hot_copies,
+)
 from tidelog.sinks.targets import append_change_rows, raw_append
 from tidelog.sources.change_log import select_log_tables
 from tidelog.sources.tables import backfill_scan, snapshot_images, snapshot_scan
@@ -34,7 +40,7 @@ def catch_up_rows(
     """
     ranged = catch_up_range(log, start, stop)
     events = route_event_kind(select_log_tables(ranged, [(spec.database, spec.table)]))
-    assigned = assign_transaction(events, slice_bytes)
+    assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
     images = commit_gate(assigned) if gated else flush_pending(assigned)
     if transform is not None:
         images = images.transform(transform)
@@ -77,7 +83,7 @@ def sync_once(
     snapshots = [snapshot_images(rows, spec, snapshot_ts) for spec, rows in tables]
     names = [(spec.database, spec.table) for spec, _ in tables]
     events = route_event_kind(select_log_tables(catch_up_range(log, start, stop), names))
-    assigned = assign_transaction(events, slice_bytes)
+    assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
     changes = generic_change_rows(commit_gate(assigned) if gated else flush_pending(assigned))
     append_change_rows(reduce(DataFrame.unionByName, [*snapshots, changes]), target)
     save_high_water(log.sparkSession, state, stop, saved_at_s)

@@ -132,7 +132,14 @@ def _begin(k: Column) -> Column:
 NONE, EMPTY, BEFORE, PAIR, PAIR_AND_TAIL, NOTE = range(6)
 
 
-def _event(keep: Column, offset: int, kind: str, query: Column | str | None = None, table: str | None = None, shape: int = NONE) -> Column:
+def _event(
+    keep: Column,
+    offset: int,
+    kind: str,
+    query: Column | str | None = None,
+    table: str | None = None,
+    shape: int = NONE,
+) -> Column:
     text = query if isinstance(query, Column) else F.lit(query).cast("string")
     return F.struct(
         keep.alias("keep"),

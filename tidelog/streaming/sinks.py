@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 from tidelog.functions.failures import RETRY, classify_row_error, retry_delay_s, retry_exhausted
 from tidelog.model import INSERT_ID, TableSpec
 from tidelog.operators.images import cast_failures, missing_required
-from tidelog.operators.transactions import SLICE_BYTES, assign_transaction
+from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, merge_hot_copies
 from tidelog.sinks.targets import new_rows, read_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -77,7 +76,9 @@ def row_emitter(emit: Callable[[DataFrame, int], None]) -> BatchWriter:
     return write
 
 
-def row_outcomes(images: DataFrame, spec: TableSpec, typed: list[Column], attempt: Column, sink_errors: Column) -> DataFrame:
+def row_outcomes(
+    images: DataFrame, spec: TableSpec, typed: list[Column], attempt: Column, sink_errors: Column
+) -> DataFrame:
     """Typed rows with their outcome: written, ignored, retry or quarantine.
 
     A value that does not fit its column and a missing required value are
@@ -137,7 +138,7 @@ def position_gate_sink(path: str, run: str, deliver: BatchWriter, slice_bytes: i
         if batch_id > 0:
             before = spark.read.schema(batch.schema).parquet(f"{batch_folder(path, run, batch_id - 1)}/gate={HELD}")
             events = before.unionByName(batch)
-        assigned = assign_transaction(events, slice_bytes)
+        assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
         gate = F.when(F.col("undecided"), F.lit(HELD)).when(F.col("committed"), F.lit(RELEASED))
         here = batch_folder(path, run, batch_id)
         decided = assigned.withColumn("gate", gate).where(F.col("gate").isNotNull())
