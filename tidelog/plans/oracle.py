@@ -80,7 +80,7 @@ tx AS (SELECT *,
 def images(source: str) -> str:
     """Row images of the events of ``source``: after-images of updates, indexes from 0."""
     return f"""
-img AS (SELECT * REPLACE (CASE op WHEN 'UPDATE' THEN image_idx // 2 ELSE image_idx END AS image_idx)
+img AS (SELECT * REPLACE (CAST(CASE op WHEN 'UPDATE' THEN image_idx // 2 ELSE image_idx END AS INTEGER) AS image_idx)
   FROM (SELECT * EXCLUDE (imgs), unnest(imgs) AS image, generate_subscripts(imgs, 1) - 1 AS image_idx
         FROM {source} WHERE op IN ('INSERT', 'UPDATE', 'DELETE'))
   WHERE op <> 'UPDATE' OR image_idx % 2 = 1)"""

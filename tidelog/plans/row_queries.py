@@ -69,7 +69,7 @@ def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     "explode_row_images",
     EV
     + """SELECT binlog_file, log_pos, op, image_idx, array_to_string(image, '|') AS image
-    FROM (SELECT *, unnest(imgs) AS image, generate_subscripts(imgs, 1) - 1 AS image_idx FROM ev
+    FROM (SELECT *, unnest(imgs) AS image, CAST(generate_subscripts(imgs, 1) - 1 AS INTEGER) AS image_idx FROM ev
       WHERE op IN ('INSERT', 'UPDATE', 'DELETE'))""",
 )
 def exploded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,8 +105,9 @@ catalog AS (SELECT 'shop' AS table_schema, 't' || (p_partkey // 20) AS table_nam
     "column_catalog_scan",
     CATALOG_SQL
     + """SELECT table_schema, table_name, ordinal_position, column_name, data_type, column_type, is_nullable,
-    CASE WHEN data_type = 'varchar' THEN 255 ELSE 0 END AS character_maximum_length,
-    coalesce(prec, 0) AS numeric_precision, coalesce(scale, 0) AS numeric_scale FROM catalog""",
+    CAST(CASE WHEN data_type = 'varchar' THEN 255 ELSE 0 END AS BIGINT) AS character_maximum_length,
+    CAST(coalesce(prec, 0) AS BIGINT) AS numeric_precision, CAST(coalesce(scale, 0) AS BIGINT) AS numeric_scale
+    FROM catalog""",
 )
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = column_catalog_scan(d.column_catalog(spark, sf_dir), d.DATABASE)
