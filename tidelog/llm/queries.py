@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm.common import table
+from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
+from tidelog.llm.packing import pack
+from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +52,16 @@ FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 @query("op1_suffix_automaton", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_orc_tokens")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return stored_digest(read_token_files(spark, path))
+
+
+@query("op9_harmonic_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
