@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
 from tidelog.llm.packing import pack
+from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return pack(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
+
+
+@query("op5_bk_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
