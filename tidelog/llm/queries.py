@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
 from tidelog.llm.packing import pack
+from tidelog.llm.quality import quality_report
 from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
 
@@ -71,3 +72,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bk_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_nbsvm_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
