@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
+from tidelog.llm.neighbours import nearest
 from tidelog.llm.packing import pack
 from tidelog.llm.quality import quality_report
 from tidelog.llm.simhash import near_duplicates
@@ -77,3 +79,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_nbsvm_quality")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_cross_polytope")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
