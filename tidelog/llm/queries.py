@@ -15,6 +15,7 @@ from tidelog.llm.packing import pack
 from tidelog.llm.quality import quality_report
 from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
+from tidelog.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +85,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_cross_polytope")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP7_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, unhex(sha1(h)) AS s, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+b AS (SELECT *, list_aggregate([lpad(bin(get_byte_), 8, '0') FOR get_byte_ IN x], 'string_agg', '') AS bits
+      FROM (SELECT *, [CAST(('0x' || substr(hex(s), 2 * i + 1, 2)) AS INTEGER) FOR i IN range(20)] AS x FROM d))
+SELECT page_id, payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST('0b' || substr(bits, 5 * j + 1, 5) AS INTEGER) + 1, 1)
+                  FOR j IN range(32)], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+
+@query("op7_warc_revisits", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).drop("url")
