@@ -13,6 +13,7 @@ from tidelog.llm.decontamination import contamination_report
 from tidelog.llm.neighbours import nearest
 from tidelog.llm.packing import pack
 from tidelog.llm.quality import quality_report
+from tidelog.llm.secrets import secrets_report
 from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
 from tidelog.llm.warc import read_archives, write_archives
@@ -106,3 +107,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
     return read_archives(spark, path).drop("url")
+
+
+@query("op2_crf_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_report(table(spark, sf_dir, "documents"))
