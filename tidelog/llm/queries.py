@@ -16,6 +16,7 @@ from tidelog.llm.quality import quality_report
 from tidelog.llm.secrets import secrets_report
 from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
+from tidelog.llm.toxicity import toxicity_report
 from tidelog.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +113,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_crf_secrets")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_string_kernel_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
