@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidelog.session import shared_dir
 
 #: Limits of one Arrow batch, so that a worker's memory does not follow the length of texts.
-BATCH_ROWS = 1000
+BATCH_ROWS = 10_000
 BATCH_BYTES = "16m"
 
 ARROW = {

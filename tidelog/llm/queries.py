@@ -12,6 +12,7 @@ from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
 from tidelog.llm.neighbours import nearest
 from tidelog.llm.packing import pack
+from tidelog.llm.ppm import score_texts
 from tidelog.llm.quality import quality_report
 from tidelog.llm.secrets import secrets_report
 from tidelog.llm.simhash import near_duplicates
@@ -118,3 +119,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_string_kernel_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_ppm_scores")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
