@@ -551,5 +551,5 @@ def redact(docs: DataFrame, field: Field, mark: str = MARK) -> DataFrame:
     done = map_rows(docs, ["text"], start, {"text": "string", "changed_": "boolean"})
     if counted:
         chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-        done = done.withColumn("n_chars", F.when("changed_", chars).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col("changed_"), chars).otherwise(F.col("n_chars")))
     return done.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -4,38 +4,75 @@ A text's fingerprint has a bit set where over half the hashes of its word
 shingles have it. Two fingerprints are linked when they differ in few bits, and
 linked fingerprints form a group.
 
-Distinct fingerprints are dealt to shards so that any two within the radius
-meet: the bits are cut into ``radius + 2`` blocks, of which two near ones share
-two at least, and a shard is a pair of blocks with its values. Each shard is a
-BK-tree whose children hang by their distance to the parent; a search follows
-only edges within the radius. A shard of many fingerprints is several trees of
-bounded size, and each pair of those is searched by itself. A task gives back
-one edge for each fingerprint that joins a group, not one for each pair.
+Distinct fingerprints are dealt to shards, and each shard is a BK-tree whose
+children hang by their distance to the parent; a search follows only edges
+within the radius. How they are dealt is a ``Scheme``. For few differing bits
+the bits are cut into ``radius + 2`` blocks, of which two linked fingerprints
+share two at least, and a shard is a pair of blocks with its values: no link is
+lost. For many, wide fingerprints are used, and shards are chosen bits with
+their values, in as many choices as find a link of the radius's similarity
+almost surely.
+
+A shard of many fingerprints is several trees of bounded size, and each pair of
+those is searched by itself. A task gives back one edge for each fingerprint
+that joins a group, not one for each pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import itertools
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import arrow_schema, bounded_batches, ddl, map_rows, staged
 from tidelog.llm.components import components
 
 SHINGLE = 4
-RADIUS = 4
 SEED = 42
-BITS = 64
 
-#: Fingerprints of one tree.
+#: Fingerprints of one tree, and of one leaf, which is compared as a whole.
 TREE = 4096
+LEAF = 64
 
-# A-Z to small letters, nothing else; words end at the ASCII white space that bytes.split() knows.
 _HASHES = 4096
+_WORD = 64
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """Width of fingerprints, bits by which linked ones may differ, and how shards are dealt.
+
+    ``choices`` of ``chosen`` bits each make the shards; without choices they
+    are pairs of blocks.
+    """
+
+    bits: int = 64
+    radius: int = 4
+    choices: int = 0
+    chosen: int = 0
+
+    def shards(self, values: np.ndarray) -> np.ndarray:
+        """Shard numbers of each row of ``values`` (64-bit words), one column for each way of dealing."""
+        bits = np.unpackbits(values.astype(">u8").view(np.uint8), axis=1)
+        if self.choices:
+            order = np.random.default_rng(SEED)
+            groups = [order.choice(self.bits, self.chosen, replace=False) for _ in range(self.choices)]
+        else:
+            blocks = np.array_split(np.arange(self.bits), self.radius + 2)
+            groups = [np.concatenate(pair) for pair in itertools.combinations(blocks, 2)]
+        columns = [bits[:, g].astype(np.int64) @ (1 << np.arange(len(g))) for g in groups]
+        return np.column_stack(columns) + (np.arange(len(groups)) << 40)
+
+
+#: Links of the fingerprints themselves: at most 4 of 64 bits, none lost.
+CLOSE = Scheme()
+#: Texts that share 0.8 of their shingles differ in 39 of 256 bits, give or take 6.
+ALIKE = Scheme(bits=256, radius=52, choices=48, chosen=14)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -43,117 +80,126 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Majority of the XXH64 bits of all shingles, repeats included; of no words, zero."""
+def widened(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Each hash followed by further words that are mixed from it."""
+    out = [hashes]
+    for i in range(1, width):
+        x = hashes + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        out.append(x ^ x >> np.uint64(31))
+    return np.stack(out, axis=1)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, bits: int = 64) -> bytes:
+    """Majority of the bits of all shingles' hashes (XXH64, widened), repeats included; of no words, zero."""
     split = words(text)
     if not split:
-        return 0
+        return bytes(bits // 8)
     joined = b" ".join(split)
     ends = np.cumsum([len(w) + 1 for w in split])
     n = max(1, len(split) - shingle + 1)
     firsts = [0, *ends[: n - 1].tolist()]
     lasts = (ends[-n:] - 1).tolist()
-    ones = np.zeros(BITS, dtype=np.int64)
+    ones = np.zeros(bits, dtype=np.int64)
     for at in range(0, n, _HASHES):
-        hashes = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(firsts[at : at + _HASHES], lasts[at : at + _HASHES])]
-        ones += np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+        places = zip(firsts[at : at + _HASHES], lasts[at : at + _HASHES])
+        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in places], dtype=np.uint64)
+        wide = widened(hashes, bits // _WORD).astype(">u8").view(np.uint8).reshape(len(hashes), -1)
+        ones += np.unpackbits(wide, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n).tobytes()
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, name: str = "fingerprint_bits") -> DataFrame:
-    """``docs`` with the fingerprint as a signed 64-bit number in place of the text."""
+def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> DataFrame:
+    """``docs`` with the fingerprint's bytes in place of the text."""
 
     def start():
-        def step(texts):
-            return {name: np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)}
+        return lambda texts: {name: [fingerprint(t, shingle, bits) for t in texts]}
 
-        return step
+    return map_rows(docs, ["text"], start, {name: "binary"}, drop=("text",))
 
-    return map_rows(docs, ["text"], start, {name: "long"}, drop=("text",))
+
+def apart(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Differing bits of each value and each other one."""
+    total = np.zeros((len(values), len(others)), dtype=np.int16)
+    for w in range(values.shape[1]):
+        total += np.bitwise_count(values[:, w, None] ^ others[None, :, w])
+    return total
 
 
 class BKTree:
-    """Children of a node by their distance to it."""
-
-    def __init__(self, fingerprints: Iterable[int]):
-        self.nodes: list[tuple[int, dict[int, int]]] = []
-        for f in fingerprints:
-            self.add(f)
-
-    def add(self, value: int) -> None:
-        new = len(self.nodes)
-        self.nodes.append((value, {}))
-        at = 0
-        while at != new:
-            other, children = self.nodes[at]
-            at = children.setdefault((value ^ other).bit_count(), new)
-
-    def within(self, value: int, radius: int) -> list[int]:
-        found, todo = [], [0] if self.nodes else []
-        while todo:
-            other, children = self.nodes[todo.pop()]
-            distance = (value ^ other).bit_count()
-            if distance <= radius:
-                found.append(other)
-            if len(children) <= 2 * radius + 1:
-                todo += [c for d, c in children.items() if abs(d - distance) <= radius]
-            else:
-                todo += [children[d] for d in range(distance - radius, distance + radius + 1) if d in children]
-        return found
-
-
-def tree_edges(left: list[int], right: list[int] | None, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links inside ``left``, or between ``left`` and ``right``."""
-    root: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    edges, tree = [], BKTree(left)
-    for value in left if right is None else right:
-        for other in tree.within(value, radius):
-            a, b = top(value), top(other)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                edges.append((value, other))
-    return edges
-
-
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """First bit and width of ``radius + 2`` blocks of nearly equal width."""
-    n = radius + 2
-    at = [BITS * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(at, at[1:])]
-
-
-def shard_keys(value: Column, radius: int) -> Column:
-    """Array of shard numbers: for each pair of blocks, a hash of the pair's place and values."""
-    cut = [F.shiftrightunsigned(value, a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in blocks(radius)]
-    pairs = [(i, j) for j in range(len(cut)) for i in range(j)]
-    return F.array(
-        *(
-            F.shiftleft(F.lit(k).cast("long"), 48) + F.shiftleft(cut[i], 16) + cut[j]
-            for k, (i, j) in enumerate(pairs)
-        )
-    )
+    """Children of a node by their distance to it; branches of few fingerprints are leaves."""
+
+    def __init__(self, values: np.ndarray, places: np.ndarray):
+        self.values, self.places, self.children = values, places, {}
+        if len(values) > LEAF:
+            distance = apart(values[:1], values[1:])[0]
+            self.values, self.places = values[:1], places[:1]
+            for d in np.unique(distance):
+                under = np.flatnonzero(distance == d) + 1
+                # Equal ones never come twice, so a branch of distance 0 is empty.
+                self.children[int(d)] = BKTree(values[under], places[under])
+
+    def within(self, asked: np.ndarray, which: np.ndarray, radius: int):
+        """Places in the tree and numbers of those asked that are within ``radius``, leaf by leaf."""
+        if not len(which):
+            return
+        distance = apart(self.values, asked[which])
+        near = distance <= radius
+        if near.any():
+            for place, row in zip(self.places, near):
+                if row.any():
+                    yield place, which[row]
+        for d, child in self.children.items():
+            yield from child.within(asked, which[np.abs(distance[0] - d) <= radius], radius)
+
+
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
+    """Edges that join what links inside ``left``, or between ``left`` and ``right``, join; numbers run on into right."""
+    asked = left if right is None else right
+    shift = 0 if right is None else len(left)
+    root = np.arange(len(left) + (0 if right is None else len(right)))
+    tree = BKTree(left, np.arange(len(left)))
+    for place, found in tree.within(asked, np.arange(len(asked)), radius):
+        roots = np.unique(np.append(root[found + shift], root[place]))
+        if len(roots) > 1:
+            root[np.isin(root, roots)] = roots[0]
+    joined = np.flatnonzero(root != np.arange(len(root)))
+    return list(zip(joined.tolist(), root[joined].tolist()))
+
+
+def as_words(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), dtype=">u8").astype(np.uint64).reshape(len(values), -1)
+
+
+def dealt(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """value and shard of each fingerprint, once for each way of dealing."""
+    columns = {"value": "binary", "shard": "long"}
+    schema = arrow_schema(columns)
+    bounded_batches(nodes.sparkSession)
+
+    def task(batches):
+        for batch in batches:
+            if batch.num_rows:
+                shards = scheme.shards(as_words(batch.column(0).to_pylist()))
+                for column in shards.T:
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(column)], schema=schema)
 
+    return nodes.select("value").mapInArrow(task, ddl(columns))
 
-def near_links(fingerprints: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
-    """Edges (a, b) that join each group of the distinct ``value``s of ``fingerprints``.
 
-    Every link within ``radius`` is represented: its two ends are joined by
-    edges. Shards of one fingerprint go before the shuffle is sorted; a shard
-    of more than ``tree`` is split into trees by hash, and a search is made
-    for each tree and pair of trees.
+def near_links(nodes: DataFrame, scheme: Scheme = CLOSE, tree: int = TREE) -> DataFrame:
+    """Edges (a, b) that join the groups of the distinct ``value``s of ``nodes``.
+
+    The two ends of every link found are joined by edges. Shards of one
+    fingerprint go; a shard of more than ``tree`` is split into trees by hash,
+    and a search is made for each tree and each pair of trees.
     """
-    spark = bounded_batches(fingerprints.sparkSession)
-    keyed = fingerprints.select("value", F.explode(shard_keys(F.col("value"), radius)).alias("shard"))
+    keyed = dealt(nodes, scheme)
     sizes = keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = sizes.select("shard", F.ceil(F.col("n") / tree).cast("int").alias("trees"))
-    # Of a pair of trees both ends go to the pair's place; side tells the two apart.
     own = (F.pmod(F.xxhash64("value"), F.col("trees"))).cast("int")
+    # Of a pair of trees both ends go to the pair's place; second tells the two apart.
     placed = (
         keyed.join(sizes, "shard")
         .withColumn("own", own)
@@ -168,16 +214,21 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, tree: int = TREE)
     )
     keys = ["shard", "low", "high"]
     sorted_rows = placed.repartition(*keys).sortWithinPartitions(*keys, "second", "value")
-    columns = {"a": "long", "b": "long"}
+    columns = {"a": "binary", "b": "binary"}
     schema = arrow_schema(columns)
+    radius = scheme.radius
+    bounded_batches(nodes.sparkSession)
 
     def task(batches):
         key, sides = None, ([], [])
 
         def edges():
-            if key is None or len(sides[0]) + len(sides[1]) < 2:
+            left, right = sides
+            if key is None or len(left) + len(right) < 2 or key[1] != key[2] and not (left and right):
                 return []
-            return tree_edges(sides[0], None if key[1] == key[2] else sides[1], radius)
+            both = left + right
+            found = forest(as_words(left), as_words(right) if right else None, radius)
+            return [(both[i], both[j]) for i, j in found]
 
         for rows in batches:
             made = []
@@ -185,43 +236,70 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, tree: int = TREE)
                 if place != key:
                     made += edges()
                     key, sides = place, ([], [])
-                sides[second].append(value % (1 << BITS))
+                sides[second].append(value)
             yield batch(made)
         yield batch(edges())
 
     def batch(made):
-        signed = np.array(made, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(signed[:, 0]), pa.array(signed[:, 1])], schema=schema)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([a for a, _ in made], pa.binary()), pa.array([b for _, b in made], pa.binary())], schema=schema
+        )
 
     return sorted_rows.mapInArrow(task, ddl(columns)).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tree: int = TREE
-) -> DataFrame:
-    """``docs`` less the text, with fingerprint (16 hex digits) and component_id.
-
-    ``component_id`` is the smallest doc_id reachable over links of at most
-    ``radius`` differing bits, the row's own included; of a group without ids
-    it is null. Null, empty and blank texts have fingerprint zero and are
-    linked like any other; repeated rows fall into one group. Other columns
-    pass; those named like a result are replaced.
-    """
-    marked = staged(with_fingerprint(docs, shingle), "fingerprints")
+def grouped(marked: DataFrame, scheme: Scheme, tree: int) -> DataFrame:
+    """named_value, root and component_id of each distinct ``value`` of ``marked`` (doc_id, value)."""
     # Equal fingerprints are one node; the smallest id stands for its documents.
-    nodes = staged(
-        marked.groupBy(F.col("fingerprint_bits").alias("value")).agg(F.min("doc_id").alias("first_id")), "nodes"
-    )
-    groups = components(staged(near_links(nodes.select("value"), radius, tree), "links"))
+    nodes = staged(marked.groupBy("value").agg(F.min("doc_id").alias("first_id")), "nodes")
+    groups = components(staged(near_links(nodes, scheme, tree), "links"))
     labelled = nodes.join(groups, nodes["value"] == groups["node"], "left").select(
         "value", "first_id", F.coalesce("root", "value").alias("root")
     )
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    named = labelled.join(smallest, "root").select(
-        F.col("value").alias("named_value"), F.col("smallest").alias("component_id")
-    )
-    plain = marked.drop("fingerprint", "component_id")
-    joined = plain.join(named, plain["fingerprint_bits"] == named["named_value"]).withColumn(
-        "fingerprint", F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0"))
-    )
-    return joined.drop("fingerprint_bits", "named_value")
+    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return labelled.join(smallest, "root").select(F.col("value").alias("named_value"), "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHINGLE, tree: int = TREE) -> DataFrame:
+    """``docs`` less the text, with fingerprint (hex digits) and component_id.
+
+    ``component_id`` is the smallest doc_id reachable over links of the scheme,
+    the row's own included; of a group without ids it is null. Null, empty and
+    blank texts have fingerprint zero and are linked like any other; repeated
+    rows fall into one group. Other columns pass; those named like a result are
+    replaced.
+    """
+    plain = docs.drop("fingerprint", "component_id", "value")
+    marked = staged(with_fingerprint(plain, shingle, scheme.bits, "value"), "fingerprints")
+    named = grouped(marked, scheme, tree).drop("root")
+    joined = marked.join(named, marked["value"] == named["named_value"])
+    return joined.withColumn("fingerprint", F.lower(F.hex("value"))).drop("value", "named_value")
+
+
+def keep_one(docs: DataFrame, scheme: Scheme = ALIKE, shingle: int = SHINGLE, tree: int = TREE) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates; columns as given.
+
+    The row of the smallest doc_id stays, rows without an id come last; of
+    several, the one of the least text hash, and of equal rows one. Texts
+    without words are one group. Only ids, hashes and fingerprints are grouped;
+    texts move once, to meet the rows that stay.
+    """
+
+    def with_key(df):
+        return df.withColumns({"key_hash_": F.xxhash64("text"), "key_id_": F.col("doc_id")})
+
+    narrow = with_key(docs.select("doc_id", "text"))
+    marked = staged(with_fingerprint(narrow, shingle, scheme.bits, "value"), "fingerprints")
+    named = grouped(marked, scheme, tree)
+    rows = marked.join(named, marked["value"] == named["named_value"])
+    order = Window.partitionBy("root").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
+    first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
+    stay = staged(first.select(F.col("key_id_").alias("stay_id_"), F.col("key_hash_").alias("stay_hash_")), "stay")
+    left = with_key(docs)
+    same = left["key_id_"].eqNullSafe(stay["stay_id_"]) & (left["key_hash_"] == stay["stay_hash_"])
+    kept = left.join(stay, same, "left_semi")
+    # Equal rows stay together up to here; only where there are some is one picked.
+    equal = marked.join(stay, marked["key_id_"].eqNullSafe(stay["stay_id_"]) & (marked["key_hash_"] == stay["stay_hash_"]))
+    if equal.groupBy("key_id_", "key_hash_").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["key_id_", "key_hash_"])
+    return kept.drop("key_id_", "key_hash_")
