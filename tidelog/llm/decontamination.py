@@ -308,9 +308,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = MAX_C
     words together, so that a window shows up anew only if its halves stood
     around a longer hit; what remains is scanned by ``contamination_report``.
     """
-    found = find_contamination(docs, items, cut=True, **options)
+    own = {c: f"own_{c}_" for c in FOUND if c in docs.columns}
+    found = find_contamination(docs.withColumnsRenamed(own), items, cut=True, **options)
     kept = found.where(n_hit() <= max_coverage * F.col("n_words"))
     if "n_chars" in docs.columns:
         cut = F.length("text").cast(docs.schema["n_chars"].dataType)
         kept = kept.withColumn("n_chars", F.when(F.size("spans") > 0, cut).otherwise(F.col("n_chars")))
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return kept.select(*(F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))

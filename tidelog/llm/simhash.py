@@ -249,15 +249,17 @@ def near_links(nodes: DataFrame, scheme: Scheme = CLOSE, tree: int = TREE) -> Da
 
 
 def grouped(marked: DataFrame, scheme: Scheme, tree: int) -> DataFrame:
-    """named_value, root and component_id of each distinct ``value`` of ``marked`` (doc_id, value)."""
+    """named_value_, root_ and component_id of each distinct ``value_`` of ``marked`` (doc_id, value_)."""
     # Equal fingerprints are one node; the smallest id stands for its documents.
-    nodes = staged(marked.groupBy("value").agg(F.min("doc_id").alias("first_id")), "nodes")
+    nodes = staged(marked.groupBy(F.col("value_").alias("value")).agg(F.min("doc_id").alias("first_id")), "nodes")
     groups = components(staged(near_links(nodes, scheme, tree), "links"))
     labelled = nodes.join(groups, nodes["value"] == groups["node"], "left").select(
         "value", "first_id", F.coalesce("root", "value").alias("root")
     )
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return labelled.join(smallest, "root").select(F.col("value").alias("named_value"), "root", "component_id")
+    return labelled.join(smallest, "root").select(
+        F.col("value").alias("named_value_"), F.col("root").alias("root_"), "component_id"
+    )
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHINGLE, tree: int = TREE) -> DataFrame:
@@ -269,11 +271,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHIN
     rows fall into one group. Other columns pass; those named like a result are
     replaced.
     """
-    plain = docs.drop("fingerprint", "component_id", "value")
-    marked = staged(with_fingerprint(plain, shingle, scheme.bits, "value"), "fingerprints")
-    named = grouped(marked, scheme, tree).drop("root")
-    joined = marked.join(named, marked["value"] == named["named_value"])
-    return joined.withColumn("fingerprint", F.lower(F.hex("value"))).drop("value", "named_value")
+    plain = docs.drop("fingerprint", "component_id")
+    marked = staged(with_fingerprint(plain, shingle, scheme.bits, "value_"), "fingerprints")
+    named = grouped(marked, scheme, tree)
+    joined = marked.join(named, marked["value_"] == named["named_value_"])
+    return joined.withColumn("fingerprint", F.lower(F.hex("value_"))).drop("value_", "named_value_", "root_")
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = ALIKE, shingle: int = SHINGLE, tree: int = TREE) -> DataFrame:
@@ -289,10 +291,10 @@ def keep_one(docs: DataFrame, scheme: Scheme = ALIKE, shingle: int = SHINGLE, tr
         return df.withColumns({"key_hash_": F.xxhash64("text"), "key_id_": F.col("doc_id")})
 
     narrow = with_key(docs.select("doc_id", "text"))
-    marked = staged(with_fingerprint(narrow, shingle, scheme.bits, "value"), "fingerprints")
+    marked = staged(with_fingerprint(narrow, shingle, scheme.bits, "value_"), "fingerprints")
     named = grouped(marked, scheme, tree)
-    rows = marked.join(named, marked["value"] == named["named_value"])
-    order = Window.partitionBy("root").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
+    rows = marked.join(named, marked["value_"] == named["named_value_"])
+    order = Window.partitionBy("root_").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
     first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
     stay = staged(first.select(F.col("key_id_").alias("stay_id_"), F.col("key_hash_").alias("stay_hash_")), "stay")
     left = with_key(docs)

@@ -27,9 +27,9 @@ WORDS_KEPT = 400_000
 # Letters that no normal form changes, then ASCII marks other than the apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 _PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-# White space to Python but not to the tokenizers' patterns.
-_ODD = re.compile("[\x1c-\x1f]")
-_NOT_SINGLE = re.compile(r"[^\S \n]|\s\s|\x00")
+# White space to Python but not to the tokenizers' patterns, and the mark of a word without a blank.
+_ODD = re.compile("[\x00\x1c-\x1f]")
+_NOT_SINGLE = re.compile(r"[^\S \n]|\s\s")
 
 
 def byte_letters() -> dict[int, int]:
@@ -51,6 +51,8 @@ class Words(dict):
         # Byte-level pieces keep one blank in front of a word; the other make drops white space.
         self.spaced = before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and not normal
         self.dropped = before["type"] == "Sequence" and before["pretokenizers"][0].get("invert") and normal == ["NFC", "Replace", "Lowercase"]
+        # A token of its own ends the text before it, which no cut at white space shows.
+        self.own = [t["content"] for t in made["added_tokens"]]
         self.letters = byte_letters()
         self.pieces: dict[str, bytes] = {}
 
@@ -91,12 +93,12 @@ class Words(dict):
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not (self.spaced or self.dropped) or _ODD.search(text):
+        if not (self.spaced or self.dropped) or _ODD.search(text) or any(t in text for t in self.own):
             return self.whole(text)
         if self.dropped:
             words = text.split()
         elif _NOT_SINGLE.search(text):
-            words = [p[1:] if p[0] == " " else "\x00" + p for p in _PIECE.findall(text)]
+            words = [p[1:] if p[0] == " " and p[1:2].strip() else "\x00" + p for p in _PIECE.findall(text)]
         else:
             words = ("\x00" + text.replace("\n", " \n \x00")).split(" ")
         return b"".join(map(self.__getitem__, words))
