@@ -16,7 +16,7 @@ from tidelog.session import shared_dir
 
 #: Limits of one Arrow batch, so that a worker's memory does not follow the length of texts.
 BATCH_ROWS = 10_000
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 ARROW = {
     "long": pa.int64(),
@@ -99,7 +99,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends there, lost executors cost nothing."""
     path = new_folder(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
