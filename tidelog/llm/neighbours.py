@@ -274,9 +274,9 @@ def compare_in_buckets(index: DataFrame, probing: DataFrame, k: int) -> DataFram
 
 
 def nearest(
-    vectors: DataFrame, asked: Column, k: int = K, tables: int = TABLES, recall: float = RECALL
+    vectors: DataFrame, asked: str, k: int = K, tables: int = TABLES, recall: float = RECALL
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` nearest rows found for each row of ``vectors`` where ``asked``.
+    """query_id, rank, vec_id, score: the ``k`` nearest rows found for each row of ``vectors`` where ``asked`` (SQL) holds.
 
     ``vectors`` has vec_id and embedding; the score is the Euclidean distance
     in double precision. Rows without an id and vectors that are null, empty,
@@ -287,7 +287,7 @@ def nearest(
     with all rows, in blocks. Other columns are not carried.
     """
     clean = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    clean = clean.select("vec_id", F.col("embedding").cast("array<float>").alias("vector"), asked.alias("asked"))
+    clean = clean.select("vec_id", F.col("embedding").cast("array<float>").alias("vector"), F.expr(asked).alias("asked"))
     nodes = staged(nodes_of(clean, k), "nodes")
     shape = nodes.agg(F.min(F.size("vector")), F.max(F.size("vector")), F.count(F.lit(1))).first()
     spark = vectors.sparkSession

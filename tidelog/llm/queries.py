@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
@@ -87,7 +86,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_cross_polytope")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
 OP7_SQL = r"""
