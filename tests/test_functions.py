@@ -11,20 +11,62 @@ from tidelog.functions.mysql_types import infer_spark_type, infer_type, map_type
 from tidelog.operators.write_errors import batch_outcome, classify_rows, retry_order, retry_schedule
 
 # Source types and the target types they must give.
-TYPES = {
-    "INTEGER": "tinyint|tinyint unsigned|smallint|mediumint|int|int(11)|integer|bigint|year|interval x",
-    "BOOLEAN": "tinyint(1)|boolean|bool",
-    "FLOAT": "float|float(7,4)|double|double precision|real",
-    "NUMERIC": "decimal|decimal(10,2)|numeric|numeric(15,5)",
-    "STRING": "char|char(10)|varchar|varchar(255)|text|tinytext|mediumtext|longtext|enum|set|uuid|unknown|custom_type"
-    "|bit(8)|geometry|dec(3)|nvarchar(5)|",
-    "BYTES": "binary|binary(16)|varbinary|blob|tinyblob|mediumblob|longblob",
-    "TIMESTAMP": "datetime|datetime(6)|timestamp|timestamp(6)",
-    "DATE": "date",
-    "TIME": "time",
-    "JSON": "json",
-}
-CASES = [(name, target) for target, names in TYPES.items() for name in names.split("|")]
+CASES = [
+    ("tinyint", "INTEGER"),
+    ("tinyint unsigned", "INTEGER"),
+    ("smallint", "INTEGER"),
+    ("mediumint", "INTEGER"),
+    ("int", "INTEGER"),
+    ("int(11)", "INTEGER"),
+    ("integer", "INTEGER"),
+    ("bigint", "INTEGER"),
+    ("year", "INTEGER"),
+    ("interval x", "INTEGER"),
+    ("tinyint(1)", "BOOLEAN"),
+    ("boolean", "BOOLEAN"),
+    ("bool", "BOOLEAN"),
+    ("float", "FLOAT"),
+    ("float(7,4)", "FLOAT"),
+    ("double", "FLOAT"),
+    ("double precision", "FLOAT"),
+    ("real", "FLOAT"),
+    ("decimal", "NUMERIC"),
+    ("decimal(10,2)", "NUMERIC"),
+    ("numeric", "NUMERIC"),
+    ("numeric(15,5)", "NUMERIC"),
+    ("char", "STRING"),
+    ("char(10)", "STRING"),
+    ("varchar", "STRING"),
+    ("varchar(255)", "STRING"),
+    ("text", "STRING"),
+    ("tinytext", "STRING"),
+    ("mediumtext", "STRING"),
+    ("longtext", "STRING"),
+    ("enum", "STRING"),
+    ("set", "STRING"),
+    ("uuid", "STRING"),
+    ("unknown", "STRING"),
+    ("custom_type", "STRING"),
+    ("bit(8)", "STRING"),
+    ("geometry", "STRING"),
+    ("dec(3)", "STRING"),
+    ("nvarchar(5)", "STRING"),
+    ("", "STRING"),
+    ("binary", "BYTES"),
+    ("binary(16)", "BYTES"),
+    ("varbinary", "BYTES"),
+    ("blob", "BYTES"),
+    ("tinyblob", "BYTES"),
+    ("mediumblob", "BYTES"),
+    ("longblob", "BYTES"),
+    ("datetime", "TIMESTAMP"),
+    ("datetime(6)", "TIMESTAMP"),
+    ("timestamp", "TIMESTAMP"),
+    ("timestamp(6)", "TIMESTAMP"),
+    ("date", "DATE"),
+    ("time", "TIME"),
+    ("json", "JSON"),
+]
 
 
 def test_map_type(spark):

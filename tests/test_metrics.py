@@ -120,3 +120,18 @@ def test_reconcile(spark):
     got = {r.t: (r.source_rows, r.target_rows, r.is_equal) for r in reconcile(source, target, ["t"], row_checksum(["v"])).collect()}
     assert got == {"a": (2, 2, True), "b": (1, 1, False), "only s": (1, 0, False), "only t": (0, 2, False)}
     assert [tuple(r) for r in duplicate_report(target, ["t", "v"]).collect()] == [("only t", 1, 2)]
+
+
+@pytest.mark.parametrize("weight", [0.001, 0.5, 0.99, 1.0])
+def test_ema_of_any_weight(spark, weight):
+    values = [0.0, 0.0, *(random.Random(5).uniform(1, 50) for _ in range(4000))]
+    df = spark.createDataFrame([(1, i, v, "x") for i, v in enumerate(values)], "g int, seq bigint, ms double, other string")
+    got = latency_ema(df, ["g"], "seq", "ms", weight, slice_width=700).orderBy("seq").collect()
+    want, now = [], 0.0
+    for v in values:
+        now = v if now == 0 else weight * v + (1 - weight) * now
+        want.append(now)
+    assert [r["seq"] for r in got] == list(range(len(values))) and got[0]["other"] == "x"
+    assert max(abs(r["latency_ema"] - w) for r, w in zip(got, want)) < 1e-9
+    with pytest.raises(ValueError):
+        latency_ema(df, ["g"], "seq", "ms", 0.0)

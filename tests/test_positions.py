@@ -4,8 +4,11 @@ import random
 
 import pytest
 
-from tidelog.model import Position
+from tidelog.model import ColumnSpec, Position, TableSpec
 from tidelog.operators import positions as pos
+from tidelog.plans.sync import sync_once
+from tidelog.sinks.targets import read_targets
+from tidelog.sources.change_log import CHANGE_LOG_SCHEMA
 
 
 def log_of(spark, points):
@@ -112,3 +115,44 @@ def test_lost_numbers_fall_back_to_the_position(spark, caplog):
     with pytest.raises(RuntimeError):
         pos.resume_log(log, gap)
     assert pos.resume_log(log, None, None, Position("f", 110)).count() == 2
+
+
+def marked_log(spark, *events):
+    rows = [
+        ("f1", p, 0, kind, query, "app" if kind == "WRITE_ROWS" else None, "t", None, None, [[str(p)]])
+        for p, kind, query in events
+    ]
+    return spark.createDataFrame(rows, CHANGE_LOG_SCHEMA)
+
+
+SPEC = TableSpec("app", "t", (ColumnSpec("id", "bigint", True),))
+
+
+def delivered(spark, log, tmp_path, start, stops):
+    target, state = str(tmp_path / "target"), str(tmp_path / "state")
+    for stop in stops:
+        begin = pos.load_high_water(spark, state) or start
+        sync_once([(SPEC, None)], log, None, begin, Position("f1", stop), target, state)
+    rows = read_targets(spark, target).collect()
+    return sorted((r["_insert_id"], r["image"][0]) for r in rows), pos.load_high_water(spark, state)
+
+
+def test_a_stop_inside_a_transaction_loses_and_renames_nothing(spark, tmp_path):
+    log = marked_log(
+        spark, (100, "QUERY", "BEGIN"), (200, "WRITE_ROWS", None), (300, "WRITE_ROWS", None), (400, "XID", None), (500, "WRITE_ROWS", None)
+    )
+    whole, end = delivered(spark, log, tmp_path / "one", None, [500])
+    parts, same = delivered(spark, log, tmp_path / "many", None, [150, 250, 300, 400, 500])
+    assert whole == parts and end == same == Position("f1", 500)
+    assert [i for i, _ in whole] == ["(f1, 200):f1:100:0", "(f1, 300):f1:100:0", "(f1, 500):single_f1:500:0"]
+    assert pos.safe_point(log, None, Position("f1", 250)) == Position("f1", 99)
+    assert pos.safe_point(log, Position("f1", 220), Position("f1", 250)) == Position("f1", 220)
+    assert pos.safe_point(log, None, Position("f1", 400)) == Position("f1", 400)
+
+
+def test_a_start_inside_a_transaction_waits_for_its_commit(spark, tmp_path):
+    log = marked_log(spark, (700, "QUERY", "BEGIN"), (800, "WRITE_ROWS", None))
+    assert delivered(spark, log, tmp_path / "open", Position("f1", 750), [900])[0] == []
+    done = log.unionByName(marked_log(spark, (850, "QUERY", "COMMIT")))
+    rows, end = delivered(spark, done, tmp_path / "done", Position("f1", 750), [900])
+    assert rows == [("(f1, 800):f1:700:0", "800")] and end == Position("f1", 900)

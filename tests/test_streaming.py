@@ -125,6 +125,59 @@ def test_rows_are_counted_as_they_pass(spark, tmp_path):
     assert totals["batches_written"] >= 2 and totals["rows_per_second"] > 0 and totals["last_event_time"]
 
 
+def test_totals_over_more_batches_than_a_query_remembers(spark, tmp_path):
+    log, out, kept = str(tmp_path / "log"), str(tmp_path / "out"), str(tmp_path / "progress")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        for part in range(4):
+            for i in range(3):
+                write_log(spark, [(part * 10 + i, 10, "WRITE_ROWS", 1)], log)
+            rows = jobs.with_metrics(jobs.change_row_stream(stream_change_log(spark, log, max_files=1)))
+            query = jobs.run_once(rows, sinks.append_sink(out, "a"), str(tmp_path / "cp"))
+            for _ in range(2):
+                jobs.record_progress(query, kept)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    totals = jobs.recorded_totals(spark, kept).first()
+    n = sinks.read_batches(spark, out, rows.schema).count()
+    assert totals["total_batches_written"] >= 10 and totals["rows_processed"] == n > 0
+    assert totals["write_latency_ms"] > 0 and totals["average_batch_size"] == n / totals["total_batches_written"]
+
+
+def gate_log(spark, landed, *events):
+    rows = [
+        (f, p, 0, kind, query, "app" if kind == "WRITE_ROWS" else None, "t", None, None, [[str(p)]])
+        for f, p, kind, query in events
+    ]
+    spark.createDataFrame(rows, CHANGE_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(landed)
+
+
+def test_position_gate_refuses_a_log_out_of_order(spark, tmp_path):
+    landed = str(tmp_path / "log")
+    gate_log(spark, landed, ("f", 5, "WRITE_ROWS", None))
+    gate_log(spark, landed, ("f", 1, "QUERY", "BEGIN"))
+    gate = sinks.position_gate_sink(str(tmp_path / "gate"), "a", sinks.append_sink(str(tmp_path / "out"), "a"))
+    rows = route_event_kind(stream_change_log(spark, landed, max_files=1))
+    with pytest.raises(Exception, match="out of order: f:1 came after f:5"):
+        jobs.run_once(rows, gate, str(tmp_path / "cp"))
+
+
+def test_position_gate_settles_the_open_tail_of_a_finished_file(spark, tmp_path):
+    landed, at = str(tmp_path / "log"), str(tmp_path / "gate")
+    gate_log(spark, landed, ("f1", 1, "QUERY", "BEGIN"), ("f1", 2, "WRITE_ROWS", None))
+    for n in range(2, 6):
+        gate_log(spark, landed, (f"f{n}", 1, "QUERY", "BEGIN"), (f"f{n}", 2, "WRITE_ROWS", None), (f"f{n}", 3, "XID", None))
+    gate = sinks.position_gate_sink(at, "a", sinks.append_sink(str(tmp_path / "out"), "a"))
+    rows = route_event_kind(stream_change_log(spark, landed, max_files=1))
+    jobs.run_once(rows, gate, str(tmp_path / "cp"))
+    released = spark.read.parquet(str(tmp_path / "out")).select("binlog_file").collect()
+    assert sorted(r[0] for r in released) == ["f2", "f3", "f4", "f5"]
+    gone = sinks.discarded_events(spark, at, "a", rows.schema)
+    assert sorted((r["binlog_file"], r["log_pos"]) for r in gone.collect()) == [("f1", 1), ("f1", 2)]
+    left = [p.name for p in (tmp_path / "gate" / "run=a" / "batch_id=0").iterdir()]
+    assert left == ["gate=discarded"]
+
+
 def test_position_gate_holds_open_transactions_over_batches(spark, tmp_path):
     """A transaction over three files, an abandoned one, and a crash in between."""
     landed, out = str(tmp_path / "log"), str(tmp_path / "out")

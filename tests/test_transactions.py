@@ -104,12 +104,12 @@ def test_event_delivered_very_often(spark, monkeypatch, limit):
     log = random_log(11, n=100, files=2)
     hot = next(e for e in log if e[3] == "INSERT")
     want, _ = replay(log)
-    merged = merge_hot_copies(events_of(spark, log + [hot] * 5000), most=50)
+    merged = merge_hot_copies(events_of(spark, log + [hot] * 5000), slice_bytes=5_000)
     assert merged.count() == len(log)
     got = assign_transaction(merged, 5_000).collect()
     assert {(r.binlog_file, r.log_pos): (r.txn_id, r.committed) for r in got} == want
     plain = events_of(spark, log)
-    assert merge_hot_copies(plain, most=50) is plain
+    assert merge_hot_copies(plain, slice_bytes=50_000) is plain
 
 
 def test_flush_marks_open_rows(spark):

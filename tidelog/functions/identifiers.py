@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 def insert_id(binlog_file: Column, log_pos: Column, txn_id: Column, image_idx: Column) -> Column:
     """``(file, pos):transaction:index``, the same for every delivery of a row."""
-    return F.format_string("(%s, %d):%s:%d", binlog_file, log_pos, txn_id, image_idx)
+    pos, idx = log_pos.cast("string"), image_idx.cast("string")
+    return F.concat(F.lit("("), binlog_file, F.lit(", "), pos, F.lit("):"), txn_id, F.lit(":"), idx)
 
 
 def snapshot_insert_id(database: str, table: str, key: list[str]) -> Column:

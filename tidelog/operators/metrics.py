@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.model import LATENCY_WEIGHT
@@ -13,11 +12,9 @@ from tidelog.operators.ordered import Running, running, slice_of
 
 # Values per slice of a whole-number sequence.
 SLICE_WIDTH = 1_000_000
-# Rows per block of the latency average. Over one block the weight of a value
-# falls to 0.9**256 (about 2e-12), so what lies more than three blocks back is
-# far below the last digit of a double.
+# Rows per block of the latency average, and how often blocks are gathered into blocks.
 EMA_BLOCK = 256
-EMA_BLOCKS_BACK = 3
+EMA_LEVELS = 2
 
 
 def position_text(binlog_file: Column, log_pos: Column) -> Column:
@@ -143,10 +140,14 @@ def latency_ema(
 ) -> DataFrame:
     """``weight * x + (1 - weight) * previous`` after each write; the first non-zero sample seeds it.
 
-    The recurrence unrolls to a weighted sum. Rows are numbered, cut into blocks,
-    and each block starts from the weighted totals of the blocks before it.
+    A row takes the value before it to ``a * value + t``, and so does a block of
+    rows. Rows are numbered and cut into blocks, each block's ``a`` and ``t`` are
+    folded in order, blocks are gathered into larger blocks the same way, and
+    every block starts from the fold of all before it. No task holds more than
+    a block, and as nothing is divided, any weight up to 1 is exact.
     """
-    keep = 1.0 - weight
+    if not 0 < weight <= 1:
+        raise ValueError("weight must lie above 0 and not above 1")
     keys = list(group)
     numbered = running(
         writes.withColumn("_slice", slice_of(seq, slice_width)),
@@ -159,26 +160,43 @@ def latency_ema(
         ],
     )
     share = F.when(F.coalesce(F.col("_seen"), F.lit(False)), F.lit(weight)).otherwise(F.lit(1.0))
-    blocked = numbered.withColumns(
-        {
-            "_block": F.expr(f"(_n - 1) div {EMA_BLOCK}"),
-            "_j": (F.col("_n") - 1) % EMA_BLOCK,
-        }
-    ).withColumn("_part", share * F.col(latency) * F.pow(F.lit(keep), -F.col("_j")))
-    # A full block's own average at its last row, offered to the blocks after it.
-    back = F.array(*(F.lit(i).cast("bigint") for i in range(EMA_BLOCKS_BACK)))
-    heads = (
-        blocked.groupBy(*keys, "_block")
-        .agg((F.sum("_part") * (keep ** (EMA_BLOCK - 1))).alias("_out"))
-        .select(*keys, (F.col("_block") + 1).alias("_block"), "_out", F.explode(back).alias("_back"))
-        .groupBy(*keys, (F.col("_block") + F.col("_back")).alias("_block"))
-        .agg(F.sum(F.col("_out") * F.pow(F.lit(keep**EMA_BLOCK), F.col("_back"))).alias("_carry"))
-        .select(*keys, "_block", (F.col("_carry") * keep).alias("_part"), F.lit(-1).cast("bigint").alias("_j"))
+    rows = numbered.select(
+        *keys,
+        (F.col("_n") - 1).alias("_at"),
+        (F.lit(1.0) - share).alias("_a"),
+        (share * F.col(latency)).alias("_t"),
+        F.struct(*(F.col(f"`{c}`") for c in writes.columns)).alias("_row"),
     )
-    window = W.partitionBy(*keys, "_block").orderBy("_j").rowsBetween(W.unboundedPreceding, 0)
-    return (
-        blocked.unionByName(heads, allowMissingColumns=True)
-        .withColumn("latency_ema", F.sum("_part").over(window) * F.pow(F.lit(keep), F.col("_j")))
-        .where(F.col("_j") >= 0)
-        .drop("_slice", "_n", "_seen", "_block", "_j", "_part")
+    done = _folded(rows, keys, EMA_LEVELS)
+    return done.select("_row.*", (F.col("_a") * F.col("_before") + F.col("_t")).alias("latency_ema"))
+
+
+def _folded(rows: DataFrame, keys: list[str], levels: int) -> DataFrame:
+    """Add ``_before``, the value that ``(_at, _a, _t)`` rows start from, to ``rows``."""
+    block = F.expr(f"_at div {EMA_BLOCK}") if levels else F.lit(0).cast("bigint")
+    body = [c for c in rows.columns if c not in keys]
+    blocks = (
+        rows.withColumn("_block", block)
+        .groupBy(*keys, "_block")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", *(c for c in body if c != "_at")))).alias("_rows"))
+    )
+    if levels:
+        both = F.aggregate(
+            "_rows",
+            F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("t")),
+            lambda s, r: F.struct((s["a"] * r["_a"]).alias("a"), (s["t"] * r["_a"] + r["_t"]).alias("t")),
+        )
+        totals = blocks.select(*keys, F.col("_block").alias("_at"), both["a"].alias("_a"), both["t"].alias("_t"))
+        starts = _folded(totals, keys, levels - 1).select(*keys, F.col("_at").alias("_block"), F.col("_before").alias("_start"))
+        blocks = blocks.join(starts, [*keys, "_block"])
+    else:
+        blocks = blocks.withColumn("_start", F.lit(0.0))
+    path = F.aggregate(
+        "_rows",
+        F.array("_start"),
+        lambda s, r: F.concat(s, F.array(F.element_at(s, -1) * r["_a"] + r["_t"])),
+    )
+    paired = blocks.select(*keys, F.explode(F.arrays_zip("_rows", path.alias("_path"))).alias("_p"))
+    return paired.where(F.col("_p._rows").isNotNull()).select(
+        *keys, *(F.col(f"_p._rows.{c}").alias(c) for c in body), F.col("_p._path").alias("_before")
     )

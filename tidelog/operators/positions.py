@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.model import Position
+from tidelog.model import BEGIN, Position
+from tidelog.operators.images import is_marker, txn_marker
 from tidelog.operators.ordered import Running, running, slice_of
 from tidelog.session import broadcast_if_small
 
@@ -49,6 +50,46 @@ def catch_up_range(log: DataFrame, start: Position | None, stop: Position) -> Da
     return resume_filter(log, start).where(up_to(stop))
 
 
+def opening_before(log: DataFrame, position: Position) -> Position | None:
+    """The BEGIN of the transaction that is open at ``position``, by the log's own columns.
+
+    A transaction never spans files, so the last marker up to the position in
+    its file decides; only markers of that file are read.
+    """
+    kind, query = F.col("kind"), F.col("query")
+    here = (F.col("binlog_file") == position.binlog_file) & (F.col("log_pos") <= position.log_pos)
+    last = log.where(here & is_marker(kind, query)).agg(F.max_by(F.struct("log_pos", txn_marker(kind, query)), "log_pos"))
+    found = last.first()[0]
+    return Position(position.binlog_file, found[0]) if found is not None and found[1] == BEGIN else None
+
+
+def with_opening(log: DataFrame, start: Position | None, stop: Position) -> DataFrame:
+    """Events in ``(start, stop]``, and the BEGIN of the transaction that ``start`` lies in.
+
+    So rows behind a start inside a transaction keep its id and wait for its COMMIT.
+    """
+    ranged = catch_up_range(log, start, stop)
+    opened = opening_before(log, start) if start is not None else None
+    if opened is None:
+        return ranged
+    begin = (F.col("binlog_file") == opened.binlog_file) & (F.col("log_pos") == opened.log_pos)
+    return ranged.unionByName(log.where(begin))
+
+
+def safe_point(log: DataFrame, start: Position | None, stop: Position) -> Position:
+    """The point to go on from after a gated run to ``stop``: nothing before it is undecided.
+
+    Where a transaction is open at ``stop`` this is just before its BEGIN, but
+    never before ``start``. A finished file's open tail holds nothing up, as
+    only the file of ``stop`` is looked at.
+    """
+    opened = opening_before(log, stop)
+    if opened is None:
+        return stop
+    before = Position(opened.binlog_file, opened.log_pos - 1)
+    return before if start is None else max(before, start)
+
+
 def high_water(events: DataFrame) -> DataFrame:
     """The last position as a one-row table."""
     return events.agg(F.max(F.struct("binlog_file", "log_pos")).alias("p")).select("p.binlog_file", "p.log_pos")

@@ -13,8 +13,8 @@ from tidelog.session import broadcast_if_small
 # Offsets are bytes and an event takes at least its 19-byte header, so a slice
 # of this width holds a bounded number of events, however large its file is.
 SLICE_BYTES = 64 * 1024 * 1024
-# Copies of one event that may meet in one slice.
-HOT_COPIES = 100_000
+# Least bytes of an event in the log.
+EVENT_BYTES = 19
 
 
 def _marker() -> Column:
@@ -77,22 +77,23 @@ def assign_transaction(events: DataFrame, slice_bytes: int = SLICE_BYTES, delive
     )
 
 
-def merge_hot_copies(events: DataFrame, most: int = HOT_COPIES) -> DataFrame:
-    """Merge the copies of events that were delivered more than ``most`` times.
+def merge_hot_copies(events: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """Merge the copies of events where a slice holds more events than its bytes allow.
 
-    Only their keys are counted beforehand. The copies of such an event would
-    all meet in one slice; they are merged before the shuffle instead. Without
-    such events, the usual case, ``events`` is returned as it is.
+    Events are counted by slice, which few numbers suffice for; only a slice
+    that is too full holds events that were delivered often, and its copies are
+    merged before the shuffle. Without such a slice, the usual case, ``events``
+    is returned as it is.
     """
-    keys = ["binlog_file", "log_pos"]
-    hot = events.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*keys)
-    if hot.isEmpty():
+    place = ["binlog_file", "_slice"]
+    sliced = events.withColumn("_slice", slice_of("log_pos", slice_bytes))
+    full = sliced.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > slice_bytes // EVENT_BYTES + 1)
+    full = full.select(*place)
+    if full.isEmpty():
         return events
-    hot, small = broadcast_if_small(hot)
-    if not small:
-        return events.dropDuplicates(keys)
-    merged = events.join(hot, keys, "left_semi").dropDuplicates(keys)
-    return events.join(hot, keys, "left_anti").unionByName(merged)
+    full, _ = broadcast_if_small(full)
+    merged = sliced.join(full, place, "left_semi").dropDuplicates(["binlog_file", "log_pos"])
+    return sliced.join(full, place, "left_anti").unionByName(merged).drop("_slice")
 
 
 def gtid_transaction(events: DataFrame) -> DataFrame:

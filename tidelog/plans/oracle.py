@@ -106,5 +106,11 @@ SNAPSHOT_ORDERS = f"""SELECT {SNAPSHOT_TIME} AS _cdc_timestamp, 'SNAPSHOT' AS _c
 START = "(binlog_file > 'mysql-bin.000000000001' OR (binlog_file = 'mysql-bin.000000000001' AND log_pos > 5000000))"
 
 
+# The position of the last XID, as one row.
+LAST_XID = """last_file AS (SELECT max(binlog_file) AS stop_file FROM log WHERE kind = 'XID'),
+stop AS (SELECT stop_file, max(log_pos) AS stop_pos FROM log, last_file WHERE kind = 'XID' AND binlog_file = stop_file
+  GROUP BY stop_file)"""
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"

@@ -12,6 +12,7 @@ from tidelog.functions.gtid import explode_gtid_sets
 from tidelog.operators.positions import merge_spans
 from tidelog.operators.transactions import assign_transaction
 from tidelog.plans.oracle import (
+    LAST_XID,
     LOG,
     ORDER_ROWS,
     SNAPSHOT_ORDERS,
@@ -172,9 +173,8 @@ def resume_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "catch_up_range",
     with_(LOG)
-    + f"""SELECT binlog_file, log_pos, kind, gtid_no FROM log
-    WHERE {START} AND (binlog_file, log_pos) <= (SELECT (binlog_file, log_pos) FROM log WHERE kind = 'XID'
-      ORDER BY binlog_file DESC, log_pos DESC LIMIT 1)""",
+    + f""", {LAST_XID} SELECT binlog_file, log_pos, kind, gtid_no FROM log, stop
+    WHERE {START} AND (binlog_file < stop_file OR (binlog_file = stop_file AND log_pos <= stop_pos))""",
 )
 def catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = d.landed_log(spark, sf_dir)
@@ -192,9 +192,9 @@ def executed_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "gtid_resume_filter",
     with_(LOG)
-    + f"""SELECT binlog_file, log_pos, kind, gtid_uuid, gtid_no FROM log l
-    WHERE NOT EXISTS (SELECT 1 FROM log e WHERE NOT {START.replace("binlog_file", "e.binlog_file").replace("log_pos", "e.log_pos")}
-      AND e.gtid_uuid = l.gtid_uuid AND e.gtid_no = l.gtid_no)""",
+    + f""", done AS (SELECT DISTINCT gtid_uuid AS done_uuid, gtid_no AS done_no FROM log WHERE NOT {START})
+    SELECT binlog_file, log_pos, kind, gtid_uuid, gtid_no FROM log
+    LEFT JOIN done ON done_uuid = gtid_uuid AND done_no = gtid_no WHERE done_no IS NULL""",
 )
 def gtid_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = d.landed_log(spark, sf_dir)

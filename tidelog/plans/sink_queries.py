@@ -17,6 +17,7 @@ from tidelog.plans.oracle import (
     INSERT_ID as INSERT_ID_SQL,
 )
 from tidelog.plans.oracle import (
+    LAST_XID,
     LOG,
     META,
     ORDER_COLUMNS,
@@ -254,9 +255,8 @@ def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "once_mode",
-    GTID_IMAGES
-    + f"""{ROWS} WHERE {START} AND (binlog_file, log_pos) <= (SELECT (binlog_file, log_pos) FROM log WHERE kind = 'XID'
-      ORDER BY binlog_file DESC, log_pos DESC LIMIT 1)""",
+    with_(LOG, LAST_XID, events(), GTID_TX, images("tx"))
+    + f"""{ROWS}, stop WHERE {START} AND (binlog_file < stop_file OR (binlog_file = stop_file AND log_pos <= stop_pos))""",
 )
 def once(spark: SparkSession, sf_dir: str) -> DataFrame:
     stop = pos.last_position(d.landed_log(spark, sf_dir).where(F.col("kind") == "XID"))
@@ -338,9 +338,24 @@ def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tables = [(d.ORDERS, orders), (d.CUSTOMERS, d.table(spark, sf_dir, "customer"))]
     stop = pos.last_position(log)
-    sync_once(tables, log, snapshot_at(), START_POSITION, stop, target, state, slice_bytes=d.SLICE_BYTES)
-    if pos.load_high_water(spark, state) != stop:
-        raise RuntimeError("the stop point was not saved")
+    reached = sync_once(tables, log, snapshot_at(), START_POSITION, stop, target, state, slice_bytes=d.SLICE_BYTES)
+    if pos.load_high_water(spark, state) != reached:
+        raise RuntimeError("the point to go on from was not saved")
+    return targets.read_target(spark, target, d.ORDERS)
+
+
+# Inside a transaction that never commits, and inside one that does so later.
+STOPS = (pos.Position("mysql-bin.000000000001", 88_000_404), pos.Position("mysql-bin.000000000002", 20_000_404))
+
+
+@query("sync_in_steps", TXN_IMAGES + f"SELECT {ORDER_ROWS} AND committed")
+def synced_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs whose stops lie inside transactions give what one run gives, row for row."""
+    log = d.landed_log(spark, sf_dir)
+    target, state = new_path(spark, "target"), new_path(spark, "state")
+    orders = [(d.ORDERS, d.table(spark, sf_dir, "orders"))]
+    for stop in (*STOPS, pos.last_position(log)):
+        sync_once(orders, log, None, pos.load_high_water(spark, state), stop, target, state, slice_bytes=d.SLICE_BYTES)
     return targets.read_target(spark, target, d.ORDERS)
 
 

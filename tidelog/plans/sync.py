@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelog.model import Position, TableSpec
 from tidelog.operators.images import route_event_kind
-from tidelog.operators.positions import catch_up_range, last_position, save_high_water
+from tidelog.operators.positions import last_position, safe_point, save_high_water, with_opening
 from tidelog.operators.rows import generic_change_rows, typed_change_rows
 from tidelog.operators.transactions import (
     SLICE_BYTES,
@@ -35,12 +35,14 @@ def catch_up_rows(
 ) -> DataFrame:
     """One table's change rows from the log in ``(start, stop]``, each event once.
 
-    ``gated`` releases committed transactions only. ``transform`` runs on the
+    ``gated`` releases committed transactions only; a transaction that is open
+    at ``stop`` is released by a later run, which must start at ``safe_point``.
+    A start inside a transaction is resolved by its BEGIN. ``transform`` runs on the
     released images. Other tables' rows are dropped before the shuffle.
     """
-    ranged = catch_up_range(log, start, stop)
+    ranged = with_opening(log, start, stop)
     events = route_event_kind(select_log_tables(ranged, [(spec.database, spec.table)]))
-    assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
+    assigned = assign_transaction(merge_hot_copies(events, slice_bytes), slice_bytes)
     images = commit_gate(assigned) if gated else flush_pending(assigned)
     if transform is not None:
         images = images.transform(transform)
@@ -70,7 +72,7 @@ def snapshot_plus_catch_up(
 def sync_once(
     tables: list[tuple[TableSpec, DataFrame]],
     log: DataFrame,
-    snapshot_ts: Column,
+    snapshot_ts: Column | None,
     start: Position | None,
     stop: Position,
     target: str,
@@ -78,15 +80,22 @@ def sync_once(
     gated: bool = True,
     slice_bytes: int = SLICE_BYTES,
     saved_at_s: int = 0,
-) -> None:
-    """Snapshot and catch-up of all tables in one write; the stop point is saved once the write is done."""
-    snapshots = [snapshot_images(rows, spec, snapshot_ts) for spec, rows in tables]
+) -> Position:
+    """Snapshot and catch-up of all tables in one write; the point to go on from is saved once the write is done.
+
+    Without a ``snapshot_ts`` only the log is read, as in the runs after the
+    first. The saved point is ``stop``, or in front of the transaction that is
+    open there, so that its rows come with a later run, whole and under its id.
+    """
+    snapshots = [] if snapshot_ts is None else [snapshot_images(rows, spec, snapshot_ts) for spec, rows in tables]
     names = [(spec.database, spec.table) for spec, _ in tables]
-    events = route_event_kind(select_log_tables(catch_up_range(log, start, stop), names))
-    assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
+    events = route_event_kind(select_log_tables(with_opening(log, start, stop), names))
+    assigned = assign_transaction(merge_hot_copies(events, slice_bytes), slice_bytes)
     changes = generic_change_rows(commit_gate(assigned) if gated else flush_pending(assigned))
     append_change_rows(reduce(DataFrame.unionByName, [*snapshots, changes]), target)
-    save_high_water(log.sparkSession, state, stop, saved_at_s)
+    reached = safe_point(log, start, stop) if gated else stop
+    save_high_water(log.sparkSession, state, reached, saved_at_s)
+    return reached
 
 
 def backfill(

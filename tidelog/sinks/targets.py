@@ -167,6 +167,13 @@ def retained(rows: DataFrame, period: str, granularity: str, now: Column, expira
     return rows.where(F.col(period).cast("string") >= oldest)
 
 
+def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete folders that are there."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def expire_partitions(spark: SparkSession, path: str, period: str, oldest_kept: str) -> list[str]:
     """Delete the folders of periods before ``oldest_kept``; no row is rewritten.
 

@@ -65,8 +65,51 @@ def with_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def record_progress(query: StreamingQuery, path: str) -> None:
+    """Add the batches that the query remembers to a metrics table; call it at least every hundred batches.
+
+    A batch that is recorded twice counts once, by its query and number.
+    """
+    batches = [json.loads(p.json) for p in query.recentProgress]
+    rows = [
+        (
+            b["id"],
+            b["batchId"],
+            b["observedMetrics"][METRICS]["rows_processed"],
+            b["observedMetrics"][METRICS].get("last_event_time"),
+            b["durationMs"].get("triggerExecution", 0),
+        )
+        for b in batches
+        if METRICS in b.get("observedMetrics", {})
+    ]
+    if rows:
+        query.sparkSession.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+PROGRESS_SCHEMA = "query_id string, batch_id bigint, rows_processed bigint, last_event_time string, took_ms bigint"
+
+
+def recorded_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Batches, rows, mean batch size, time per batch and rate over all recorded batches, as one row."""
+    once = spark.read.schema(PROGRESS_SCHEMA).parquet(path).groupBy("query_id", "batch_id").agg(
+        *(F.max(c).alias(c) for c in ("rows_processed", "last_event_time", "took_ms"))
+    )
+    rows, took = F.coalesce(F.sum("rows_processed"), F.lit(0)), F.coalesce(F.sum("took_ms"), F.lit(0))
+    return once.agg(
+        F.count("*").alias("total_batches_written"),
+        rows.alias("rows_processed"),
+        F.coalesce(F.avg("rows_processed"), F.lit(0.0)).alias("average_batch_size"),
+        F.coalesce(F.avg("took_ms"), F.lit(0.0)).alias("write_latency_ms"),
+        F.when(took > 0, rows * 1000 / took).otherwise(F.lit(0.0)).alias("rows_per_second"),
+        F.max("last_event_time").alias("last_row_time"),
+    )
+
+
 def progress_totals(query: StreamingQuery) -> dict:
-    """Rows, batches and rates over the batches a query still remembers."""
+    """Rows, batches and rates over the newest batches, those a query still remembers.
+
+    Totals from the start are those of ``record_progress`` and ``recorded_totals``.
+    """
     batches = [json.loads(p.json) for p in query.recentProgress]
     seen = [b["observedMetrics"][METRICS] for b in batches if METRICS in b.get("observedMetrics", {})]
     took = sum(b["durationMs"].get("triggerExecution", 0) for b in batches) / 1000

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from tidelog.functions.failures import RETRY, classify_row_error, retry_delay_s, retry_exhausted
 from tidelog.model import INSERT_ID, TableSpec
 from tidelog.operators.images import cast_failures, missing_required
+from tidelog.operators.positions import high_water
 from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, merge_hot_copies
-from tidelog.sinks.targets import new_rows, read_or_none
+from tidelog.sinks.targets import delete_folders, new_rows, read_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -120,7 +121,7 @@ def outcome_sink(path: str, run: str) -> BatchWriter:
     return write
 
 
-RELEASED, HELD = "released", "held"
+RELEASED, HELD, DISCARDED, REACHED = "released", "held", "discarded", "reached"
 
 
 def position_gate_sink(path: str, run: str, deliver: BatchWriter, slice_bytes: int = SLICE_BYTES) -> BatchWriter:
@@ -129,23 +130,54 @@ def position_gate_sink(path: str, run: str, deliver: BatchWriter, slice_bytes: i
     Each micro-batch of routed events is joined by the events the batch before
     it held back. What is decided goes to ``deliver``; the events of a
     transaction that is still open are held in the batch's folder for the next
-    one. Nothing is bound by time. The log must arrive in log order.
+    one. Nothing is bound by time. A transaction never spans files, so one that
+    is open when a later file has begun is settled as discarded and kept apart.
+
+    The log must arrive in log order: an event at or before the highest position
+    of an earlier batch ends the stream with an error, as its transaction may
+    have been decided without it. Folders are dropped once two batches have
+    followed, when no repeat can ask for them; discarded events stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = batch
+        events, here = batch, batch_folder(path, run, batch_id)
+        reached = high_water(batch)
         if batch_id > 0:
-            before = spark.read.schema(batch.schema).parquet(f"{batch_folder(path, run, batch_id - 1)}/gate={HELD}")
+            earlier = batch_folder(path, run, batch_id - 1)
+            before = spark.read.schema(batch.schema).parquet(f"{earlier}/gate={HELD}")
             events = before.unionByName(batch)
-        assigned = assign_transaction(merge_hot_copies(events), slice_bytes)
-        gate = F.when(F.col("undecided"), F.lit(HELD)).when(F.col("committed"), F.lit(RELEASED))
-        here = batch_folder(path, run, batch_id)
+            last = spark.read.schema(reached.schema).parquet(f"{earlier}/{REACHED}")
+            _check_order(batch, last)
+            reached = high_water(reached.unionByName(last).where(F.col("binlog_file").isNotNull()))
+        reached.write.mode("overwrite").parquet(f"{here}/{REACHED}")
+        newest = spark.read.schema(reached.schema).parquet(f"{here}/{REACHED}").first()["binlog_file"]
+        assigned = assign_transaction(merge_hot_copies(events, slice_bytes), slice_bytes)
+        abandoned = F.col("undecided") & (F.col("binlog_file") < F.lit(newest))
+        gate = (
+            F.when(abandoned, F.lit(DISCARDED)).when(F.col("undecided"), F.lit(HELD)).when(F.col("committed"), F.lit(RELEASED))
+        )
         decided = assigned.withColumn("gate", gate).where(F.col("gate").isNotNull())
-        decided.write.mode("overwrite").partitionBy("gate").parquet(here)
-        # An empty table keeps both folders readable.
-        for name in (RELEASED, HELD):
-            assigned.limit(0).write.mode("append").parquet(f"{here}/gate={name}")
+        for name in (RELEASED, HELD, DISCARDED):
+            # An empty table keeps each folder readable.
+            assigned.limit(0).write.mode("overwrite").parquet(f"{here}/gate={name}")
+        decided.write.mode("append").partitionBy("gate").parquet(here)
         deliver(spark.read.schema(assigned.schema).parquet(f"{here}/gate={RELEASED}"), batch_id)
+        if batch_id > 1:
+            spent = batch_folder(path, run, batch_id - 2)
+            delete_folders(spark, [f"{spent}/gate={RELEASED}", f"{spent}/gate={HELD}", f"{spent}/{REACHED}"])
 
     return write
+
+
+def _check_order(batch: DataFrame, last: DataFrame) -> None:
+    first = batch.agg(F.min(F.struct("binlog_file", "log_pos")).alias("p")).select("p.binlog_file", "p.log_pos").first()
+    held = last.first()
+    if None in (first[0], held["binlog_file"]) or (first[0], first[1]) > (held["binlog_file"], held["log_pos"]):
+        return
+    raise RuntimeError(f"the log is out of order: {first[0]}:{first[1]} came after {held['binlog_file']}:{held['log_pos']}")
+
+
+def discarded_events(spark: SparkSession, path: str, run: str, schema: T.StructType) -> DataFrame:
+    """Events of transactions that the position gate settled as discarded, over all batches."""
+    return spark.read.schema(schema).parquet(f"{path}/run={run}/batch_id=*/gate={DISCARDED}")
