@@ -45,7 +45,9 @@ raw AS (
   UNION ALL SELECT o_orderkey, 0, 95000, 'ROTATE', NULL, NULL, NULL FROM orders WHERE o_orderkey % 1000 = 999),
 log AS (
   SELECT 'mysql-bin.' || lpad(CAST(series * 1000000000 + k // 1000 + 1 AS VARCHAR), 12, '0') AS binlog_file,
-         CAST(4 + (k % 1000) * 100000 + off AS BIGINT) AS log_pos, CAST(1704067200 + k AS BIGINT) AS event_ts_s,
+         CAST(4 + (k % 1000) * 100000 + off AS BIGINT) AS log_pos, CAST(1704067200 + k - CASE WHEN k % 97 = 5
+           AND (coalesce(tab IN ('orders', 'order_lines'), FALSE) OR coalesce(query IN ('BEGIN', 'START TRANSACTION'), FALSE))
+           THEN 1000 ELSE 0 END AS BIGINT) AS event_ts_s,
          kind, query, CASE WHEN tab IS NOT NULL THEN 'shop' END AS source_db, tab AS source_table,
          CASE k % 2 WHEN 0 THEN '{UUIDS[0]}' ELSE '{UUIDS[1]}' END AS gtid_uuid,
          CAST(series * 1000000000000 + k // 2 + 1 AS BIGINT) AS gtid_no, imgs FROM raw)"""

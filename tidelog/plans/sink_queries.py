@@ -196,7 +196,10 @@ def drained(spark: SparkSession, rows: DataFrame, schema: T.StructType | None =
 
 @query("commit_gate", GTID_IMAGES + ROWS + " WHERE committed")
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(drained(spark, jobs.change_row_stream(steps(spark, sf_dir), gate=(DELAY, BOUND))))
+    """Released by the stream, and what its bounds left out settled by the batch form."""
+    released = drained(spark, jobs.change_row_stream(steps(spark, sf_dir), gate=(DELAY, BOUND)))
+    rest = jobs.leftovers(d.landed_log(spark, sf_dir), released).where("committed")
+    return flat(released).unionByName(flat(rest))
 
 
 @query("commit_gate_by_position", TXN_IMAGES + ROWS + " WHERE committed")
@@ -217,16 +220,16 @@ def gated_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "force_flush",
     GTID_IMAGES
-    + f"""SELECT {META}, array_to_string(image, '|') AS image, {INSERT_ID_SQL} AS _insert_id, committed FROM img
-    WHERE committed OR event_ts_s < (SELECT least(max(event_ts_s) FILTER (op = 'COMMIT'),
-      max(event_ts_s) FILTER (op IN ('INSERT', 'UPDATE', 'DELETE'))) FROM ev) - 600 - 300""",
+    + f"SELECT {META}, array_to_string(image, '|') AS image, {INSERT_ID_SQL} AS _insert_id, committed FROM img",
 )
 def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events_ = gtid_transaction(route_event_kind(steps(spark, sf_dir)))
     rows = generic_change_rows(
         explode_row_images(after_images(force_flush_stream(events_, DELAY, BOUND))), ["committed"]
     )
-    return drained(spark, rows).drop("run", "batch_id").withColumn("image", F.array_join("image", "|"))
+    released = drained(spark, rows).drop("run", "batch_id").where("committed")
+    rest = jobs.leftovers(d.landed_log(spark, sf_dir), released)
+    return released.unionByName(rest).withColumn("image", F.array_join("image", "|"))
 
 
 @query("stream_dedup", GTID_IMAGES + ROWS)

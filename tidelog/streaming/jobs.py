@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.model import CDC_TIMESTAMP, Position
+from tidelog.model import CDC_TIMESTAMP, COMMIT, INSERT_ID, Position
 from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
 from tidelog.operators.positions import catch_up_range, resume_filter
 from tidelog.operators.rows import generic_change_rows
@@ -33,6 +33,21 @@ def change_row_stream(
     return generic_change_rows(explode_row_images(after_images(rows)))
 
 
+def leftovers(log: DataFrame, released: DataFrame) -> DataFrame:
+    """Change rows of the log that are not among ``released``, with ``committed`` as the whole log has it.
+
+    The streamed gate is bound by time: rows whose COMMIT came later than the
+    bound, rows that were late themselves and rows still held when a drain ends
+    are not released by it. This batch form settles them, over the same range of
+    the log; its committed rows belong into the target as well.
+    """
+    events = gtid_transaction(route_event_kind(log))
+    commits = events.where(F.col("op") == COMMIT).select("txn_id").distinct().withColumn("committed", F.lit(True))
+    rows = row_events(events).join(commits, "txn_id", "left").withColumn("committed", F.coalesce("committed", F.lit(False)))
+    changes = generic_change_rows(explode_row_images(after_images(rows)), ["committed"])
+    return changes.join(released.select(INSERT_ID).distinct(), INSERT_ID, "left_anti")
+
+
 def start_continuous(rows: DataFrame, write: BatchWriter, checkpoint: str, max_delay_s: float = 2.0) -> StreamingQuery:
     """Run until stopped; a micro-batch starts at least every ``max_delay_s`` seconds."""
     return (
@@ -65,7 +80,7 @@ def with_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
-def record_progress(query: StreamingQuery, path: str) -> None:
+def record_progress(spark: SparkSession, query: StreamingQuery, path: str) -> None:
     """Add the batches that the query remembers to a metrics table; call it at least every hundred batches.
 
     A batch that is recorded twice counts once, by its query and number.
@@ -83,7 +98,7 @@ def record_progress(query: StreamingQuery, path: str) -> None:
         if METRICS in b.get("observedMetrics", {})
     ]
     if rows:
-        query.sparkSession.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 PROGRESS_SCHEMA = "query_id string, batch_id bigint, rows_processed bigint, last_event_time string, took_ms bigint"
