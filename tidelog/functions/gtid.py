@@ -27,6 +27,28 @@ def gtid_spans(text: Column) -> Column:
     return F.flatten(F.transform(sources, of_source))
 
 
-def explode_gtid_sets(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """One row per interval, as written and not yet merged."""
-    return df.select(*keep, F.inline(gtid_spans(F.col(text))))
+def merged_gtid_spans(text: Column) -> Column:
+    """The text's intervals, joined where they overlap or touch, in order.
+
+    A set is one text in one row, so this needs no shuffle.
+    """
+
+    def add(merged: Column, span: Column) -> Column:
+        last = F.element_at(merged, -1)
+        touches = (last["source_uuid"] == span["source_uuid"]) & (span["lo"] <= last["hi"] + 1)
+        joined = F.struct(
+            last["source_uuid"].alias("source_uuid"),
+            last["lo"].alias("lo"),
+            F.greatest(last["hi"], span["hi"]).alias("hi"),
+        )
+        kept = F.slice(merged, F.lit(1), F.size(merged) - 1)
+        return F.when((F.size(merged) > 0) & touches, F.concat(kept, F.array(joined))).otherwise(F.concat(merged, F.array(span)))
+
+    none = F.array().cast("array<struct<source_uuid:string,lo:bigint,hi:bigint>>")
+    return F.aggregate(F.array_sort(gtid_spans(text)), none, add)
+
+
+def explode_gtid_sets(df: DataFrame, text: str, keep: list[str], merged: bool = False) -> DataFrame:
+    """One row per interval, as written, or ``merged`` within each text."""
+    spans = merged_gtid_spans(F.col(text)) if merged else gtid_spans(F.col(text))
+    return df.select(*keep, F.inline(spans))

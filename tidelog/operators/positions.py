@@ -22,8 +22,6 @@ HIGH_WATER_SCHEMA = "save_no bigint, binlog_file string, log_pos bigint, saved_a
 BROADCAST_SPANS = 1_000
 # Numbers per slice when sets are merged or matched.
 SLICE_NUMBERS = 100_000
-# Probes of one number are spread over this many groups; the intervals are copied to each.
-SALTS = 8
 
 
 def after(position: Position) -> Column:
@@ -178,29 +176,32 @@ def executed_gtids(events: DataFrame, slice_numbers: int = SLICE_NUMBERS) -> Dat
     return merge_spans(numbers, ["source_uuid"], slice_numbers)
 
 
-def _reached(spans: DataFrame, probes: DataFrame, spread: Sequence[str], slice_numbers: int) -> DataFrame:
-    """Add ``_covered`` to probes (``source_uuid``, ``lo``, ``hi``): does one merged interval hold them?
+def _reach(spans: DataFrame, points: DataFrame, slice_numbers: int) -> DataFrame:
+    """Add ``_reach`` to distinct points (``source_uuid``, ``lo``): how far the merged interval before them goes.
 
     One sorted pass over both sides: the interval that starts last at or before
-    a probe is the only one that can hold it. Probes are never paired with all
-    intervals. Many probes may start at one number, so they are salted.
+    a point is the only one that can hold it. Points are never paired with all
+    intervals, and a number that is asked for very often is one point.
     """
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    held = spans.select("source_uuid", "lo", "hi", F.lit(0).alias("_probe"), every_salt.alias("_salt"))
-    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in spread)), F.lit(SALTS)).cast("int")
+    held = spans.select("source_uuid", "lo", "hi", F.lit(0).alias("_probe"))
     both = (
-        probes.withColumn("_probe", F.lit(1))
-        .withColumn("_salt", salt)
+        points.withColumn("_probe", F.lit(1))
         .unionByName(held, allowMissingColumns=True)
         .withColumn("_slice", slice_of("lo", slice_numbers))
     )
     # Merged intervals are apart, so the last one to start also reaches furthest.
-    reach = F.when(F.col("_probe") == 0, F.col("hi"))
-    out = running(both, ["source_uuid", "_salt"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", reach)])
+    out = running(both, ["source_uuid"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", F.col("hi"))])
+    return out.where(F.col("_probe") == 1).select("source_uuid", "lo", "_reach")
+
+
+def _with_covered(probes: DataFrame, spans: DataFrame, slice_numbers: int) -> DataFrame:
+    """Add ``_covered`` to probes (``source_uuid``, ``lo``, ``hi``): does one merged interval hold them?"""
+    points = probes.select("source_uuid", "lo").where(F.col("lo").isNotNull()).distinct()
+    reach = _reach(spans, points, slice_numbers)
     return (
-        out.where(F.col("_probe") == 1)
+        probes.join(reach, ["source_uuid", "lo"], "left")
         .withColumn("_covered", F.coalesce(F.col("_reach") >= F.col("hi"), F.lit(False)))
-        .drop("_probe", "_salt", "_slice", "_reach")
+        .drop("_reach")
     )
 
 
@@ -213,7 +214,7 @@ def gtid_resume_filter(
         inside = (F.col("gtid_uuid") == F.col("source_uuid")) & F.col("gtid_no").between(F.col("lo"), F.col("hi"))
         return log.join(spans, inside, "left_anti")
     probes = log.withColumns({"source_uuid": F.col("gtid_uuid"), "lo": F.col("gtid_no"), "hi": F.col("gtid_no")})
-    return _reached(executed, probes, ["binlog_file", "log_pos"], slice_numbers).where(~F.col("_covered")).select(*log.columns)
+    return _with_covered(probes, executed, slice_numbers).where(~F.col("_covered")).select(*log.columns)
 
 
 def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
@@ -222,7 +223,8 @@ def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers
     ``outer`` holds merged intervals, ``inner`` intervals as written.
     """
     probes = inner.select(set_id, "source_uuid", "lo", "hi")
-    return _reached(outer, probes, [set_id, "hi"], slice_numbers).groupBy(set_id).agg(F.bool_and("_covered").alias("contained"))
+    covered = _with_covered(probes, outer, slice_numbers)
+    return covered.groupBy(set_id).agg(F.bool_and("_covered").alias("contained"))
 
 
 def purged_gtids(log: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from tidelog.model import Position
 from tidelog.operators import positions as pos
 from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
 from tidelog.functions.gtid import explode_gtid_sets
-from tidelog.operators.positions import merge_spans
 from tidelog.operators.transactions import assign_transaction
 from tidelog.plans.oracle import (
     LAST_XID,
@@ -219,7 +218,7 @@ spans AS (SELECT set_id, '{d.UUIDS[0]}' AS source_uuid, n AS lo, n + 4 AS hi FRO
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans)) GROUP BY set_id, source_uuid, g""",
 )
 def gtid_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_spans(explode_gtid_sets(d.gtid_texts(spark, sf_dir), "gtid_set", ["set_id"]), ["set_id", "source_uuid"])
+    return explode_gtid_sets(d.gtid_texts(spark, sf_dir), "gtid_set", ["set_id"], merged=True)
 
 
 @query(
@@ -234,7 +233,7 @@ def gtid_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gtid_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     executed = pos.executed_gtids(d.landed_log(spark, sf_dir))
-    asked = explode_gtid_sets(d.gtid_texts(spark, sf_dir), "gtid_set", ["set_id"])
+    asked = explode_gtid_sets(d.gtid_texts(spark, sf_dir), "gtid_set", ["set_id"], merged=True)
     return pos.gtid_contains(executed, asked, "set_id")
 
 
