@@ -68,15 +68,14 @@ def target_rows(spark, path, rows):
     return sorted(r[INSERT_ID] for r in sinks.read_batches(spark, path, rows.schema).collect())
 
 
-@pytest.mark.parametrize("prune", [None, CDC_TIMESTAMP])
-def test_crash_after_write_then_replay(spark, tmp_path, prune):
+def test_crash_after_write_then_replay(spark, tmp_path):
     """The sink wrote a batch but the batch was not recorded: the repeat replaces it."""
     log = d.landed_log(spark, SF_DIR)
     landed, out, at = (str(tmp_path / n) for n in ("landed", "out", "cp"))
     for first, last in d.step_bounds(log, 2):
         d.land_step(log, landed, first, last)
     rows = jobs.change_row_stream(stream_change_log(spark, landed, max_files=d.FILES_PER_STEP))
-    sink = sinks.idempotent_sink(out, "a", prune=prune)
+    sink = sinks.idempotent_sink(out, "a", CDC_TIMESTAMP)
     crashed = []
 
     def crash_once(batch, batch_id):
@@ -91,11 +90,26 @@ def test_crash_after_write_then_replay(spark, tmp_path, prune):
     assert len(target_rows(spark, out, rows)) == len(want)
     jobs.run_once(rows, crash_once, at)
     assert target_rows(spark, out, rows) == want
-    again = sinks.idempotent_sink(out, "b", prune=prune)
+    again = sinks.idempotent_sink(out, "b", CDC_TIMESTAMP)
     jobs.run_once(jobs.change_row_stream(stream_change_log(spark, landed)), again, str(tmp_path / "cp2"))
     assert target_rows(spark, out, rows) == want
 
 
+def test_only_the_days_of_a_batch_are_read(spark, tmp_path, monkeypatch):
+    """Folders read per batch do not grow with the batches before."""
+    out, read = str(tmp_path / "out"), []
+    days_of = sinks.read_days
+    monkeypatch.setattr(sinks, "read_days", lambda s, p, schema, days: read.append(days) or days_of(s, p, schema, days))
+    sink = sinks.idempotent_sink(out, "a", "at")
+    for batch_id in range(12):
+        rows = spark.sql(f"SELECT timestamp '2024-01-01' + make_interval(0, 0, 0, {batch_id}) AS at, 'k{batch_id}' AS _insert_id")
+        again = spark.sql(f"SELECT timestamp '2024-01-01' + make_interval(0, 0, 0, {max(0, batch_id - 1)}) AS at, 'k{max(0, batch_id - 1)}' AS _insert_id")
+        sink(rows.unionByName(again), batch_id)
+        sink(rows.unionByName(again), batch_id)
+    assert max(map(len, read)) <= 2
+    assert sorted(r[0] for r in spark.read.parquet(out).select("_insert_id").collect()) == sorted(f"k{i}" for i in range(12))
+
+
 def test_json_log(spark, tmp_path):
     path = str(tmp_path / "json")
     log = d.landed_log(spark, SF_DIR)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.functions.identifiers import event_time
 from tidelog.model import CDC_TIMESTAMP, CHANGE_ROW_SCHEMA, INSERT_ID
 from tidelog.operators import positions as pos
 from tidelog.operators.images import after_images, explode_row_images, named_columns, route_event_kind, row_events
@@ -81,8 +82,12 @@ def appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_cdc_timestamp",
         "day",
     )
+    # The log's own times bound those of its rows; the gate need not run to find them.
+    times = log.agg(*(targets.period_text(event_time(f("event_ts_s")), "day") for f in (F.min, F.max))).first()
     for _ in range(2):
-        targets.idempotent_append(rows, path, partition=["_cdc_period"], prune="_cdc_period")
+        targets.idempotent_append(
+            rows, path, partition=["_cdc_period"], prune="_cdc_period", bounds=tuple(times), single=True
+        )
     return spark.read.parquet(path).drop("_cdc_period")
 
 
@@ -248,7 +253,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "stream")
     rows = jobs.change_row_stream(steps(spark, sf_dir))
-    running = jobs.start_continuous(rows, sinks.idempotent_sink(path, "a", prune=CDC_TIMESTAMP), new_path(spark, "checkpoint"), 0.1)
+    running = jobs.start_continuous(rows, sinks.idempotent_sink(path, "a", CDC_TIMESTAMP), new_path(spark, "checkpoint"), 0.1)
     try:
         running.processAllAvailable()
     finally:
@@ -274,7 +279,7 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(name: str, at: str) -> DataFrame:
         rows = jobs.change_row_stream(stream_change_log(spark, landed))
-        jobs.run_once(rows, sinks.idempotent_sink(path, name, prune=CDC_TIMESTAMP), at)
+        jobs.run_once(rows, sinks.idempotent_sink(path, name, CDC_TIMESTAMP), at)
         return rows
 
     for first, last in d.step_bounds(log, 2):

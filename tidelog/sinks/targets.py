@@ -167,6 +167,13 @@ def retained(rows: DataFrame, period: str, granularity: str, now: Column, expira
     return rows.where(F.col(period).cast("string") >= oldest)
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the folders that are there."""
+    folders = [(p, spark._jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    conf = spark._jsc.hadoopConfiguration()
+    return [p for p, folder in folders if folder.getFileSystem(conf).exists(folder)]
+
+
 def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
     """Delete folders that are there."""
     for path in paths:

@@ -13,7 +13,7 @@ from tidelog.model import INSERT_ID, TableSpec
 from tidelog.operators.images import cast_failures, missing_required
 from tidelog.operators.positions import high_water
 from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, merge_hot_copies
-from tidelog.sinks.targets import delete_folders, new_rows, read_or_none
+from tidelog.sinks.targets import delete_folders, existing, new_rows, read_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -30,35 +30,46 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return read_or_none(spark, path, full)
 
 
-def idempotent_sink(
-    path: str, run: str, key: str = INSERT_ID, prune: str | None = None, single: bool = False
-) -> BatchWriter:
-    """Each micro-batch owns a folder, which a repeat of the batch replaces.
+def idempotent_sink(path: str, run: str, prune: str, key: str = INSERT_ID, single: bool = False) -> BatchWriter:
+    """Each micro-batch owns a folder in every day it has rows of, which a repeat of the batch replaces.
 
     Rows that any other batch holds are left out, so neither a restart nor a
     replay under a new checkpoint adds a row twice. ``run`` goes with the
     checkpoint: a new checkpoint counts its batches from 0 again. ``prune`` names
-    a column that is equal in every copy of a row; the look-up is then limited to
-    its range in the batch. For log rows the event time is such a column.
+    a time column that is equal in every copy of a row, such as the event time of
+    log rows. Days lie above batches, and only the days of a batch's own rows are
+    listed and read, so the look-up does not grow with the batches before.
     ``single`` says that a batch itself repeats no row.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        others = read_batches(spark, path, batch.schema)
-        if others is not None:
-            others = others.where(~((F.col("run") == run) & (F.col("batch_id") == batch_id)))
-        if prune is not None:
-            batch = batch.persist()  # read for its range, then for its rows
+        dated = batch.withColumn(DAY, F.coalesce(F.date_format(prune, "yyyy-MM-dd"), F.lit("none"))).persist()
         try:
-            new_rows(batch, others, key, prune, single=single).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+            days = [r[0] for r in dated.select(DAY).distinct().collect()]
+            others = read_days(spark, path, dated.schema, days)
+            if others is not None:
+                others = others.where(~((F.col("run") == run) & (F.col("batch_id") == batch_id)))
+            fresh = new_rows(dated, others, key, prune, single=single)
+            placed = fresh.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(DAY, "run", "batch_id").parquet(path)
         finally:
-            if prune is not None:
-                batch.unpersist()
+            dated.unpersist()
 
     return write
 
 
+DAY = "_day"
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str]) -> DataFrame | None:
+    """The batches of some days of an idempotent sink; no other folder is listed."""
+    full = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+    folders = existing(spark, [f"{path}/{DAY}={day}" for day in days])
+    return spark.read.schema(full).option("basePath", path).parquet(*folders) if folders else None
+
+
 def append_sink(path: str, run: str) -> BatchWriter:
     """Each micro-batch owns a folder; rows are taken as they come."""
 
