@@ -78,6 +78,12 @@ def test_spans_are_word_places(spark):
     assert got == {1: ([1, 4], ["x"]), 2: ([0, 6], ["x"])}
 
 
+def test_windows_that_a_cut_brings_together_go_too(spark):
+    items = spark.createDataFrame([(1, "a b c d")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "x a b a b c d c d y " + "z " * 20)], "doc_id bigint, text string")
+    assert decontaminate(docs, items).first()["text"].split() == ["x", "y"] + ["z"] * 20
+
+
 def test_cutting_keeps_the_rest():
     assert without("é one, two three. four", [1, 3]) == "é  three. four"
     assert without("one", []) == "one"

@@ -218,9 +218,18 @@ def find_contamination(
     parts = [spark.sparkContext.broadcast(a) for a in item_parts(source, size, part_words)]
     columns = FOUND | ({"text": "string"} if cut else {})
 
-    def result(texts, split, spans, named):
+    def result(texts, split, spans, named, automaton=None):
         made = {"n_words": [len(w) for w in split], "spans": spans, "items": named}
-        return made | ({"text": [without(t, s) for t, s in zip(texts, spans)]} if cut else {})
+        if not cut:
+            return made
+        left = []
+        for text, found in zip(texts, spans):
+            # What a cut brings together may be a window again.
+            while found:
+                text = without(text, found)
+                found = automaton.scan(words(text))[0] if automaton else []
+            left.append(text)
+        return made | {"text": left}
 
     def scanner(part):
         def start():
@@ -229,7 +238,8 @@ def find_contamination(
             def step(texts):
                 split = [words(t) for t in texts]
                 found = [automaton.scan(w) for w in split]
-                return result(texts, split, [s for s, _ in found], [sorted(automaton.items(f)) for _, f in found])
+                named = [sorted(automaton.items(f)) for _, f in found]
+                return result(texts, split, [s for s, _ in found], named, automaton)
 
             return step
 
@@ -304,9 +314,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = MAX_C
     """``docs`` without test items: hit stretches are cut out, texts hit beyond ``max_coverage`` go.
 
     Coverage is hit words by all words. Columns as given; n_chars, where there
-    is one, is counted anew for the texts that were cut. Cutting may bring
-    words together, so that a window shows up anew only if its halves stood
-    around a longer hit; what remains is scanned by ``contamination_report``.
+    is one, is counted anew for the texts that were cut. Where a cut brings the
+    halves of a window together, that is cut as well; with items in more than
+    one part, only a second call does so.
     """
     own = {c: f"own_{c}_" for c in FOUND if c in docs.columns}
     found = find_contamination(docs.withColumnsRenamed(own), items, cut=True, **options)
