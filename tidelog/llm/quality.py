@@ -137,11 +137,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
 
     def start():
         features = Features()
-        return lambda texts: {"found": [features(t).astype(np.int32) for t in texts]}
+        return lambda texts: {"found": [features(t).astype("<i4").tobytes() for t in texts]}
 
-    found = map_rows(sample, ["text"], start, {"found": "array<int>"}, drop=("text",)).collect()
+    found = map_rows(sample, ["text"], start, {"found": "binary"}, drop=("text",)).collect()
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    rows = [np.array(r["found"], dtype=np.int64) for r in found]
+    rows = [np.frombuffer(r["found"], dtype="<i4") for r in found]
     total = sum(counts.values())
     prior = (counts.get(1, 0) + 1) / (total + 2)
     return fit_model(rows, [r["label"] for r in found], counts), prior
