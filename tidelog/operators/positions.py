@@ -177,21 +177,21 @@ def executed_gtids(events: DataFrame, slice_numbers: int = SLICE_NUMBERS) -> Dat
 
 
 def _reach(spans: DataFrame, points: DataFrame, slice_numbers: int) -> DataFrame:
-    """Add ``_reach`` to distinct points (``source_uuid``, ``lo``): how far the merged interval before them goes.
+    """Add ``_reach`` to points (``source_uuid``, ``lo``): how far the merged interval before them goes.
 
     One sorted pass over both sides: the interval that starts last at or before
     a point is the only one that can hold it. Points are never paired with all
-    intervals, and a number that is asked for very often is one point.
+    intervals. Points of one number should be few, or made distinct before.
     """
-    held = spans.select("source_uuid", "lo", "hi", F.lit(0).alias("_probe"))
+    held = spans.select("source_uuid", "lo", F.col("hi").alias("_hi"), F.lit(0).alias("_probe"))
     both = (
         points.withColumn("_probe", F.lit(1))
         .unionByName(held, allowMissingColumns=True)
         .withColumn("_slice", slice_of("lo", slice_numbers))
     )
     # Merged intervals are apart, so the last one to start also reaches furthest.
-    out = running(both, ["source_uuid"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", F.col("hi"))])
-    return out.where(F.col("_probe") == 1).select("source_uuid", "lo", "_reach")
+    out = running(both, ["source_uuid"], [["_slice"]], ["lo", "_probe"], [Running("_reach", "max", F.col("_hi"))])
+    return out.where(F.col("_probe") == 1).drop("_probe", "_slice", "_hi")
 
 
 def _with_covered(probes: DataFrame, spans: DataFrame, slice_numbers: int) -> DataFrame:
@@ -213,8 +213,12 @@ def gtid_resume_filter(
     if small:
         inside = (F.col("gtid_uuid") == F.col("source_uuid")) & F.col("gtid_no").between(F.col("lo"), F.col("hi"))
         return log.join(spans, inside, "left_anti")
-    probes = log.withColumns({"source_uuid": F.col("gtid_uuid"), "lo": F.col("gtid_no"), "hi": F.col("gtid_no")})
-    return _with_covered(probes, executed, slice_numbers).where(~F.col("_covered")).select(*log.columns)
+    # A number has the events of one transaction; those without one need no look-up and are kept apart.
+    numbered = F.col("gtid_uuid").isNotNull() & F.col("gtid_no").isNotNull()
+    points = log.where(numbered).withColumns({"source_uuid": F.col("gtid_uuid"), "lo": F.col("gtid_no")})
+    reach = _reach(executed, points, slice_numbers)
+    left = reach.where(F.col("_reach").isNull() | (F.col("_reach") < F.col("lo"))).select(*log.columns)
+    return left.unionByName(log.where(~numbered))
 
 
 def gtid_contains(outer: DataFrame, inner: DataFrame, set_id: str, slice_numbers: int = SLICE_NUMBERS) -> DataFrame:
