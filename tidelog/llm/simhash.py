@@ -21,6 +21,7 @@ that joins a group, not one for each pair.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,10 @@ SEED = 42
 TREE = 4096
 LEAF = 64
 
+#: Texts are near duplicates when they share 4 of 5 of their distinct shingles; shingles of the sets in one block.
+SHARE = (4, 5)
+SET_BLOCK = 1 << 18
+
 _HASHES = 4096
 _WORD = 64
 
@@ -91,25 +96,36 @@ def widened(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, bits: int = 64) -> bytes:
-    """Majority of the bits of all shingles' hashes (XXH64, widened), repeats included; of no words, zero."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of each shingle of the text in turn, some at a time; fewer words than a shingle's are one."""
     split = words(text)
     if not split:
-        return bytes(bits // 8)
+        return
     joined = b" ".join(split)
     ends = np.cumsum([len(w) + 1 for w in split])
     n = max(1, len(split) - shingle + 1)
     firsts = [0, *ends[: n - 1].tolist()]
     lasts = (ends[-n:] - 1).tolist()
-    ones = np.zeros(bits, dtype=np.int64)
     for at in range(0, n, _HASHES):
         places = zip(firsts[at : at + _HASHES], lasts[at : at + _HASHES])
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in places], dtype=np.uint64)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in places], dtype=np.uint64)
+
+
+def majority(some: Iterable[np.ndarray], bits: int) -> bytes:
+    """Bits set in over half the hashes (widened); of no hashes, zero."""
+    ones, n = np.zeros(bits, dtype=np.int64), 0
+    for hashes in some:
         wide = widened(hashes, bits // _WORD).astype(">u8").view(np.uint8).reshape(len(hashes), -1)
         ones += np.unpackbits(wide, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return np.packbits(2 * ones > n).tobytes()
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, bits: int = 64) -> bytes:
+    """Majority of the bits of all shingles' hashes, repeats included; of no words, zero."""
+    return majority(shingle_hashes(text, shingle), bits)
+
+
 def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> DataFrame:
     """``docs`` with the fingerprint's bytes in place of the text."""
 
@@ -119,6 +135,24 @@ def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> Dat
     return map_rows(docs, ["text"], start, {name: "binary"}, drop=("text",))
 
 
+def with_sets(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """``docs`` with value_, the fingerprint, set_, a digest of the set of shingles, and its size n_ in place of the text."""
+
+    def start():
+        def step(texts):
+            made = {"value_": [], "set_": [], "n_": []}
+            for text in texts:
+                own = shingle_set(text, shingle)
+                made["value_"].append(fingerprint(text, shingle, bits))
+                made["set_"].append(xxhash.xxh3_128_digest(own.tobytes()))
+                made["n_"].append(len(own))
+            return made
+
+        return step
+
+    return map_rows(docs, ["text"], start, {"value_": "binary", "set_": "binary", "n_": "long"}, drop=("text",))
+
+
 def apart(values: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Differing bits of each value and each other one."""
     total = np.zeros((len(values), len(others)), dtype=np.int16)
@@ -278,22 +312,164 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHIN
     return joined.withColumn("fingerprint", F.lower(F.hex("value_"))).drop("value_", "named_value_", "root_")
 
 
-def keep_one(docs: DataFrame, scheme: Scheme = ALIKE, shingle: int = SHINGLE, tree: int = TREE) -> DataFrame:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, sorted; of no words, none."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *shingle_hashes(text, shingle)]))
+
+
+def alike(size: int | np.ndarray, other: int | np.ndarray, common: int | np.ndarray, share: tuple[int, int]):
+    """Whether sets of these sizes with ``common`` elements have a Jaccard similarity of ``share`` or more."""
+    return common * share[1] >= share[0] * (size + other - common)
+
+
+def set_forest(left: list[np.ndarray], right: list[np.ndarray] | None, share: tuple[int, int]) -> list[tuple[int, int]]:
+    """``forest`` by exact similarity of sets, none of them empty.
+
+    A set is compared with those that no earlier one has reached, so equal and
+    alike ones cost one comparison each, not one a pair.
+    """
+    sets = left + (right or [])
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    second = np.arange(len(sets)) >= len(left)
+    marked = np.zeros(len(distinct), dtype=bool)
+    waiting, edges = np.ones(len(sets), dtype=bool), []
+    for first in range(len(sets)):
+        if not waiting[first]:
+            continue
+        waiting[first] = False
+        reached = [first]
+        while reached:
+            at = reached.pop()
+            asked = waiting & alike(sizes, sizes[at], np.minimum(sizes, sizes[at]), share)
+            if right is not None:
+                asked &= second != second[at]
+            if not asked.any():
+                continue
+            own = codes[starts[at] : starts[at] + sizes[at]]
+            marked[own] = True
+            common = np.add.reduceat(marked[codes], starts, dtype=np.int64)
+            marked[own] = False
+            near = np.flatnonzero(asked & alike(sizes, sizes[at], common, share)).tolist()
+            waiting[near] = False
+            edges += [(n, at) for n in near]
+            reached += near
+    return edges
+
+
+def sets_of(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+    """set_ and hashes_, its sorted shingle hashes as bytes, of each set in ``members`` (set_, first_)."""
+    asked = members.select("set_", F.col("first_.key_id_").alias("asked_id_"), F.col("first_.key_hash_").alias("asked_hash_"))
+    asked = asked.distinct()
+    same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
+    texts = docs.join(asked, same).select("set_", "text")
+
+    def start():
+        return lambda texts: {"hashes_": [shingle_set(t, shingle).tobytes() for t in texts]}
+
+    return map_rows(texts, ["text"], start, {"hashes_": "binary"}, drop=("text",))
+
+
+def alike_links(members: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) that join what exact similarity joins inside each group of ``members`` (group_, blocks_, set_).
+
+    A group is searched for each block and each pair of its blocks, as in ``near_links``.
+    """
+    own = F.pmod(F.xxhash64("set_"), F.col("blocks_")).cast("int")
+    placed = (
+        members.withColumn("own", own)
+        .select("group_", "own", "set_", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other"))
+        .select(
+            "group_",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            (F.col("own") > F.col("other")).alias("second"),
+            "set_",
+        )
+    )
+    keys = ["group_", "low", "high"]
+    rows = placed.join(sets, "set_").select(*keys, "second", "set_", "hashes_")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "second", "set_")
+    columns = {"a": "binary", "b": "binary"}
+    schema = arrow_schema(columns)
+    bounded_batches(members.sparkSession)
+
+    def task(batches):
+        key, names, sides = None, ([], []), ([], [])
+
+        def edges():
+            left, right = sides
+            if key is None or len(left) + len(right) < 2 or key[1] != key[2] and not (left and right):
+                return []
+            both = names[0] + names[1]
+            return [(both[i], both[j]) for i, j in set_forest(left, right or None, share)]
+
+        for batch in batches:
+            made = []
+            for *place, second, name, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != key:
+                    made += edges()
+                    key, names, sides = place, ([], []), ([], [])
+                # Equal rows follow each other; the set without words has no other that is alike.
+                if hashes and names[second][-1:] != [name]:
+                    names[second].append(name)
+                    sides[second].append(np.frombuffer(hashes, dtype=np.uint64))
+            yield batch_of(made)
+        yield batch_of(edges())
+
+    def batch_of(made):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([a for a, _ in made], pa.binary()), pa.array([b for _, b in made], pa.binary())], schema=schema
+        )
+
+    return rows.mapInArrow(task, ddl(columns)).distinct()
+
+
+def blocks(block: int):
+    """Blocks of a group whose sets have ``n_`` elements."""
+    return F.ceil(F.sum("n_") / block).cast("int").alias("blocks_")
+
+
+def keep_one(
+    docs: DataFrame,
+    scheme: Scheme = ALIKE,
+    shingle: int = SHINGLE,
+    tree: int = TREE,
+    share: tuple[int, int] = SHARE,
+    block: int = SET_BLOCK,
+) -> DataFrame:
     """``docs`` with one row of each group of near duplicates; columns as given.
 
+    Texts are linked when the sets of their shingles have a Jaccard similarity
+    of ``share`` or more, and linked texts form a group. Groups of near
+    fingerprints only say which texts are compared.
+
     The row of the smallest doc_id stays, rows without an id come last; of
     several, the one of the least text hash, and of equal rows one. Texts
-    without words are one group. Only ids, hashes and fingerprints are grouped;
-    texts move once, to meet the rows that stay.
+    without words are one group. Ids, hashes and fingerprints are grouped; texts
+    move to be compared within their group, and to meet the rows that stay.
     """
 
     def with_key(df):
         return df.withColumns({"key_hash_": F.xxhash64("text"), "key_id_": F.col("doc_id")})
 
     narrow = with_key(docs.select("doc_id", "text"))
-    marked = staged(with_fingerprint(narrow, shingle, scheme.bits, "value_"), "fingerprints")
-    named = grouped(marked, scheme, tree)
-    rows = marked.join(named, marked["value_"] == named["named_value_"])
+    marked = staged(with_sets(narrow, shingle, scheme.bits), "fingerprints")
+    # Equal sets are one node, which any of its rows can stand for.
+    nodes = staged(
+        marked.groupBy("set_").agg(
+            F.first("value_").alias("value"), F.first("n_").alias("n_"), F.min(F.struct("key_id_", "key_hash_")).alias("first_")
+        ),
+        "nodes",
+    )
+    near = components(staged(near_links(nodes.select("value").distinct(), scheme, tree), "links"))
+    named = nodes.join(near, nodes["value"] == near["node"], "left").withColumn("group_", F.coalesce("root", "value"))
+    sizes = named.groupBy("group_").agg(F.count(F.lit(1)).alias("count_"), blocks(block)).where("count_ > 1 and blocks_ > 0")
+    members = staged(named.join(sizes, "group_").select("group_", "blocks_", "set_", "first_"), "members")
+    sets = staged(sets_of(narrow, members, shingle), "sets")
+    groups = components(staged(alike_links(members, sets, share), "alike"))
+    rows = marked.join(groups, marked["set_"] == groups["node"], "left").withColumn("root_", F.coalesce("root", "set_"))
     order = Window.partitionBy("root_").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
     first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
     stay = staged(first.select(F.col("key_id_").alias("stay_id_"), F.col("key_hash_").alias("stay_hash_")), "stay")
