@@ -43,6 +43,9 @@ LEAF = 64
 #: Texts are near duplicates when they share 4 of 5 of their distinct shingles; shingles of the sets in one block.
 SHARE = (4, 5)
 SET_BLOCK = 1 << 18
+#: Sampled texts and shingles kept of them to order shingles by how frequent they are; results do not depend on it.
+ORDER_TEXTS = 5_000
+ORDER_SHINGLES = 50_000
 
 _HASHES = 4096
 _WORD = 64
@@ -126,6 +129,31 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, bits: int = 64) -> byt
     return majority(shingle_hashes(text, shingle), bits)
 
 
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, sorted; of no words, none."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *shingle_hashes(text, shingle)]))
+
+
+def set_fingerprint(own: np.ndarray, bits: int) -> bytes:
+    """Majority of the bits of a set of hashes, each with one vote."""
+    return majority((own[at : at + _HASHES] for at in range(0, len(own), _HASHES)), bits)
+
+
+def rare_first(own: np.ndarray, common: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """The first hashes of a set, those not in ``common`` (sorted) before the others by their ``counts``.
+
+    So many that of two sets of Jaccard similarity ``share`` or more, whose
+    common elements are at least that share of each, one is first in both. That
+    holds for any order that is the same for all sets; this one makes it rare.
+    """
+    n = len(own) - -(-share[0] * len(own) // share[1]) + 1 if len(own) else 0
+    known = np.zeros(len(own), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        known = np.where(common[at] == own, counts[at], 0)
+    return own[np.lexsort((own, known))[:n]]
+
+
 def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> DataFrame:
     """``docs`` with the fingerprint's bytes in place of the text."""
 
@@ -135,22 +163,48 @@ def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> Dat
     return map_rows(docs, ["text"], start, {name: "binary"}, drop=("text",))
 
 
-def with_sets(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """``docs`` with value_, the fingerprint, set_, a digest of the set of shingles, and its size n_ in place of the text."""
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of shingles that are frequent in a sample; only an order depends on it."""
+    every = max(1, docs.count() // ORDER_TEXTS)
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text")
+    columns = {"hash": "long"}
+    bounded_batches(docs.sparkSession)
+
+    def task(batches):
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = shingle_set(text, shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own)], schema=arrow_schema(columns))
+
+    counted = some.mapInArrow(task, ddl(columns)).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    found = counted.orderBy(F.desc("n"), "hash").limit(ORDER_SHINGLES).toArrow()
+    hashes = np.asarray(found.column(0).to_numpy()).astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.asarray(found.column(1).to_numpy()).astype(np.int64)[order]
+
+
+def with_sets(docs: DataFrame, shingle: int, bits: int, share: tuple[int, int]) -> DataFrame:
+    """``docs`` with these in place of the text: value_, the fingerprint of the set of shingles; set_, its digest;
+    n_, its size; rare_, the hashes that sets alike to it have one of."""
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
 
     def start():
+        common, counts = shared.value
+
         def step(texts):
-            made = {"value_": [], "set_": [], "n_": []}
+            made = {"value_": [], "set_": [], "n_": [], "rare_": []}
             for text in texts:
                 own = shingle_set(text, shingle)
-                made["value_"].append(fingerprint(text, shingle, bits))
+                made["value_"].append(set_fingerprint(own, bits))
                 made["set_"].append(xxhash.xxh3_128_digest(own.tobytes()))
                 made["n_"].append(len(own))
+                made["rare_"].append(rare_first(own, common, counts, share).tobytes())
             return made
 
         return step
 
-    return map_rows(docs, ["text"], start, {"value_": "binary", "set_": "binary", "n_": "long"}, drop=("text",))
+    columns = {"value_": "binary", "set_": "binary", "n_": "long", "rare_": "binary"}
+    return map_rows(docs, ["text"], start, columns, drop=("text",))
 
 
 def apart(values: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -312,11 +366,6 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHIN
     return joined.withColumn("fingerprint", F.lower(F.hex("value_"))).drop("value_", "named_value_", "root_")
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct hashes of the text's shingles, sorted; of no words, none."""
-    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *shingle_hashes(text, shingle)]))
-
-
 def alike(size: int | np.ndarray, other: int | np.ndarray, common: int | np.ndarray, share: tuple[int, int]):
     """Whether sets of these sizes with ``common`` elements have a Jaccard similarity of ``share`` or more."""
     return common * share[1] >= share[0] * (size + other - common)
@@ -431,6 +480,26 @@ def blocks(block: int):
     return F.ceil(F.sum("n_") / block).cast("int").alias("blocks_")
 
 
+def shared_rare(nodes: DataFrame, block: int) -> DataFrame:
+    """Groups (group_, blocks_, set_, first_) of sets with a rare hash in common, for the hashes of several ``mark_``s."""
+    columns = {"group_": "long", "set_": "binary", "n_": "long", "mark_": "long"}
+    schema = arrow_schema(columns)
+    bounded_batches(nodes.sparkSession)
+
+    def task(batches):
+        for batch in batches:
+            lists = [np.frombuffer(r, dtype=np.int64) for r in batch.column(0).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(lists)), [len(r) for r in lists]))
+            hashes = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists]))
+            yield pa.RecordBatch.from_arrays([hashes, *(c.take(row) for c in batch.columns[1:])], schema=schema)
+
+    rows = nodes.select("rare_", "set_", "n_", "mark_").mapInArrow(task, ddl(columns))
+    narrow = rows.select("group_", "n_", "mark_")
+    lists = narrow.groupBy("group_").agg(F.min("mark_").alias("least_"), F.max("mark_").alias("most_"), blocks(block))
+    lists = staged(lists.where("least_ < most_").select("group_", "blocks_"), "lists")
+    return rows.join(lists, "group_").select("group_", "blocks_", "set_").join(nodes.select("set_", "first_"), "set_")
+
+
 def keep_one(
     docs: DataFrame,
     scheme: Scheme = ALIKE,
@@ -442,8 +511,11 @@ def keep_one(
     """``docs`` with one row of each group of near duplicates; columns as given.
 
     Texts are linked when the sets of their shingles have a Jaccard similarity
-    of ``share`` or more, and linked texts form a group. Groups of near
-    fingerprints only say which texts are compared.
+    of ``share`` or more, and linked texts form a group; no link is lost.
+    Groups of near fingerprints say which texts are compared first, which joins
+    nearly all. The few links that fingerprints miss are found by the rarest
+    shingles of each set, of which two alike ones share one (``rare_first``):
+    texts that do and are not joined yet are compared as well.
 
     The row of the smallest doc_id stays, rows without an id come last; of
     several, the one of the least text hash, and of equal rows one. Texts
@@ -455,20 +527,31 @@ def keep_one(
         return df.withColumns({"key_hash_": F.xxhash64("text"), "key_id_": F.col("doc_id")})
 
     narrow = with_key(docs.select("doc_id", "text"))
-    marked = staged(with_sets(narrow, shingle, scheme.bits), "fingerprints")
+    marked = staged(with_sets(narrow, shingle, scheme.bits, share), "fingerprints")
     # Equal sets are one node, which any of its rows can stand for.
     nodes = staged(
         marked.groupBy("set_").agg(
-            F.first("value_").alias("value"), F.first("n_").alias("n_"), F.min(F.struct("key_id_", "key_hash_")).alias("first_")
+            F.first("value_").alias("value"),
+            F.first("n_").alias("n_"),
+            F.first("rare_").alias("rare_"),
+            F.min(F.struct("key_id_", "key_hash_")).alias("first_"),
         ),
         "nodes",
     )
+    marked = marked.drop("value_", "n_", "rare_")
     near = components(staged(near_links(nodes.select("value").distinct(), scheme, tree), "links"))
     named = nodes.join(near, nodes["value"] == near["node"], "left").withColumn("group_", F.coalesce("root", "value"))
     sizes = named.groupBy("group_").agg(F.count(F.lit(1)).alias("count_"), blocks(block)).where("count_ > 1 and blocks_ > 0")
     members = staged(named.join(sizes, "group_").select("group_", "blocks_", "set_", "first_"), "members")
     sets = staged(sets_of(narrow, members, shingle), "sets")
-    groups = components(staged(alike_links(members, sets, share), "alike"))
+    groups = staged(components(staged(alike_links(members, sets, share), "alike")), "groups")
+    # What fingerprints miss: sets of different groups so far that have a rare hash in common.
+    named = nodes.join(groups, nodes["set_"] == groups["node"], "left")
+    others = staged(shared_rare(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), block), "members")
+    sets = staged(sets_of(narrow, others, shingle), "sets")
+    missed = staged(alike_links(others.drop("first_"), sets, share), "alike")
+    if missed.limit(1).count():
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(missed))
     rows = marked.join(groups, marked["set_"] == groups["node"], "left").withColumn("root_", F.coalesce("root", "set_"))
     order = Window.partitionBy("root_").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
     first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
