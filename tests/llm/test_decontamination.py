@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidelog.llm.decontamination import contamination_report, decontaminate, find_contamination, without
+from tidelog.llm.decontamination import built_parts, contamination_report, decontaminate, find_contamination, without
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -84,6 +84,23 @@ def test_windows_that_a_cut_brings_together_go_too(spark):
     assert decontaminate(docs, items).first()["text"].split() == ["x", "y"] + ["z"] * 20
 
 
+@pytest.mark.parametrize("part_words", [100_000, 4])
+def test_no_window_is_left_with_items_in_parts(spark, part_words):
+    items = spark.createDataFrame([(1, "a b c d"), (2, "p q r s")], "item_id bigint, text string")
+    rest = " y " + "z " * 40
+    texts = ["x a b a b c d c d", "x a b p q r s c d", "x p a b p q a b c d r s c d q r s", "x", "x a b c d"]
+    docs = [(i, t + rest) for i, t in enumerate(texts)] + [(0, texts[0] + rest), (None, texts[1] + rest), (9, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = decontaminate(df, items, part_words=part_words).collect()
+    assert len(rows) == 8
+    assert all(r["text"].split() == ["x", "y"] + ["z"] * 40 for r in rows if r["doc_id"] != 9)
+
+
+def test_automata_are_built_apart(spark):
+    items = spark.createDataFrame([(i, f"w{i} " * 12) for i in range(10)], "item_id bigint, text string")
+    assert built_parts(items, 10, 30).count() >= 5 and built_parts(items, 10, 1000).count() == 1
+
+
 def test_cutting_keeps_the_rest():
     assert without("é one, two three. four", [1, 3]) == "é  three. four"
     assert without("one", []) == "one"

@@ -9,13 +9,17 @@ a window, the window's words are hits.
 from __future__ import annotations
 
 import itertools
+import pickle
 import re
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import map_rows, staged, text_of
+from tidelog.llm.common import bounded_batches, map_rows, staged, text_of, worker_store
 
 #: Words of a window, and words of test items in one automaton (some 60 MB).
 WINDOW = 10
@@ -194,6 +198,45 @@ def merged(spans: list[int]) -> list[int]:
 FOUND = {"n_words": "long", "spans": "array<long>", "items": "array<string>"}
 
 
+def built_parts(items: DataFrame, size: int, part_words: int) -> DataFrame:
+    """``automaton``: the pickled state of the automata of the parts of ``items`` (item_id, text), one a row.
+
+    They are built in tasks, a part or so each, and written to the shared folder.
+    """
+    spark = bounded_batches(items.sparkSession)
+    rows = items.select(F.col("item_id").cast("string"), "text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(words(t)) for t in batch.column(1).to_pylist())]})
+
+    total = rows.mapInArrow(sizes, "n long").agg(F.sum("n")).first()[0] or 0
+    dealt = rows.repartition(-(-total // part_words)) if total > part_words else rows.coalesce(1)
+
+    def build(batches):
+        pairs = (pair for batch in batches for pair in zip(*(c.to_pylist() for c in batch.columns)))
+        for automaton in item_parts(pairs, size, part_words):
+            yield pa.RecordBatch.from_pydict({"automaton": [pickle.dumps(vars(automaton))]})
+
+    return staged(dealt.mapInArrow(build, "automaton binary"), "automata")
+
+
+def shipped(spark: SparkSession, part: bytes) -> Callable[[], Automaton]:
+    """What gives tasks the automaton; a worker unpickles it once and keeps the last."""
+    value, name = spark.sparkContext.broadcast(part), uuid.uuid4().hex
+
+    def get():
+        store = worker_store("automaton")
+        if store.get("name") != name:
+            store.clear()
+            automaton = Automaton(0)
+            vars(automaton).update(pickle.loads(value.value))
+            store.update(name=name, automaton=automaton)
+        return store["automaton"]
+
+    return get
+
+
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -207,39 +250,43 @@ def find_contamination(
     ``items`` the ids of the items with a window in the text, sorted as text.
     Null and empty texts have no words; repeated rows give repeated results;
     items without words are in no text, an item without an id gives hits but
-    no name. Other columns pass; those named like a result are replaced.
-
-    The items pass the driver one part at a time. One part, the usual case, is
-    one pass over the documents without a shuffle. More parts are a pass each;
-    only the texts that are hit are gathered, by id and text hash.
+    no name. What a cut brings together is searched and cut again, until no
+    window is left; spans and items are those of the whole text. Other columns
+    pass; those named like a result are replaced.
+
+    Automata are built in tasks and pass the driver as bytes, one at a time. One
+    part, the usual case, is one pass over the documents without a shuffle. More
+    parts are a pass each; only the texts that are hit are gathered, by id and
+    text hash, and a pass for each part goes over the texts just cut until none
+    is hit.
     """
     spark = docs.sparkSession
-    source = items.select(F.col("item_id").cast("string"), "text").toLocalIterator()
-    parts = [spark.sparkContext.broadcast(a) for a in item_parts(source, size, part_words)]
+    built = built_parts(items, size, part_words)
+    parts = [shipped(spark, bytes(r["automaton"])) for r in built.toLocalIterator()]
     columns = FOUND | ({"text": "string"} if cut else {})
 
-    def result(texts, split, spans, named, automaton=None):
-        made = {"n_words": [len(w) for w in split], "spans": spans, "items": named}
-        if not cut:
-            return made
-        left = []
-        for text, found in zip(texts, spans):
-            # What a cut brings together may be a window again.
-            while found:
-                text = without(text, found)
-                found = automaton.scan(words(text))[0] if automaton else []
-            left.append(text)
-        return made | {"text": left}
-
     def scanner(part):
         def start():
-            automaton = part.value if part is not None else Automaton(size).finish()
+            automaton = part() if part is not None else Automaton(size).finish()
 
             def step(texts):
                 split = [words(t) for t in texts]
                 found = [automaton.scan(w) for w in split]
-                named = [sorted(automaton.items(f)) for _, f in found]
-                return result(texts, split, [s for s, _ in found], named, automaton)
+                made = {
+                    "n_words": [len(w) for w in split],
+                    "spans": [s for s, _ in found],
+                    "items": [sorted(automaton.items(f)) for _, f in found],
+                }
+                if not cut or len(parts) > 1:
+                    return made
+                left = []
+                for text, spans in zip(texts, made["spans"]):
+                    # What a cut brings together may be a window again.
+                    while spans:
+                        text = without(text, spans)
+                        spans = automaton.scan(words(text))[0]
+                    left.append(text)
+                return made | {"text": left}
 
             return step
 
@@ -248,32 +295,60 @@ def find_contamination(
     if len(parts) <= 1:
         return map_rows(docs, ["text"], scanner(parts[0] if parts else None), columns, drop=("text",))
 
+    keys = ["key_id_", "key_hash_", "key_crc_"]
+
     def same_text(df):
         return df.withColumns(
             {"key_hash_": F.xxhash64("text"), "key_crc_": F.crc32(F.encode(text_of("text"), "utf-8")), "key_id_": F.col("doc_id")}
         )
 
-    keys = ["key_id_", "key_hash_", "key_crc_"]
-    hits = None
-    for part in parts:
-        hit = map_rows(same_text(docs.select("doc_id", "text")), ["text"], scanner(part), columns)
-        hit = hit.where(F.size("spans") > 0).select(*keys, "spans", "items").distinct()
-        hits = hit if hits is None else hits.unionAll(hit)
-    # Equal rows have equal hits and are one by now: a group has a row for each part at most.
-    hits = staged(hits, "hits").groupBy(*keys).agg(
-        F.flatten(F.collect_list("spans")).alias("part_spans_"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("part_items_"),
-    )
-    left = same_text(docs)
-    joined = left.join(hits, [left[k].eqNullSafe(hits[k]) for k in keys], "left").drop(*(hits[k] for k in keys))
+    def with_keys(left, right):
+        return left.join(right, [left[k].eqNullSafe(right[k]) for k in keys], "left").drop(*(right[k] for k in keys))
+
+    def hits_in(texts):
+        """Keys, spans and items of the texts that some part hits."""
+        hits = None
+        for part in parts:
+            hit = map_rows(texts, ["text"], scanner(part), FOUND, drop=("text",))
+            hit = hit.where(F.size("spans") > 0).select(*keys, "spans", "items").distinct()
+            hits = hit if hits is None else hits.unionAll(hit)
+        # Equal rows have equal hits and are one by now: a group has a row for each part at most.
+        gathered = staged(hits, "hits").groupBy(*keys).agg(
+            F.flatten(F.collect_list("spans")).alias("part_spans_"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("part_items_"),
+        )
+        return staged(gathered, "gathered")
+
+    def cutter():
+        return lambda texts, spans: {"text": [without(t, merged(s)) for t, s in zip(texts, spans)]}
+
+    def cut_once(texts, hits):
+        joined = with_keys(texts, hits).where("part_spans_ is not null").dropDuplicates(keys)
+        found = joined.select(*keys, "text", "part_spans_")
+        return staged(map_rows(found, ["text", "part_spans_"], cutter, {"text": "string"}, drop=("part_spans_",)), "cut")
+
+    narrow = same_text(docs.select("doc_id", "text")).drop("doc_id")
+    hits = hits_in(narrow)
+    inputs = ["text", "part_spans_", "part_items_"]
+    if cut:
+        texts, again, rounds = narrow, hits, []
+        while again.limit(1).count():
+            texts = cut_once(texts, again)
+            rounds.append(texts.withColumn("round_", F.lit(len(rounds))))
+            again = hits_in(texts)
+        last = reduce(DataFrame.unionAll, rounds) if rounds else narrow.limit(0).withColumn("round_", F.lit(0))
+        last = last.groupBy(*keys).agg(F.max_by("text", "round_").alias("cut_text_"))
+        hits = with_keys(hits, last)
+        inputs.append("cut_text_")
+    joined = with_keys(same_text(docs), hits)
 
     def start():
-        def step(texts, spans, named):
-            return result(texts, [words(t) for t in texts], [merged(s or []) for s in spans], [n or [] for n in named])
+        def step(texts, spans, named, left=()):
+            made = {"n_words": [len(words(t)) for t in texts], "spans": [merged(s or []) for s in spans], "items": [n or [] for n in named]}
+            return made | ({"text": [new if s else t for t, s, new in zip(texts, spans, left)]} if cut else {})
 
         return step
 
-    inputs = ["text", "part_spans_", "part_items_"]
     return map_rows(joined.drop(*keys), inputs, start, columns, drop=tuple(inputs))
 
 
@@ -315,8 +390,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = MAX_C
 
     Coverage is hit words by all words. Columns as given; n_chars, where there
     is one, is counted anew for the texts that were cut. Where a cut brings the
-    halves of a window together, that is cut as well; with items in more than
-    one part, only a second call does so.
+    halves of a window together, that is cut as well.
     """
     own = {c: f"own_{c}_" for c in FOUND if c in docs.columns}
     found = find_contamination(docs.withColumnsRenamed(own), items, cut=True, **options)
