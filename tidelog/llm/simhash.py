@@ -407,38 +407,31 @@ def set_forest(left: list[np.ndarray], right: list[np.ndarray] | None, share: tu
     return edges
 
 
-def sets_of(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """set_ and hashes_, its sorted shingle hashes as bytes, of each set in ``members`` (set_, first_)."""
-    asked = members.select("set_", F.col("first_.key_id_").alias("asked_id_"), F.col("first_.key_hash_").alias("asked_hash_"))
-    asked = asked.distinct()
-    same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
-    texts = docs.join(asked, same).select("set_", "text")
-
-    def start():
-        return lambda texts: {"hashes_": [shingle_set(t, shingle).tobytes() for t in texts]}
-
-    return map_rows(texts, ["text"], start, {"hashes_": "binary"}, drop=("text",))
+def alike_links(docs: DataFrame, members: DataFrame, shingle: int, share: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) that join what exact similarity joins inside each group of ``members``.
 
-
-def alike_links(members: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Edges (a, b) that join what exact similarity joins inside each group of ``members`` (group_, blocks_, set_).
-
-    A group is searched for each block and each pair of its blocks, as in ``near_links``.
+    Members are (group_, blocks_, set_, first_), the last the key of a row of
+    ``docs`` with that set. Texts go to their groups, as they take less room
+    than their hashes. A group is searched for each block and each pair of its
+    blocks, as in ``near_links``.
     """
     own = F.pmod(F.xxhash64("set_"), F.col("blocks_")).cast("int")
     placed = (
         members.withColumn("own", own)
-        .select("group_", "own", "set_", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other"))
+        .select("group_", "own", "set_", "first_", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other"))
         .select(
             "group_",
             F.least("own", "other").alias("low"),
             F.greatest("own", "other").alias("high"),
             (F.col("own") > F.col("other")).alias("second"),
             "set_",
+            F.col("first_.key_id_").alias("asked_id_"),
+            F.col("first_.key_hash_").alias("asked_hash_"),
         )
     )
     keys = ["group_", "low", "high"]
-    rows = placed.join(sets, "set_").select(*keys, "second", "set_", "hashes_")
+    same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
+    rows = docs.join(placed, same).select(*keys, "second", "set_", "text")
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "second", "set_")
     columns = {"a": "binary", "b": "binary"}
     schema = arrow_schema(columns)
@@ -456,14 +449,14 @@ def alike_links(members: DataFrame, sets: DataFrame, share: tuple[int, int]) ->
 
         for batch in batches:
             made = []
-            for *place, second, name, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+            for *place, second, name, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if place != key:
                     made += edges()
                     key, names, sides = place, ([], []), ([], [])
                 # Equal rows follow each other; the set without words has no other that is alike.
-                if hashes and names[second][-1:] != [name]:
+                if names[second][-1:] != [name] and len(own := shingle_set(text, shingle)):
                     names[second].append(name)
-                    sides[second].append(np.frombuffer(hashes, dtype=np.uint64))
+                    sides[second].append(own)
             yield batch_of(made)
         yield batch_of(edges())
 
@@ -543,13 +536,11 @@ def keep_one(
     named = nodes.join(near, nodes["value"] == near["node"], "left").withColumn("group_", F.coalesce("root", "value"))
     sizes = named.groupBy("group_").agg(F.count(F.lit(1)).alias("count_"), blocks(block)).where("count_ > 1 and blocks_ > 0")
     members = staged(named.join(sizes, "group_").select("group_", "blocks_", "set_", "first_"), "members")
-    sets = staged(sets_of(narrow, members, shingle), "sets")
-    groups = staged(components(staged(alike_links(members, sets, share), "alike")), "groups")
+    groups = staged(components(staged(alike_links(narrow, members, shingle, share), "alike")), "groups")
     # What fingerprints miss: sets of different groups so far that have a rare hash in common.
     named = nodes.join(groups, nodes["set_"] == groups["node"], "left")
     others = staged(shared_rare(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), block), "members")
-    sets = staged(sets_of(narrow, others, shingle), "sets")
-    missed = staged(alike_links(others.drop("first_"), sets, share), "alike")
+    missed = staged(alike_links(narrow, others, shingle, share), "alike")
     if missed.limit(1).count():
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(missed))
     rows = marked.join(groups, marked["set_"] == groups["node"], "left").withColumn("root_", F.coalesce("root", "set_"))
