@@ -103,5 +103,16 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame, *named: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``named`` columns, and all others in one struct, so that no name used on the way clashes with theirs."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in named and c not in drop]
+    return df.select(*named, *([F.struct(*others).alias("others_")] if others else []))
+
+
+def beside(df: DataFrame, *named: str) -> DataFrame:
+    """``named`` columns, and those that ``aside`` put away."""
+    return df.select(*named, *(["others_.*"] if "others_" in df.columns else []))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
