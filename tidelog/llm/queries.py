@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm.collocations import collocations
 from tidelog.llm.common import new_folder, table
 from tidelog.llm.decontamination import contamination_report
+from tidelog.llm.jaccard_join import alike_documents
 from tidelog.llm.neighbours import nearest
 from tidelog.llm.packing import pack
 from tidelog.llm.ppm import score_texts
 from tidelog.llm.quality import quality_report
+from tidelog.llm.ranked_search import best_documents
 from tidelog.llm.secrets import secrets_report
 from tidelog.llm.simhash import near_duplicates
 from tidelog.llm.token_files import read_token_files, stored_digest, write_token_files
@@ -123,3 +126,78 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ppm_scores")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY doc_id, t),
+len AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+g AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM len),
+m AS (SELECT doc_id, 100 - 50 + ((50 * n * nn) // l) AS m FROM len, g),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY t, nn),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM i JOIN tf USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+
+@query("op11_pair_maxscore", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+          ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i : w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+      FROM d WHERE len(w) > 0),
+t AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n, unnest(s) AS t FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS i
+      FROM t a JOIN t b ON a.t = b.t WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c WHERE 100 * i >= 90 * (an + bn - i) UNION ALL SELECT b, a FROM c WHERE 100 * i >= 90 * (an + bn - i)),
+r AS (SELECT a AS doc_id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id WHERE r.root < e.b),
+m AS (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_shingles, coalesce(least(m.root, d.doc_id), d.doc_id) AS component_id
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
+"""
+
+
+@query("op12_partition_jaccard", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alike_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+e AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda s : w[s] || ' ' || w[s + 1])) FROM w
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda s : w[s] || ' ' || w[s + 1] || ' ' || w[s + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS a, lang || '|' || phrase AS id FROM e GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS v FROM f WHERE k > 1 AND a >= 10),
+x AS (SELECT lang, k, phrase, a, cut, lang || '|' || array_to_string(v[1 : cut], ' ') AS lp,
+        lang || '|' || array_to_string(v[cut + 1 : k], ' ') AS rp
+      FROM c, unnest(range(1, k)) AS t(cut)),
+y AS (SELECT x.lang, x.k, x.phrase, x.a, cut, l.a AS l, r.a AS r,
+        CAST((1000000 * CAST(x.a AS HUGEINT) * x.a) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+      FROM x JOIN f l ON l.id = x.lp JOIN f r ON r.id = x.rp),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS best FROM y),
+o AS (SELECT lang || '|' || array_to_string(v[s : s + 1], ' ') AS id, max(a) AS longer
+      FROM c, unnest([1, 2]) AS t(s) WHERE k = 3 GROUP BY ALL),
+q AS (SELECT z.*, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, encode(z.phrase)) AS rank
+      FROM z LEFT JOIN o ON o.id = z.lang || '|' || z.phrase
+      WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_hat_trie_phrases", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
