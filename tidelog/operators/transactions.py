@@ -181,6 +181,28 @@ def open_transactions_topk(assigned: DataFrame, k: int = 100, capacity: int = DE
     return open_txns.orderBy("n_events", "txn_id").limit(k).crossJoin(F.broadcast(total))
 
 
+def release_over_capacity(events: DataFrame, capacity: int = DEFAULT_BUFFER_CAPACITY) -> DataFrame:
+    """Row events with ``committed``: true with a COMMIT of their ``txn_id``, false where room is made, else null.
+
+    Held events are those without a COMMIT. If they are ``capacity`` or more,
+    whole transactions are released, by rising number of events and then id,
+    until fewer are left. Only one row a transaction is sorted, in slices of the
+    same number of events.
+    """
+    per = events.groupBy("txn_id").agg(
+        F.count_if(_is_row()).alias("n_events"), F.bool_or(F.col("op") == COMMIT).alias("_closed")
+    )
+    held = per.where(~F.col("_closed") & (F.col("n_events") > 0))
+    total = held.agg(F.coalesce(F.sum("n_events"), F.lit(0)).alias("_total"))
+    before = running(held, [], [["n_events"]], ["txn_id"], [Running("_before", "sum", F.col("n_events"), exclusive=True)])
+    # One row on the right-hand side. A transaction goes if with all smaller ones gone there is still too much.
+    room = before.crossJoin(F.broadcast(total)).where(F.col("_total") - F.col("_before") >= F.lit(capacity))
+    decided = per.where("_closed").select("txn_id", F.lit(True).alias("committed")).unionByName(
+        room.select("txn_id", F.lit(False).alias("committed"))
+    )
+    return row_events(events).join(decided, "txn_id", "left").select(*events.columns, "committed")
+
+
 def txn_lifecycle(events: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """What becomes of each event when the log itself names the transactions.
 

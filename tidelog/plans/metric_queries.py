@@ -244,8 +244,8 @@ def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH s AS (SELECT user_id, event_id, list(CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE value / 7 END) OVER w AS l
       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))"""
     + " UNION ALL ".join(
-        f"""SELECT CAST({w} AS DOUBLE) AS weight, user_id, event_id, round(list_reduce(l,
-      lambda a, x: CASE WHEN a = 0 THEN x ELSE {w} * x + (1 - {w}) * a END), 6) AS latency_ema FROM s"""
+        f"""SELECT CAST({w} AS DOUBLE) AS weight, user_id, event_id, list_reduce(l,
+      lambda a, x: CASE WHEN a = 0 THEN x ELSE {w} * x + (1 - {w}) * a END) AS latency_ema FROM s"""
         for w in ("0.001", "0.1", "0.9")
     ),
 )
@@ -259,5 +259,5 @@ def smoothed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
         for weight in (0.001, 0.1, 0.9)
     ]
     return reduce(DataFrame.unionByName, out).select(
-        "weight", "user_id", "event_id", F.round("latency_ema", 6).alias("latency_ema")
+        "weight", "user_id", "event_id", "latency_ema"
     )

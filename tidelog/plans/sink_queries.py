@@ -44,7 +44,8 @@ from tidelog.streaming.gate import force_flush_stream, stream_dedup
 
 TXN_IMAGES = with_(LOG, events(), TX, images("tx"))
 GTID_TX = """tx AS (SELECT *, gtid_uuid || ':' || gtid_no AS txn_id, event_ts_s AS ts, bool_or(op = 'COMMIT') OVER (
-    PARTITION BY gtid_uuid, gtid_no) AS committed FROM ev)"""
+    PARTITION BY gtid_uuid, gtid_no) AS committed, max(CASE WHEN op = 'COMMIT' THEN event_ts_s END) OVER (
+    PARTITION BY gtid_uuid, gtid_no) AS commit_ts_s FROM ev)"""
 GTID_IMAGES = with_(LOG, events(), GTID_TX, images("tx"))
 ROWS = f"SELECT {META}, array_to_string(image, '|') AS image, {INSERT_ID_SQL} AS _insert_id FROM img"
 DELAY, BOUND = "10 minutes", "5 minutes"
@@ -199,12 +200,19 @@ def drained(spark: SparkSession, rows: DataFrame, schema: T.StructType | None =
     return sinks.read_batches(spark, path, schema or rows.schema)
 
 
-@query("commit_gate", GTID_IMAGES + ROWS + " WHERE committed")
+IN_BOUND = "commit_ts_s BETWEEN event_ts_s AND event_ts_s + 300"
+
+
+@query(
+    "commit_gate",
+    GTID_IMAGES
+    + ROWS.replace(" FROM img", f", CASE WHEN {IN_BOUND} THEN 'stream' ELSE 'batch' END AS origin FROM img WHERE committed"),
+)
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Released by the stream, and what its bounds left out settled by the batch form."""
+    """Released by the stream, and what its bounds left out settled by the batch form, each row with its origin."""
     released = drained(spark, jobs.change_row_stream(steps(spark, sf_dir), gate=(DELAY, BOUND)))
     rest = jobs.leftovers(d.landed_log(spark, sf_dir), released).where("committed")
-    return flat(released).unionByName(flat(rest))
+    return flat(released).withColumn("origin", F.lit("stream")).unionByName(flat(rest).withColumn("origin", F.lit("batch")))
 
 
 @query("commit_gate_by_position", TXN_IMAGES + ROWS + " WHERE committed")

@@ -6,15 +6,19 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.model import CDC_TIMESTAMP, COMMIT, INSERT_ID, Position
 from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
-from tidelog.operators.positions import catch_up_range, resume_filter
+from tidelog.operators.number_sets import SPANS, events_of_numbers, subtract_spans
+from tidelog.operators.positions import catch_up_range, executed_gtids, resume_filter
 from tidelog.operators.rows import generic_change_rows
 from tidelog.operators.transactions import gtid_transaction
+from tidelog.session import stage
+from tidelog.sinks.targets import read_or_none
 from tidelog.streaming.gate import commit_gate_stream
-from tidelog.streaming.sinks import BatchWriter
+from tidelog.streaming.sinks import BatchWriter, batch_folder
 
 
 def change_row_stream(
@@ -135,3 +139,28 @@ def progress_totals(query: StreamingQuery) -> dict:
         "rows_per_second": rows / took if took > 0 else 0.0,
         "last_event_time": max((m["last_event_time"] for m in seen if m.get("last_event_time")), default=None),
     }
+
+
+def once_to_set(
+    log: DataFrame, executed: DataFrame, stop: DataFrame, deliver: BatchWriter, checkpoint: str, state: str, run: str
+) -> DataFrame:
+    """Drains a streamed log to a set of transaction numbers; what of the set is still missing, as intervals.
+
+    ``executed`` and ``stop`` are (source_uuid, lo, hi). Only events whose number
+    is in ``stop`` and not in ``executed`` go to ``deliver``, whatever holes the
+    sets have. The numbers of each micro-batch are kept under ``state``, so that
+    a further run on the same checkpoint, when more log has landed, goes on. The
+    run is through when nothing is missing: the executed set with what was
+    delivered then contains the stop set.
+    """
+    spark = log.sparkSession
+    wanted = stage(subtract_spans(stop, executed), "wanted")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        events = events_of_numbers(batch, wanted)
+        deliver(events, batch_id)
+        executed_gtids(events).write.mode("overwrite").parquet(batch_folder(state, run, batch_id))
+
+    run_once(log, write, checkpoint)
+    seen = read_or_none(spark, state, T.StructType.fromDDL(SPANS))
+    return wanted if seen is None else subtract_spans(wanted, seen.select("source_uuid", "lo", "hi"))

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.failures import RETRY, classify_row_error, retry_delay_s, retry_exhausted
-from tidelog.model import INSERT_ID, TableSpec
+from tidelog.model import DEFAULT_BUFFER_CAPACITY, DEFAULT_MAX_ROWS, INSERT_ID, TableSpec
+from tidelog.operators.chunks import row_chunks
+from tidelog.operators.continuity import log_gaps, marks, require_unbroken
 from tidelog.operators.images import cast_failures, missing_required
 from tidelog.operators.positions import high_water
-from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, merge_hot_copies
+from tidelog.operators.transactions import SLICE_BYTES, assign_transaction, merge_hot_copies, release_over_capacity
+from tidelog.session import broadcast_if_small
 from tidelog.sinks.targets import delete_folders, existing, new_rows, read_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -192,3 +195,131 @@ def _check_order(batch: DataFrame, last: DataFrame) -> None:
 def discarded_events(spark: SparkSession, path: str, run: str, schema: T.StructType) -> DataFrame:
     """Events of transactions that the position gate settled as discarded, over all batches."""
     return spark.read.schema(schema).parquet(f"{path}/run={run}/batch_id=*/gate={DISCARDED}")
+
+
+MARKS_SCHEMA = "kind string, name string, reached bigint"
+
+
+def continuity_sink(path: str, run: str, deliver: BatchWriter) -> BatchWriter:
+    """Ends the stream with ``LogGap`` where a micro-batch does not go on right behind the one before.
+
+    File numbers and each source's transaction numbers must have no hole, within
+    a batch and between batches; a batch with a hole is not delivered. How far a
+    batch reaches is kept in its folder, a row a file series and source, so a
+    restart on the checkpoint checks the seam too. The two newest folders stay.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = read_or_none(spark, batch_folder(path, run, batch_id - 1), _struct(MARKS_SCHEMA)) if batch_id else None
+        if batch_id and earlier is None:
+            raise RuntimeError(f"batch {batch_id} of run {run} has no marks of the batch before it")
+        require_unbroken(log_gaps(batch, earlier))
+        deliver(batch, batch_id)
+        now = marks(batch) if earlier is None else marks(batch).unionByName(earlier)
+        now = now.groupBy("kind", "name").agg(F.max("reached").alias("reached"))
+        now.coalesce(1).write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+        if batch_id > 1:
+            delete_folders(spark, [batch_folder(path, run, batch_id - 2)])
+
+    return write
+
+
+def _struct(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
+def capacity_gate_sink(path: str, run: str, deliver: BatchWriter, capacity: int = DEFAULT_BUFFER_CAPACITY) -> BatchWriter:
+    """Commit gate bounded by the number of held row events, for events that carry ``txn_id``.
+
+    A micro-batch is joined by what the one before it held. Rows of transactions
+    with a COMMIT are delivered with ``committed`` true, and the transaction is
+    forgotten. If the rows that are left reach ``capacity``, transactions are
+    delivered as they are, with ``committed`` false, those of the fewest events
+    first (ties: the least ``txn_id``), until fewer than ``capacity`` are left;
+    what such a transaction still sends begins it anew. So a batch ends with
+    fewer held events than the capacity, and with the files of one trigger that
+    bounds what a batch works on. Held events lie in the batch's folder; a
+    repeated batch starts from the same ones and decides the same.
+    """
+    if capacity < 1:
+        raise ValueError("the capacity must be positive")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, here = batch.sparkSession, batch_folder(path, run, batch_id)
+        events = batch
+        if batch_id:
+            events = spark.read.schema(batch.schema).parquet(batch_folder(path, run, batch_id - 1) + f"/gate={HELD}").unionByName(batch)
+        decided = release_over_capacity(events, capacity)
+        gate = F.when(F.col("committed").isNull(), F.lit(HELD)).otherwise(F.lit(RELEASED))
+        for name in (RELEASED, HELD):
+            # An empty table keeps each folder readable.
+            decided.limit(0).write.mode("overwrite").parquet(f"{here}/gate={name}")
+        decided.withColumn("gate", gate).write.mode("append").partitionBy("gate").parquet(here)
+        deliver(spark.read.schema(decided.schema).parquet(f"{here}/gate={RELEASED}"), batch_id)
+        if batch_id > 1:
+            delete_folders(spark, [batch_folder(path, run, batch_id - 2)])
+
+    return write
+
+
+def held_events(spark: SparkSession, path: str, run: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """What the capacity gate still holds after a batch; ``flush`` of a run that ends."""
+    return spark.read.schema(schema).parquet(batch_folder(path, run, batch_id) + f"/gate={HELD}")
+
+
+def exact_batch_sink(path: str, run: str, table: list[str], order: list[str], max_rows: int = DEFAULT_MAX_ROWS) -> BatchWriter:
+    """Rows written in batches of exactly ``max_rows`` per table, whatever the trigger cuts.
+
+    What is left over of a micro-batch goes in front of the next one. Full
+    batches are numbered on from those before and lie under ``path``, a folder a
+    micro-batch, with ``chunk_id``; ``flush_rest`` writes the short last ones.
+    Rows arrive in order, so that a table's chunks are those of one long batch.
+    A repeated micro-batch starts from the same rest and replaces its folder.
+    """
+
+    size = max_rows if max_rows > 0 else DEFAULT_MAX_ROWS
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rest, done = _rest_folders(path, run, batch_id)
+        rows, written = batch, None
+        if batch_id:
+            before, counts = _rest_folders(path, run, batch_id - 1)
+            rows = spark.read.schema(batch.schema).parquet(before).unionByName(batch)
+            written = spark.read.parquet(counts)
+        numbered = row_chunks(rows, table, order, size)
+        totals = numbered.groupBy(*table).agg((F.max("row_no") + 1).alias("_rows"))
+        totals = totals.withColumn("_full", F.expr(f"_rows div {size}"))
+        if written is None:
+            written = totals.select(*table, F.lit(0).cast("bigint").alias("_done")).limit(0)
+        totals = totals.join(written, table, "full_outer").select(
+            *table, F.coalesce("_full", F.lit(0)).alias("_full"), F.coalesce("_done", F.lit(0)).alias("_done")
+        )
+        # One row a table; a table is a hot key of the join, so the side of the rows is not shuffled where that is small.
+        small, _ = broadcast_if_small(totals)
+        placed = numbered.join(small, table)
+        full = placed.where(F.col("chunk_id") < F.col("_full")).withColumn("chunk_id", F.col("chunk_id") + F.col("_done"))
+        full.select(*batch.columns, "chunk_id").write.mode("overwrite").parquet(batch_folder(f"{path}/full", run, batch_id))
+        placed.where(F.col("chunk_id") >= F.col("_full")).select(*batch.columns).write.mode("overwrite").parquet(rest)
+        totals.select(*table, (F.col("_done") + F.col("_full")).alias("_done")).coalesce(1).write.mode("overwrite").parquet(done)
+        if batch_id > 1:
+            delete_folders(spark, list(_rest_folders(path, run, batch_id - 2)))
+
+    return write
+
+
+def _rest_folders(path: str, run: str, batch_id: int) -> tuple[str, str]:
+    return batch_folder(f"{path}/rest", run, batch_id), batch_folder(f"{path}/done", run, batch_id)
+
+
+def flush_rest(spark: SparkSession, path: str, run: str, batch_id: int, table: list[str], schema: T.StructType) -> DataFrame:
+    """The rows that wait for a full batch after micro-batch ``batch_id``, as each table's last, short chunk."""
+    rest, done = _rest_folders(path, run, batch_id)
+    rows, written = spark.read.schema(schema).parquet(rest), spark.read.parquet(done)
+    return rows.join(F.broadcast(written), table).withColumn("chunk_id", F.col("_done")).select(*schema.fieldNames(), "chunk_id")
+
+
+def full_batches(spark: SparkSession, path: str, run: str, schema: T.StructType) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField("chunk_id", T.LongType())])
+    return spark.read.schema(full).parquet(f"{path}/full/run={run}")
