@@ -22,7 +22,9 @@ from tokenizers import Tokenizer
 from tidelog.llm.common import worker_store
 
 #: Words remembered by a worker, some 100 MB; then it starts afresh.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
+
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # Letters that no normal form changes, then ASCII marks other than the apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
@@ -30,6 +32,7 @@ _PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # White space to Python but not to the tokenizers' patterns, and the mark of a word without a blank.
 _ODD = re.compile("[\x00\x1c-\x1f]")
 _NOT_SINGLE = re.compile(r"[^\S \n]|\s\s")
+_NOT_SINGLE_ASCII = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
 
 
 def byte_letters() -> dict[int, int]:
@@ -54,7 +57,9 @@ class Words(dict):
         # A token of its own ends the text before it, which no cut at white space shows.
         self.own = [t["content"] for t in made["added_tokens"]]
         self.letters = byte_letters()
+        self.blank = chr(self.letters[32])
         self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
@@ -71,6 +76,13 @@ class Words(dict):
                 word = word[1:]
             elif word != "\n":
                 lead = " "
+        stem = word.rstrip(_MARKS)
+        if stem.isascii() and stem.isalpha():
+            # Printable ASCII is shown as it is.
+            marks = word[len(stem) :]
+            stem = stem.lower() if self.dropped else stem
+            ids = self.model(self.blank + stem if lead else stem)
+            return ids + self.piece(marks) if marks else ids
         plain = _PLAIN.fullmatch(word)
         if not plain or not word:
             return self.whole(lead + word)
@@ -83,10 +95,12 @@ class Words(dict):
 
     def piece(self, piece: str) -> bytes:
         if piece not in self.pieces:
-            shown = piece.encode().decode("latin-1").translate(self.letters)
-            self.pieces[piece] = array.array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            self.pieces[piece] = self.model(piece.encode().decode("latin-1").translate(self.letters))
         return self.pieces[piece]
 
+    def model(self, shown: str) -> bytes:
+        return array.array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -97,7 +111,7 @@ class Words(dict):
             return self.whole(text)
         if self.dropped:
             words = text.split()
-        elif _NOT_SINGLE.search(text):
+        elif any(t in text for t in _NOT_SINGLE_ASCII) if text.isascii() else _NOT_SINGLE.search(text):
             words = [p[1:] if p[0] == " " and p[1:2].strip() else "\x00" + p for p in _PIECE.findall(text)]
         else:
             words = ("\x00" + text.replace("\n", " \n \x00")).split(" ")
