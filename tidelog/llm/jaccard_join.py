@@ -10,19 +10,21 @@ match in some segment: that is the pigeonhole. A little more than H + 1
 (``spare``) means several matches, so that empty and single-element parts,
 which many sets have, need not be indexed by sets that have few of them.
 
-How much each v_i costs in keys and in chance matches is measured on a sample
-of the band, and the cheapest allocation is taken; the result does not depend
-on it. The smaller set of a pair settles the band, the larger is indexed by the
-schemes of both bands that it can meet.
-
-Sets that share a key are candidates. Equal sets are one node before that. A
-key's sets are tied to its least one, which gives candidate groups that hold
-every link; within them links are verified on the sets themselves, only between
-sets that share a key and are not joined yet.
+The cost of an allocation is its keys a set and the chance that a set must be
+indexed under such weak parts; each band gets the cheapest. The smaller set of a
+pair settles the band, the larger is indexed by the schemes of all bands that it
+can meet.
+
+Sets that share a key are candidates. Equal sets are one node before that. Links
+are verified on the sets themselves, in two steps: first every set with the
+least one of each of its keys, which joins nearly all; then, for keys whose sets
+are still of different components, the others among themselves. Pairs that are
+joined already are not compared, and no pair is made that does not share a key.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,19 +39,15 @@ from tidelog.llm.components import components
 SHINGLE = 3
 #: Jaccard similarity of linked sets, as a fraction.
 SHARE = (90, 100)
-#: Sets in the sample by which keys are allocated (results do not depend on it), up to
-#: which size they are measured, and of how many segments each is.
-SAMPLE_SETS = 3_000
-SAMPLE_SIZE = 4_096
-MEASURED_SEGMENTS = 8
-#: Chance matches of a sampled set count as so many keys.
-MATCH_COST = 50
-#: Shingles of the sets that one task verifies at a time.
+#: What a set that is indexed under weak parts costs, in keys.
+WEAK_COST = 100_000
+#: Sets that are compared with one centre in one task, and shingles of a key's sets verified at a time.
+CENTRE_SETS = 256
 VERIFY_BLOCK = 1 << 20
 #: Words whose hashes a worker remembers.
 WORDS_KEPT = 400_000
 
-_GROWTH = 1.5
+_GROWTH = 1.25
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -144,82 +142,53 @@ def bands(largest: int, share: tuple[int, int]) -> list[tuple[int, int]]:
     return out
 
 
-def cheapest(low: int, high: int, sample: list[np.ndarray], share: tuple[int, int]) -> Scheme:
-    """The allocation of least cost for a band, by keys and chance matches of sampled sets.
+def at_most(k: int, mean: float) -> float:
+    """Chance of ``k`` or fewer of a Poisson number."""
+    term = total = math.exp(-mean)
+    for i in range(1, k + 1):
+        term *= mean / i
+        total += term
+    return min(1.0, total)
 
-    For each number of segments the costs of v_i = 1 and 2 are measured segment
-    by segment, and a table over (segments, sum of v) finds the least sum.
-    """
+
+def cost(low: int, high: int, ones: int, twos: int, spare: int) -> float:
+    """Keys a set, and what weak parts cost, of ``ones`` segments with v = 1 and ``twos`` with v = 2."""
+    n = ones + twos
+    part = low / n
+    weak = at_most(1, part) * ones if n > 1 else 0.0
+    # A part of two elements has neighbours of one.
+    weak_twos = at_most(2, part) * twos if n > 1 else 0.0
+    keys = ones + twos * ((low + high) / 2 / n + 1)
+    return keys + WEAK_COST * (1 - at_most(spare, weak) + weak_twos)
+
+
+def cheapest(low: int, high: int, share: tuple[int, int]) -> Scheme:
+    """The allocation of least cost for a band."""
     differ = need(high, share)
-    usual = Scheme(low, high, (1,) * (differ + 3), 2)
-    if differ == 0 or high > SAMPLE_SIZE or len(sample) < 8:
-        return usual if differ else Scheme(low, high, (1,), 0)
-    best, least = usual, None
-    for spare in (0, 1, 2):
+    if not differ:
+        return Scheme(low, high, (1,), 0)
+    options = []
+    for spare in range(5 + differ // 10):
         total = differ + 1 + spare
-        for n in sorted({total, -(-3 * total // 4), -(-total // 2)}):
-            costs = [np.zeros(n), *(measured(low, high, n, v, sample, spare) for v in (1, 2))]
-            place = least_sum(costs, total)
-            if place and (least is None or place[0] < least):
-                least, best = place[0], Scheme(low, high, place[1], spare)
-    return best
-
-
-def measured(low: int, high: int, n: int, v: int, sample: list[np.ndarray], spare: int) -> np.ndarray:
-    """Cost a set of each of ``n`` segments matched on ``v``: its keys and its chance matches."""
-    # Segments of many are alike by hashing; the first stands for all.
-    each = n <= MEASURED_SEGMENTS
-    cost = np.zeros(n if each else 1)
-    for i in range(len(cost)):
-        one = Scheme(low, high, tuple(v if j == i else 0 for j in range(n)), spare)
-        keys = [one.keys(s) for s in sample]
-        _, counts = np.unique(np.concatenate(keys), return_counts=True)
-        cost[i] = (sum(map(len, keys)) + MATCH_COST * float((counts * (counts - 1) / 2).sum())) / len(sample)
-    return cost if each else np.full(n, cost[0])
-
-
-def least_sum(costs: list[np.ndarray], total: int) -> tuple[float, tuple[int, ...]] | None:
-    """v of 0, 1 or 2 for each segment that add up to ``total`` at the least cost."""
-    n = len(costs[0])
-    if total > 2 * n:
-        return None
-    table, chosen = np.full(total + 1, np.inf), np.zeros((n, total + 1), dtype=np.int8)
-    table[0] = 0
-    for i in range(n):
-        options = np.full((3, total + 1), np.inf)
-        for v in range(3):
-            options[v, v:] = table[: total + 1 - v] + costs[v][i]
-        chosen[i] = options.argmin(axis=0)
-        table = options.min(axis=0)
-    left, out = total, []
-    for i in range(n - 1, -1, -1):
-        out.append(int(chosen[i, left]))
-        left -= out[-1]
-    return float(table[total]), tuple(reversed(out))
+        for twos in range(total // 2 + 1) if differ < 64 else (0,):
+            options.append((cost(low, high, total - 2 * twos, twos, spare), spare, total - 2 * twos, twos))
+    _, spare, ones, twos = min(options)
+    return Scheme(low, high, (2,) * twos + (1,) * ones, spare)
 
 
 class Schemes:
-    """Schemes of all bands; those beyond the measured sizes are made when asked for."""
+    """Schemes of all bands, made when a set of their sizes comes."""
 
-    def __init__(self, made: list[tuple], share: tuple[int, int]):
-        self.share, self.made = share, [Scheme(*m) for m in made]
-
-    @classmethod
-    def fitted(cls, sample: list[np.ndarray], share: tuple[int, int]) -> Schemes:
-        own = cls([], share)
-        for low, high in bands(SAMPLE_SIZE, share):
-            own.made.append(cheapest(low, high, [s for s in sample if low <= len(s) <= high][:60], share))
-        return own
-
-    def plain(self) -> tuple[list[tuple], tuple[int, int]]:
-        """What ``Schemes`` is made of, without this module's classes: tasks need not be able to import them."""
-        return [(s.low, s.high, s.allowed, s.spare) for s in self.made], self.share
+    def __init__(self, share: tuple[int, int]):
+        self.share, self.made = share, []
+        for low, high in bands(1, share):
+            self.made.append(cheapest(low, high, share))
 
     def of(self, size: int) -> list[Scheme]:
         """The schemes a set is indexed by: its own, and those of smaller sets that it can be linked with."""
         while self.made[-1].high < size:
             low = self.made[-1].high + 1
-            self.made.append(cheapest(low, int(low * _GROWTH) - 1, [], self.share))
+            self.made.append(cheapest(low, max(low, int(low * _GROWTH) - 1), self.share))
         return [s for s in self.made if s.low <= size and size <= largest_partner(s.high, self.share)]
 
     def keys(self, own: np.ndarray) -> np.ndarray:
@@ -228,28 +197,11 @@ class Schemes:
         return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]))
 
 
-def sampled_sets(docs: DataFrame, shingle: int) -> list[np.ndarray]:
-    """Distinct sets of up to SAMPLE_SIZE shingles of some documents, for the costs of schemes only."""
-    every = max(1, docs.count() // SAMPLE_SETS)
-    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text").limit(SAMPLE_SETS)
-
-    def start():
-        def step(texts):
-            sets = [shingles(t, shingle) for t in texts]
-            return {"set": [s.tobytes() if 0 < len(s) <= SAMPLE_SIZE else b"" for s in sets]}
-
-        return step
-
-    found = map_rows(some, ["text"], start, {"set": "binary"}, drop=("text",)).distinct().toArrow()
-    return [np.frombuffer(s, dtype=np.uint64) for s in sorted(found.column("set").to_pylist()) if s]
-
-
-def with_keys(docs: DataFrame, schemes: Schemes, shingle: int) -> DataFrame:
+def with_keys(docs: DataFrame, share: tuple[int, int], shingle: int) -> DataFrame:
     """``docs`` with these in place of the text: set_, the digest of its shingles; n_shingles; keys_."""
-    shared = docs.sparkSession.sparkContext.broadcast(schemes.plain())
 
     def start():
-        own = Schemes(*shared.value)
+        own = Schemes(share)
 
         def step(texts):
             made = {"set_": [], "n_shingles": [], "keys_": []}
@@ -281,127 +233,144 @@ def key_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("keys_", "node").mapInArrow(task, ddl(columns))
 
 
-class Joined:
-    """Which numbers are joined, as trees of numbers."""
+def candidates(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the ``wanted`` nodes, staged; repeated rows of a document may repeat a node."""
+    named = nodes.join(wanted, "node", "left_semi").select(
+        "node", F.col("first_.key_id_").alias("asked_id_"), F.col("first_.key_hash_").alias("asked_hash_")
+    )
+    same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
+    texts = docs.select(F.col("doc_id").alias("key_id_"), F.xxhash64("text").alias("key_hash_"), "text")
+    return staged(texts.join(named, same).select("node", "text"), "texts")
 
-    def __init__(self, n: int):
-        self.up = list(range(n))
 
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+LINK = {"a": "long", "b": "long"}
 
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
 
+def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], schema=arrow_schema(LINK))
 
-def verified(sets: list[np.ndarray], n_left: int, keys: list[np.ndarray], share: tuple[int, int]) -> list[tuple[int, int]]:
-    """Edges that join what links join among ``sets``; with a right side, those from ``n_left`` on, across the sides only.
 
-    Sets that share a key and are not joined yet are compared, so alike sets
-    cost about one comparison each.
+def centre_links(tied: DataFrame, texts: DataFrame, share: tuple[int, int], shingle: int) -> DataFrame:
+    """The pairs (a, b) of ``tied`` that are links.
+
+    The sets of one centre ``b`` are dealt to groups of about ``CENTRE_SETS``,
+    each with a copy of the centre; a task holds one centre's set at a time.
+    """
+    groups = tied.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CENTRE_SETS).cast("int").alias("groups"))
+    members = tied.join(groups, "b").select("b", F.pmod(F.xxhash64("a"), "groups").cast("int").alias("group"), F.col("a").alias("node"))
+    centres = groups.select("b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), F.col("b").alias("node"))
+    keys = ["b", "group"]
+    rows = members.unionAll(centres).join(texts, "node").select(*keys, (F.col("node") != F.col("b")).alias("member"), "node", "text")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "member", "node")
+    bounded_batches(tied.sparkSession)
+
+    def task(batches):
+        key, centre = None, None
+        for batch in batches:
+            found = []
+            for b, group, member, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if not member:
+                    if key != (b, group):
+                        key, centre = (b, group), shingles(text, shingle)
+                    continue
+                own = shingles(text, shingle)
+                if linked(len(own), len(centre), min(len(own), len(centre)), share):
+                    common = len(own) + len(centre) - len(np.union1d(own, centre))
+                    if linked(len(own), len(centre), common, share):
+                        found.append((node, b))
+            yield links_of(found)
+
+    return rows.mapInArrow(task, ddl(LINK)).distinct()
+
+
+def verified(sets: list[np.ndarray], n_left: int, roots: list[int], share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Edges that join what links join among ``sets``, of which those with the same root are joined already.
+
+    With a right side, those from ``n_left`` on, only pairs across the sides are
+    compared.
     """
     across = n_left < len(sets)
     sizes = np.array([len(s) for s in sets])
     ends = np.cumsum(sizes)
     distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
     marked = np.zeros(len(distinct), dtype=bool)
-    all_keys = np.concatenate(keys)
-    owner = np.repeat(np.arange(len(sets)), [len(k) for k in keys])
-    order = np.lexsort((owner, all_keys))
-    all_keys, owner = all_keys[order], owner[order]
-    cuts = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1], [True]]))
-    joined, edges = Joined(len(sets)), []
-    spans = zip(cuts[:-1].tolist(), cuts[1:].tolist())
-    for a, b in spans:
-        members = owner[a:b]
-        if len(members) < 2:
+    _, root = np.unique(np.array(roots), return_inverse=True)
+    places, edges = np.arange(len(sets)), []
+    for first in range(n_left if across else len(sets) - 1):
+        behind = places[n_left:] if across else places[first + 1 :]
+        near = behind[root[behind] != root[first]]
+        near = near[linked(sizes[near], sizes[first], np.minimum(sizes[near], sizes[first]), share)]
+        if not len(near):
             continue
-        roots = np.array([joined.root(m) for m in members.tolist()])
-        for place, first in enumerate(members[:-1].tolist()):
-            apart = np.flatnonzero(roots[place + 1 :] != roots[place]) + place + 1
-            if not len(apart):
-                # All that follow are joined with this one, and so with each other.
-                break
-            near = members[apart]
-            if across:
-                near = near[(near < n_left) != (first < n_left)]
-            near = near[linked(sizes[near], sizes[first], np.minimum(sizes[near], sizes[first]), share)].tolist()
-            if not near:
+        own = codes[ends[first] - sizes[first] : ends[first]]
+        marked[own] = True
+        for m in near.tolist():
+            if root[m] == root[first]:
                 continue
-            own, before = codes[ends[first] - sizes[first] : ends[first]], len(edges)
-            marked[own] = True
-            for m in near:
-                common = int(np.count_nonzero(marked[codes[ends[m] - sizes[m] : ends[m]]]))
-                if linked(sizes[m], sizes[first], common, share) and joined.join(m, first):
-                    edges.append((m, first))
-            marked[own] = False
-            if len(edges) > before:
-                roots = np.array([joined.root(m) for m in members.tolist()])
+            common = int(np.count_nonzero(marked[codes[ends[m] - sizes[m] : ends[m]]]))
+            if linked(sizes[m], sizes[first], common, share):
+                root[root == root[m]] = root[first]
+                edges.append((m, first))
+        marked[own] = False
     return edges
 
 
-def verified_links(texts: DataFrame, members: DataFrame, schemes: Schemes, shingle: int, block: int) -> DataFrame:
-    """Edges (a, b) of nodes that join what exact similarity joins in each candidate group.
+def group_links(members: DataFrame, texts: DataFrame, share: tuple[int, int], shingle: int) -> DataFrame:
+    """Edges (a, b) that join what links join among the sets of each key of ``members`` (key, blocks, node, root).
 
-    ``members`` are (group_, blocks_, node, first_), the last the key of a row of
-    ``texts``. A group of more than ``block`` shingles is cut into blocks, and
-    each block and pair of blocks is verified by itself.
+    A key of more than one block is verified block by block and pair of blocks.
     """
-    own = F.pmod(F.xxhash64("node"), F.col("blocks_")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = members.withColumn("own", own).select(
-        "group_",
-        "own",
-        "node",
-        F.col("first_.key_id_").alias("asked_id_"),
-        F.col("first_.key_hash_").alias("asked_hash_"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other"),
+        "key", "own", "node", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     )
-    placed = placed.select(
-        "group_", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("second"),
-        "node", "asked_id_", "asked_hash_",
+    keys = ["key", "low", "high"]
+    rows = placed.join(texts, "node").select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("second"),
+        "node", "root", "text",
     )
-    keys = ["group_", "low", "high"]
-    same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
-    rows = texts.join(placed, same).select(*keys, "second", "node", "text")
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "second", "node")
-    columns = {"a": "long", "b": "long"}
-    schema = arrow_schema(columns)
     bounded_batches(members.sparkSession)
-    shared = members.sparkSession.sparkContext.broadcast(schemes.plain())
 
     def task(batches):
-        own = Schemes(*shared.value)
-        share = own.share
-        key, names, sides = None, ([], []), ([], [])
+        key, names, roots, sides = None, ([], []), ([], []), ([], [])
 
         def edges():
             left, right = sides
             if key is None or len(left) + len(right) < 2 or key[1] != key[2] and not (left and right):
-                return batch_of([])
-            sets, both = left + right, names[0] + names[1]
-            found = verified(sets, len(left), [own.keys(s) for s in sets], share)
-            return batch_of([(both[i], both[j]) for i, j in found])
+                return links_of([])
+            both = names[0] + names[1]
+            return links_of([(both[i], both[j]) for i, j in verified(left + right, len(left), roots[0] + roots[1], share)])
 
         for batch in batches:
-            for *place, second, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for *place, second, node, root, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if place != key:
                     yield edges()
-                    key, names, sides = place, ([], []), ([], [])
+                    key, names, roots, sides = place, ([], []), ([], []), ([], [])
                 # Repeated rows of a node follow each other.
                 if names[second][-1:] != [node]:
                     names[second].append(node)
+                    roots[second].append(root)
                     sides[second].append(shingles(text, shingle))
         yield edges()
 
-    def batch_of(found):
-        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], schema=schema)
+    return rows.mapInArrow(task, ddl(LINK)).distinct()
 
-    return rows.mapInArrow(task, ddl(columns))
+
+def mixed_keys(shared: DataFrame, nodes: DataFrame, groups: DataFrame, block: int) -> DataFrame:
+    """key, blocks, node, root of keys whose sets, their least apart, are of several components yet.
+
+    Keys of the same sets are one. Every set but the least has been compared
+    with the least, so what is left to compare is among the others.
+    """
+    rows = shared.where("node > least").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = rows.join(nodes.select("node", "n_"), "node").select("key", "node", "root", "n_")
+    keys = rows.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.sum("n_") / block).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.min("node").alias("first"),
+    )
+    alike = keys.where("low < high").groupBy("n", "sum", "first").agg(F.min("key").alias("key"), F.min("blocks").alias("blocks"))
+    return rows.join(alike.select("key", "blocks"), "key").select("key", "blocks", "node", "root")
 
 
 def alike_documents(docs: DataFrame, share: tuple[int, int] = SHARE, shingle: int = SHINGLE, block: int = VERIFY_BLOCK) -> DataFrame:
@@ -416,9 +385,8 @@ def alike_documents(docs: DataFrame, share: tuple[int, int] = SHARE, shingle: in
     replaced. An empty table gives an empty one. No link is lost.
     """
     plain = aside(docs, "doc_id", "text", drop=("n_shingles", "component_id"))
-    schemes = Schemes.fitted(sampled_sets(docs, shingle), share)
     keyed = plain.withColumns({"key_id_": F.col("doc_id"), "key_hash_": F.xxhash64("text")})
-    marked = staged(with_keys(keyed, schemes, shingle), "sets")
+    marked = staged(with_keys(keyed, share, shingle), "sets")
     nodes = marked.where("n_shingles > 0").groupBy("set_").agg(
         F.first("n_shingles").alias("n_"), F.first("keys_").alias("keys_"), F.min("key_id_").alias("first_id_"),
         F.min(F.struct("key_id_", "key_hash_")).alias("first_"),
@@ -426,15 +394,15 @@ def alike_documents(docs: DataFrame, share: tuple[int, int] = SHARE, shingle: in
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     # A key's sets are tied to its least one; keys of one set go.
     keys = key_rows(nodes)
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    tied = keys.join(shared.select("key", "least"), "key").where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    groups = components(staged(tied, "candidates"))
-    sized = nodes.select("node", "n_", "first_").join(groups.withColumnRenamed("root", "group_"), "node")
-    sizes = sized.groupBy("group_").agg(F.ceil(F.sum("n_") / block).cast("int").alias("blocks_"))
-    members = staged(sized.join(sizes, "group_").select("group_", "blocks_", "node", "first_"), "members")
-    texts = docs.select(F.col("doc_id").alias("key_id_"), F.xxhash64("text").alias("key_hash_"), "text")
-    links = staged(verified_links(texts, members, schemes, shingle, block), "verified")
-    named = nodes.select("set_", "node", "first_id_").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    shared = staged(keys.join(least.select("key", "least"), "key"), "keys")
+    tied = staged(shared.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "tied")
+    texts = candidates(docs, nodes, shared.select("node").distinct())
+    links = staged(centre_links(tied, texts, share, shingle), "links")
+    first = staged(components(links), "components")
+    more = staged(group_links(staged(mixed_keys(shared, nodes, first, block), "mixed"), texts, share, shingle), "links")
+    found = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)) if more.limit(1).count() else first
+    named = nodes.select("set_", "node", "first_id_").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id_").alias("component_id"))
     named = named.join(least, "root").select(F.col("set_").alias("named_set_"), "component_id")
     out = marked.join(named, marked["set_"] == named["named_set_"], "left")
