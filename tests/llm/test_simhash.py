@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tidelog.llm.bitmaps import bitmap, holds
 from tidelog.llm.components import components
 from tidelog.llm.simhash import (
     ALIKE,
@@ -15,6 +16,7 @@ from tidelog.llm.simhash import (
     keep_one,
     near_duplicates,
     rare_first,
+    repeated_rare,
     set_fingerprint,
     shingle_set,
 )
@@ -218,3 +220,25 @@ def test_rarest_of_alike_sets_meet():
             counts = rng.integers(3, 9, len(common))
             part = np.sort(rng.choice(every, -(-4 * len(every) // 5), replace=False))
             assert set(rare_first(every, common, counts, (4, 5))) & set(rare_first(part, common, counts, (4, 5)))
+
+
+@pytest.mark.parametrize("entries", [3, 1 << 20])
+def test_repeated_rare_hashes_are_those_of_several_sets(spark, entries):
+    rng, rows = np.random.default_rng(8), []
+    for i in range(60):
+        own = np.unique(rng.integers(-40, 40, int(rng.integers(0, 9))) * 10**17)
+        # Every third set comes several times.
+        rows += [(own.astype(np.int64).tobytes(), i.to_bytes(16, "little"))] * (1 + 3 * (i % 3 == 0))
+    got = repeated_rare(spark.createDataFrame(rows, "rare_ binary, set_ binary").repartition(5), entries)
+    owners = {}
+    for rare, own in rows:
+        for h in np.frombuffer(rare, dtype=np.int64).tolist():
+            owners.setdefault(h, set()).add(own)
+    assert sorted(r.hash for r in got.collect()) == sorted(h for h, o in owners.items() if len(o) > 1)
+
+
+def test_bitmap_misses_none(spark):
+    hashes = np.random.default_rng(9).integers(-(1 << 63), 1 << 63, 400)
+    bits = bitmap(spark.createDataFrame([(int(h),) for h in hashes], "h long"), "h", 1 << 14)
+    assert holds(bits, hashes).all() and len(bits) == 1 << 11
+    assert holds(bits, np.arange(10_000)).mean() < 0.05

@@ -100,7 +100,17 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends there, lost executors cost nothing."""
     path = new_folder(df.sparkSession, label)
     df.write.options(**{"compression": "zstd"} | options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def aside(df: DataFrame, *named: str, drop: tuple[str, ...] = ()) -> DataFrame:

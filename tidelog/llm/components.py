@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import staged
+from tidelog.llm.common import spent, staged
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -48,9 +48,12 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(edges.where("a is not null and b is not null").select(F.col("a").alias("u"), F.col("b").alias("v")), "edges")
     loops = now.where("u = v").select(F.col("u").alias("node")).distinct()
     now = now.where("u <> v")
-    last = None
+    last, before = None, None
     while True:
         now = staged(small_star(large_star(now)), "star")
+        if before is not None:
+            spent(before)
+        before = now
         # The order of rows is free, so the sum of their hashes tells whether an edge changed.
         found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if found == last:

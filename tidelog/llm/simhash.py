@@ -21,7 +21,7 @@ that joins a group, not one for each pair.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import arrow_schema, bounded_batches, ddl, map_rows, staged
+from tidelog.llm.bitmaps import bitmap, holds
+from tidelog.llm.common import arrow_schema, bounded_batches, ddl, map_rows, spent, staged
 from tidelog.llm.components import components
 
 SHINGLE = 4
@@ -46,6 +47,8 @@ SET_BLOCK = 1 << 18
 #: Sampled texts and shingles kept of them to order shingles by how frequent they are; results do not depend on it.
 ORDER_TEXTS = 5_000
 ORDER_SHINGLES = 50_000
+#: Hashes that one list of the search for repeated ones holds.
+PART_ENTRIES = 1 << 20
 
 _HASHES = 4096
 _WORD = 64
@@ -473,24 +476,100 @@ def blocks(block: int):
     return F.ceil(F.sum("n_") / block).cast("int").alias("blocks_")
 
 
-def shared_rare(nodes: DataFrame, block: int) -> DataFrame:
-    """Groups (group_, blocks_, set_, first_) of sets with a rare hash in common, for the hashes of several ``mark_``s."""
-    columns = {"group_": "long", "set_": "binary", "n_": "long", "mark_": "long"}
+def exploded(marked: DataFrame, keep: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """hash, set_ of the rare hashes that ``keep`` picks, each once a set."""
+    columns = {"hash": "long", "set_": "binary"}
     schema = arrow_schema(columns)
-    bounded_batches(nodes.sparkSession)
+    bounded_batches(marked.sparkSession)
 
     def task(batches):
         for batch in batches:
             lists = [np.frombuffer(r, dtype=np.int64) for r in batch.column(0).to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(lists)), [len(r) for r in lists]))
-            hashes = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists]))
-            yield pa.RecordBatch.from_arrays([hashes, *(c.take(row) for c in batch.columns[1:])], schema=schema)
+            row = np.repeat(np.arange(len(lists)), [len(r) for r in lists])
+            hashes = np.concatenate([np.zeros(0, dtype=np.int64), *lists])
+            kept = keep(hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[kept]), batch.column(1).take(pa.array(row[kept]))], schema=schema)
+
+    return marked.select("rare_", "set_").mapInArrow(task, ddl(columns)).distinct()
+
+
+def repeated_rare(marked: DataFrame, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """hash: the rare hashes that more than one set has, staged.
+
+    Hashes travel packed, with 8 bytes of a set that has them: a batch of rows
+    sends each part of the hashes one list, and a hash of many sets twice, with
+    the least and the greatest, so a frequent hash is no longer list than others.
+    """
+    total = marked.agg(F.sum(F.length("rare_"))).first()[0] or 0
+    parts = max(1, -(-total // (8 * part_entries)))
+    packed = {"part": "long", "pairs": "binary"}
+    bounded_batches(marked.sparkSession)
+
+    def ends(hashes, owners):
+        """Each hash with its least and, where that is another, its greatest owner."""
+        pairs = np.column_stack([hashes, owners])[np.lexsort((owners, hashes))]
+        pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])[: len(pairs)]]
+        step = pairs[1:, 0] != pairs[:-1, 0]
+        edge = np.concatenate([[True], step]), np.concatenate([step, [True]])
+        return pairs[(edge[0] | edge[1])[: len(pairs)]]
+
+    def spread(batches):
+        for batch in batches:
+            lists = [np.frombuffer(r, dtype=np.int64) for r in batch.column(0).to_pylist()]
+            owner = np.array([int.from_bytes(s[:8], "little", signed=True) for s in batch.column(1).to_pylist()], dtype=np.int64)
+            pairs = ends(np.concatenate([np.zeros(0, dtype=np.int64), *lists]), np.repeat(owner, [len(r) for r in lists]))
+            part = pairs[:, 0] % parts
+            order = np.argsort(part, kind="stable")
+            part, pairs = part[order], pairs[order]
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else [0]
+            made = [(int(part[a]), pairs[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+            arrays = [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema(packed))
+
+    def gather(batches):
+        now, held = None, []
+
+        def found():
+            pairs = np.frombuffer(b"".join(held), dtype=np.int64).reshape(-1, 2)
+            hashes = ends(pairs[:, 0], pairs[:, 1])[:, 0]
+            # Two entries are left of a hash only where two sets have it.
+            return pa.RecordBatch.from_arrays([pa.array(hashes[:-1][hashes[1:] == hashes[:-1]])], schema=arrow_schema({"hash": "long"}))
 
-    rows = nodes.select("rare_", "set_", "n_", "mark_").mapInArrow(task, ddl(columns))
-    narrow = rows.select("group_", "n_", "mark_")
-    lists = narrow.groupBy("group_").agg(F.min("mark_").alias("least_"), F.max("mark_").alias("most_"), blocks(block))
-    lists = staged(lists.where("least_ < most_").select("group_", "blocks_"), "lists")
-    return rows.join(lists, "group_").select("group_", "blocks_", "set_").join(nodes.select("set_", "first_"), "set_")
+        for batch in batches:
+            for part, pairs in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now:
+                    if held:
+                        yield found()
+                    now, held = part, []
+                held.append(pairs)
+        if held:
+            yield found()
+
+    rows = marked.select("rare_", "set_").mapInArrow(spread, ddl(packed)).repartition("part").sortWithinPartitions("part")
+    return staged(rows.mapInArrow(gather, "hash long"), "repeated")
+
+
+def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """Groups (group_, blocks_, set_, first_) of sets of several ``mark_``s that have a rare hash in common.
+
+    ``marked`` rows have ``set_`` and ``rare_``; ``named`` has a row a set. A
+    bitmap of the hashes that several sets have keeps the others from travelling;
+    hashes of the same sets are one group.
+    """
+    repeated = repeated_rare(marked, part_entries)
+    bits = marked.sparkSession.sparkContext.broadcast(bitmap(repeated, "hash"))
+    rows = exploded(marked, lambda hashes: holds(bits.value, hashes)).join(repeated, "hash", "left_semi")
+    rows = staged(rows.join(named.select("set_", "n_", "mark_"), "set_"), "rare")
+    groups = rows.groupBy("hash").agg(
+        F.min("mark_").alias("least_"), F.max("mark_").alias("most_"), blocks(block), F.count(F.lit(1)).alias("count_"),
+        F.sum(F.xxhash64("set_").cast("decimal(38,0)")).alias("sum_"), F.min("set_").alias("low_"),
+    )
+    groups = groups.where("least_ < most_").groupBy("count_", "sum_", "low_").agg(F.min("hash").alias("hash"), F.min("blocks_").alias("blocks_"))
+    found = rows.join(groups.select("hash", "blocks_"), "hash").join(named.select("set_", "first_"), "set_")
+    out = staged(found.select(F.col("hash").alias("group_"), "blocks_", "set_", "first_"), "members")
+    bits.unpersist()
+    spent(repeated, rows)
+    return out
 
 
 def keep_one(
@@ -524,25 +603,26 @@ def keep_one(
     # Equal sets are one node, which any of its rows can stand for.
     nodes = staged(
         marked.groupBy("set_").agg(
-            F.first("value_").alias("value"),
-            F.first("n_").alias("n_"),
-            F.first("rare_").alias("rare_"),
-            F.min(F.struct("key_id_", "key_hash_")).alias("first_"),
+            F.first("value_").alias("value"), F.first("n_").alias("n_"), F.min(F.struct("key_id_", "key_hash_")).alias("first_")
         ),
         "nodes",
     )
-    marked = marked.drop("value_", "n_", "rare_")
-    near = components(staged(near_links(nodes.select("value").distinct(), scheme, tree), "links"))
+    links = staged(near_links(nodes.select("value").distinct(), scheme, tree), "links")
+    near = components(links)
     named = nodes.join(near, nodes["value"] == near["node"], "left").withColumn("group_", F.coalesce("root", "value"))
     sizes = named.groupBy("group_").agg(F.count(F.lit(1)).alias("count_"), blocks(block)).where("count_ > 1 and blocks_ > 0")
     members = staged(named.join(sizes, "group_").select("group_", "blocks_", "set_", "first_"), "members")
-    groups = staged(components(staged(alike_links(narrow, members, shingle, share), "alike")), "groups")
+    edges = staged(alike_links(narrow, members, shingle, share), "alike")
+    groups = staged(components(edges), "groups")
+    spent(links, members, edges)
     # What fingerprints miss: sets of different groups so far that have a rare hash in common.
     named = nodes.join(groups, nodes["set_"] == groups["node"], "left")
-    others = staged(shared_rare(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), block), "members")
+    others = shared_rare(marked, staged(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), "named"), block)
     missed = staged(alike_links(narrow, others, shingle, share), "alike")
+    spent(others)
     if missed.limit(1).count():
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(missed))
+    marked = marked.drop("value_", "n_", "rare_")
     rows = marked.join(groups, marked["set_"] == groups["node"], "left").withColumn("root_", F.coalesce("root", "set_"))
     order = Window.partitionBy("root_").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
     first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
