@@ -3,11 +3,11 @@
 A task counts phrases of n words in a trie over word numbers: the root has a
 child for each first word, and a child is a hash container of the rest of the
 phrase until it holds many entries, when it bursts into a node of containers by
-the next word. When the trie is full its largest subtrees are spilled: each as a
-run of rows in phrase order, which go to the partition of their prefix. There
-Spark's sort merges the runs of all tasks, and neighbours of the same phrase are
-added up. A frequent word's subtree is dealt to several partitions by its second
-word, so that no partition grows with the most frequent word.
+the next word. When the trie is full its largest subtrees are spilled as sorted
+runs, which go to the partition of their prefix, the first word. There the runs
+of all tasks are merged, and only phrases that are frequent enough leave it. A
+frequent word's subtree is dealt to several partitions by its second word, so
+that no partition grows with the most frequent word.
 
 Lengths are counted one after the other, since a phrase is as frequent as asked
 only if all its parts are. What is frequent is told to the tasks of the next
@@ -19,6 +19,7 @@ phrases are picked by their true counts.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ SLICE_BITS = 1 << 19
 #: A first word of at least this share of a language's words is dealt to partitions by its second word.
 HOT_SHARE = 1 / 2_000
 HOT_PARTS = 64
+#: Bytes of text for which there is one prefix partition.
+PART_BYTES = 2 << 20
 
 _WORD_BITS = 21
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -94,14 +97,14 @@ class HatTrie:
         self.sizes: dict[int, int] = {}
 
     def add(self, phrases: np.ndarray) -> None:
-        """Counts an array of packed phrases."""
+        """Counts an array of packed phrases; single words are one container under the number 0."""
         phrases = np.sort(phrases)
-        shift = _WORD_BITS * (self.words - 1)
+        shift = _WORD_BITS * max(1, self.words - 1)
         firsts = phrases >> shift
         rest = phrases & ((1 << shift) - 1)
         cuts = [0, *(np.flatnonzero(firsts[1:] != firsts[:-1]) + 1).tolist(), len(firsts)] if len(firsts) else [0]
-        for a, b in zip(cuts, cuts[1:]):
-            first = int(firsts[a])
+        heads, rest = firsts[cuts[:-1]].tolist(), rest.tolist()
+        for first, a, b in zip(heads, cuts, cuts[1:]):
             child = self.children.get(first)
             if child is None:
                 child = self.children[first] = Counter()
@@ -110,24 +113,20 @@ class HatTrie:
             self.sizes[first] = self.insert(first, child, rest[a:b])
             self.entries += self.sizes[first]
 
-    def insert(self, first: int, child: Counter | dict, rest: np.ndarray) -> int:
+    def insert(self, first: int, child: Counter | dict, rest: list[int]) -> int:
+        low = (1 << _WORD_BITS) - 1
         if isinstance(child, Counter):
-            child.update(rest.tolist())
+            child.update(rest)
             if self.words > 2 and len(child) > self.burst:
                 self.children[first] = node = {}
-                low = (1 << _WORD_BITS) - 1
                 for key, n in child.items():
                     node.setdefault(key >> _WORD_BITS, Counter())[key & low] += n
-                return sum(map(len, node.values()))
             return len(child)
-        seconds = rest >> _WORD_BITS
-        thirds = rest & ((1 << _WORD_BITS) - 1)
-        cuts = [0, *(np.flatnonzero(seconds[1:] != seconds[:-1]) + 1).tolist(), len(seconds)]
         grown = self.sizes[first]
-        for a, b in zip(cuts, cuts[1:]):
-            container = child.setdefault(int(seconds[a]), Counter())
+        for second, keys in groupby(rest, lambda key: key >> _WORD_BITS):
+            container = child.setdefault(second, Counter())
             before = len(container)
-            container.update(thirds[a:b].tolist())
+            container.update([key & low for key in keys])
             grown += len(container) - before
         return grown
 
@@ -155,14 +154,18 @@ class Frequent:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-COUNTS = {"part": "long", "lang": "string", "phrase": "binary", "a": "long"}
+#: A run of one prefix partition: phrases in order, ended by line ends, and their counts.
+RUNS = {"part": "long", "lang": "string", "phrases": "binary", "counts": "binary"}
+COUNTS = {"lang": "string", "phrase": "string", "a": "long"}
 
 
 class Counting:
-    """One task's pass over texts, for phrases of ``words`` words."""
+    """One task's pass over texts, for phrases of ``words`` words; gives runs (part, lang, phrases, counts)."""
 
-    def __init__(self, words: int, frequent: np.ndarray | None, hot: set[tuple[str, bytes]], limit: int, burst: int, numbered: int):
-        self.words, self.hot, self.limit, self.burst, self.numbered = words, hot, limit, burst, numbered
+    def __init__(
+        self, words: int, parts: int, frequent: np.ndarray | None, hot: set[tuple[str, bytes]], limit: int, burst: int, numbered: int
+    ):
+        self.words, self.parts, self.hot, self.limit, self.burst, self.numbered = words, parts, hot, limit, burst, numbered
         self.frequent = Frequent(frequent) if frequent is not None else None
         self.afresh()
 
@@ -171,6 +174,8 @@ class Counting:
         self.numbers: dict[str, Numbers] = {}
         self.hashes, self.good = np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=bool)
         self.trie = HatTrie(self.words, self.burst)
+        self.held: list[np.ndarray] = []
+        self.n_held = 0
 
     def rows(self, texts: list[str | None], langs: list[str | None]):
         """Runs that the texts make the trie spill."""
@@ -185,9 +190,19 @@ class Counting:
                     yield from self.rest()
                 numbers = self.numbers.setdefault(lang, Numbers(lang, self.names))
                 some = words[at : at + step + self.words - 1]
-                self.trie.add(self.phrases(np.fromiter(map(numbers.__getitem__, some), dtype=np.int64, count=len(some)), step))
-                if self.trie.entries > self.limit:
-                    yield from map(self.run, self.trie.spill(self.limit // 2))
+                found = self.phrases(np.fromiter(map(numbers.__getitem__, some), dtype=np.int64, count=len(some)), step)
+                self.held.append(found)
+                self.n_held += len(found)
+                if self.n_held >= self.limit:
+                    self.count()
+                    if self.trie.entries > self.limit:
+                        yield from self.runs(self.limit // 2)
+
+    def count(self) -> None:
+        """Counts the phrases held back, so that a subtree is visited for many at once."""
+        if self.held:
+            self.trie.add(np.concatenate(self.held))
+        self.held, self.n_held = [], 0
 
     def phrases(self, ids: np.ndarray, most: int) -> np.ndarray:
         """Packed phrases that start at the first ``most`` words, if none of their parts is known to be rare."""
@@ -212,54 +227,95 @@ class Counting:
             packed = packed << _WORD_BITS | ids[starts + i]
         return packed
 
-    def run(self, subtree) -> pa.RecordBatch:
-        """A subtree's phrases in order, with the number of the partition that merges them."""
-        first, entries = subtree
-        lang, word = self.names[first]
-        low = (1 << _WORD_BITS) - 1
-        part = int(self.hashes[first] >> np.uint64(1))
-        made = []
-        for key, n in entries:
-            rest, second = [], 0
-            for i in range(self.words - 2, -1, -1):
-                number = key >> _WORD_BITS * i & low
-                second = second or number
-                rest.append(self.names[number][1])
-            bucket = int(self.hashes[second]) % HOT_PARTS if (lang, word) in self.hot else 0
-            made.append((part ^ bucket, b" ".join([word, *rest]), n))
-        made.sort()
-        arrays = [
-            pa.array([m[0] for m in made], pa.int64()),
-            pa.array([lang] * len(made), pa.string()),
-            pa.array([m[1] for m in made], pa.binary()),
-            pa.array([m[2] for m in made], pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema(COUNTS))
+    def runs(self, keep: int):
+        """Whole subtrees, the largest first, until ``keep`` entries are left, as a run for each partition and language."""
+        low, names, hashes = (1 << _WORD_BITS) - 1, self.names, self.hashes
+        made: dict[tuple[int, str], list] = {}
+        for first, entries in self.trie.spill(keep):
+            lang, word = names[first]
+            if self.words == 1:
+                for key, n in entries:
+                    made.setdefault((int(hashes[key]) % self.parts, names[key][0]), []).append((names[key][1], n))
+                continue
+            part, head = int(hashes[first]) % self.parts, word + b" "
+            if (lang, word) in self.hot:
+                # A frequent word's phrases go to partitions by their second word.
+                for key, n in entries:
+                    second = key >> _WORD_BITS * (self.words - 2)
+                    own = made.setdefault(((part + int(hashes[second]) % HOT_PARTS) % self.parts, lang), [])
+                    own.append((head + b" ".join(names[key >> _WORD_BITS * i & low][1] for i in range(self.words - 2, -1, -1)), n))
+            elif self.words == 2:
+                made.setdefault((part, lang), []).extend([(head + names[key][1], n) for key, n in entries])
+            else:
+                own = made.setdefault((part, lang), [])
+                own += [(head + names[key >> _WORD_BITS][1] + b" " + names[key & low][1], n) for key, n in entries]
+        for (part, lang), own in made.items():
+            own.sort()
+            yield part, lang, b"\n".join([p for p, _ in own]), np.array([n for _, n in own], dtype=np.int64).tobytes()
 
     def rest(self):
-        yield from map(self.run, self.trie.spill(0))
+        self.count()
+        yield from self.runs(0)
         self.afresh()
 
 
-def in_batches(runs, rows: int = 50_000):
-    """Small runs put together; the order of rows is kept."""
+def in_batches(runs, limit: int = 4 << 20):
+    """Runs put together to batches of bounded bytes."""
     held, n = [], 0
+
+    def batch():
+        arrays = [pa.array([r[i] for r in held], f.type) for i, f in enumerate(arrow_schema(RUNS))]
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema(RUNS))
+
     for run in runs:
         held.append(run)
-        n += run.num_rows
-        if n >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        n += len(run[2]) + len(run[3])
+        if n >= limit:
+            yield batch()
             held, n = [], 0
-    if n:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    yield batch()
+
+
+def merged(runs: DataFrame, least: int) -> DataFrame:
+    """lang, phrase, a of the phrases of at least ``least`` occurrences; a null phrase has all of a language and partition.
+
+    A partition's runs follow each other, and a phrase is in one partition only;
+    a partition is held at a time, its phrases bounded by the number of partitions.
+    """
+    schema = arrow_schema(COUNTS)
+
+    def task(batches):
+        now, found = None, {}
+
+        def done():
+            rows = []
+            for lang, counts in found.items():
+                rows.append((lang, None, sum(counts.values())))
+                rows += [(lang, p.decode("utf-8", "surrogatepass"), n) for p, n in counts.items() if n >= least]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
+        for batch in batches:
+            for part, lang, phrases, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now:
+                    yield done()
+                    now, found = part, {}
+                own = found.setdefault(lang, {})
+                get = own.get
+                for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(counts, dtype=np.int64).tolist()):
+                    own[phrase] = get(phrase, 0) + n
+        yield done()
+
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(task, ddl(COUNTS))
 
-def counted(docs: DataFrame, words: int, frequent: Broadcast | None, hot: Broadcast | None, entries: int, burst: int, numbered: int) -> DataFrame:
-    """lang, phrase, a: how often each phrase of ``words`` words occurs; with ``frequent`` maybe not those with rare parts."""
+
+def counted(
+    docs: DataFrame, words: int, parts: int, frequent: Broadcast | None, hot: Broadcast | None, least: int, sizes: tuple[int, int, int]
+) -> DataFrame:
+    """``merged`` counts of phrases of ``words`` words; with ``frequent`` maybe not those with rare parts."""
     bounded_batches(docs.sparkSession)
 
     def task(batches):
-        own = Counting(words, frequent.value if frequent else None, hot.value if hot else set(), entries, burst, numbered)
+        own = Counting(words, parts, frequent.value if frequent else None, hot.value if hot else set(), *sizes)
 
         def runs():
             for batch in batches:
@@ -268,10 +324,8 @@ def counted(docs: DataFrame, words: int, frequent: Broadcast | None, hot: Broadc
 
         yield from in_batches(runs())
 
-    runs = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(task, ddl(COUNTS))
-    # Sorted runs meet in the partition of their prefix; equal phrases are neighbours there.
-    merged = runs.repartition("part").sortWithinPartitions("part", "lang", "phrase")
-    return merged.groupBy("part", "lang", "phrase").agg(F.sum("a").alias("a")).select("lang", F.col("phrase").cast("string").alias("phrase"), "a")
+    runs = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(task, ddl(RUNS))
+    return merged(runs, least)
 
 
 def bitmap(phrases: DataFrame, words: int, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -365,18 +419,20 @@ def collocations(
     """
     spark = bounded_batches(docs.sparkSession)
     sizes = (entries, burst, min(numbered, 1 << _WORD_BITS))
-    ones = staged(counted(docs, 1, None, None, *sizes), "words")
-    totals = staged(ones.groupBy("lang").agg(F.sum("a").alias("n")), "totals")
-    words = staged(ones.where(F.col("a") >= least), "frequent")
+    # Partitions follow from the bytes of the texts, of which a word takes six or so.
+    parts = max(16, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
+    ones = staged(counted(docs, 1, parts, None, None, least, sizes), "words")
+    totals = staged(ones.where("phrase is null").groupBy("lang").agg(F.sum("a").alias("n")).where("n > 0"), "totals")
+    words = ones.where("phrase is not null")
     # At most 1 / HOT_SHARE words of a language.
     often = words.join(totals, "lang").where(F.col("a") >= F.col("n") * HOT_SHARE).select("lang", "phrase").toArrow()
     hot = spark.sparkContext.broadcast({(lang, p.encode()) for lang, p in zip(*(c.to_pylist() for c in often.columns))})
     known = bitmap(words, 1, bits)
     told = spark.sparkContext.broadcast(known)
-    twos = staged(counted(docs, 2, told, hot, *sizes).where(F.col("a") >= least), "pairs")
+    twos = staged(counted(docs, 2, parts, told, hot, least, sizes).where("phrase is not null"), "pairs")
     told.unpersist()
     told = spark.sparkContext.broadcast(known | bitmap(twos, 2, bits))
-    threes = staged(counted(docs, 3, told, hot, *sizes).where(F.col("a") >= least), "triples")
+    threes = staged(counted(docs, 3, parts, told, hot, least, sizes).where("phrase is not null"), "triples")
     told.unpersist()
     inner = F.explode(F.array(part("phrase", 1, 2), part("phrase", 2, 3)))
     covers = threes.select("lang", inner.alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
