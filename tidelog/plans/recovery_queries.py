@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,19 +11,21 @@ from tidelog.model import CDC_OPERATION, CHANGE_LOG_SCHEMA, ROW_OPS, SNAPSHOT
 from tidelog.operators import positions as pos
 from tidelog.operators import state
 from tidelog.operators.continuity import file_number, log_gaps
-from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
+from tidelog.operators.images import after_images, explode_row_images, named_columns, route_event_kind, row_events
 from tidelog.operators.number_sets import subtract_spans
 from tidelog.operators.transactions import gtid_transaction
 from tidelog.plans.backfill import follow_backfill, restartable_backfill
+from tidelog.plans.oracle import INSERT_ID as INSERT_ID_SQL
 from tidelog.plans.oracle import LOG, ORDER_ROWS, ROW_COUNT, SNAPSHOT_ORDERS, START, TX, events, images, with_
 from tidelog.plans.registry import query
 from tidelog.plans.scan_queries import START_POSITION, snapshot_at
+from tidelog.plans.sink_queries import GTID_TX
 from tidelog.plans.sync import sync_once
 from tidelog.session import new_path
 from tidelog.sinks import targets
 from tidelog.sources import derived as d
 from tidelog.sources.change_log import stream_change_log
-from tidelog.streaming import jobs, sinks
+from tidelog.streaming import jobs, retries, sinks, typed
 from tidelog.streaming.live import counting_sink, live_tables, read_figures
 
 # Orders that the source has changed and lost behind the log's back: every 1009th and every 1013th.
@@ -284,3 +286,82 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     each(lambda: jobs.run_once(jobs.change_row_stream(stream_change_log(spark, folder)), twice, checkpoint))
     return live_tables(read_figures(spark, figures), F.timestamp_seconds(F.lit(1_800_000_000)))
+
+
+# Seconds at which the rounds run: the first tries, then each retry when it is due.
+ROUND_TIMES = (0.0, 1.0, 3.0, 3.5)
+DONE_AFTER = "CAST(image[1] AS BIGINT) % 7"
+
+
+@query(
+    "retry_rounds",
+    with_(LOG, events(), images("ev"))
+    + f"""SELECT binlog_file, log_pos, image_idx, CAST(CASE WHEN need = 6 THEN 0 ELSE least(need, 2) END AS INTEGER) AS attempt,
+      CASE WHEN need = 6 THEN 'ignored' WHEN need <= 2 THEN 'written' ELSE 'quarantine' END AS outcome,
+      CAST(CASE WHEN need = 6 THEN 0 ELSE least(need, 2) END AS INTEGER) AS round FROM (
+        SELECT *, {DONE_AFTER} AS need FROM img WHERE source_table = 'orders')""",
+)
+def retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose write fails in passing some times: what becomes of each, when, and in which round."""
+    key = ["binlog_file", "log_pos", "image_idx"]
+    rows = explode_row_images(after_images(row_events(route_event_kind(d.landed_log(spark, sf_dir)))))
+    rows = rows.where(F.col("source_table") == "orders").select(*key, "image")
+    path, shape = new_path(spark, "rounds"), rows.schema
+    needed = F.col("image")[0].cast("bigint") % 7
+
+    def error(reason: str) -> Column:
+        return F.array(F.struct(F.lit(reason).alias("reason"), F.lit("said the target").alias("message")))
+
+    def attempt(given: DataFrame) -> DataFrame:
+        none = F.array().cast("array<struct<reason:string,message:string>>")
+        errors = F.when(needed == 6, error("duplicate")).when(needed > F.col("attempt"), error("backendError")).otherwise(none)
+        return sinks.row_outcomes(given, d.ORDERS, named_columns(d.ORDERS.columns, strict=False), F.col("attempt"), errors)
+
+    for number, now_s in enumerate(ROUND_TIMES):
+        # The second round runs twice, as after a crash.
+        for _ in range(2 if number == 1 else 1):
+            retries.run_round(spark, path, number, attempt, key, now_s, rows if number == 0 else None, shape)
+    kept = T.StructType([*shape.fields, T.StructField("attempt", T.IntegerType()), T.StructField("outcome", T.StringType())])
+    return retries.last_outcomes(retries.read_rounds(spark, path, kept), key)
+
+
+AUDIT = d.TableSpec(d.DATABASE, "audit", (d.ColumnSpec("order_no", "bigint", True), d.ColumnSpec("note", "string")), ("order_no",))
+# Orders with a customer key too narrow for some, so that there are misfits.
+NARROW_ORDERS = d.TableSpec(
+    d.DATABASE, "orders", tuple(c._replace(spark_type="tinyint") if c.name == "o_custkey" else c for c in d.ORDERS.columns), d.ORDERS.key
+)
+
+
+@query(
+    "typed_stream_targets",
+    with_(LOG, events(), GTID_TX, images("tx"))
+    + f"""SELECT source_table AS table_name, {INSERT_ID_SQL} AS _insert_id, CAST(image[1] AS BIGINT) AS key_1,
+      CASE WHEN source_table = 'order_lines' THEN CAST(image[2] AS BIGINT) END AS key_2,
+      CASE source_table WHEN 'orders' THEN CAST(image[4] AS DOUBLE) WHEN 'order_lines' THEN CAST(image[6] AS DOUBLE) END AS amount,
+      CASE WHEN source_table = 'audit' THEN image[2] WHEN source_table = 'orders' AND TRY_CAST(image[2] AS BIGINT) > 127
+        THEN 'value does not fit o_custkey' END AS note,
+      coalesce(source_table = 'orders' AND TRY_CAST(image[2] AS BIGINT) > 127, FALSE) AS aside FROM img""",
+)
+def typed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables of different columns out of one stream, and the rows that do not fit."""
+    folder, each = landing(spark, sf_dir)
+    path, checkpoint = new_path(spark, "typed"), new_path(spark, "checkpoint")
+    specs = [NARROW_ORDERS, d.ORDER_LINES, AUDIT]
+    sink = typed.typed_sink(path, "a", specs)
+    each(lambda: jobs.run_once(jobs.change_row_stream(stream_change_log(spark, folder)), sink, checkpoint))
+
+    def side(rows: DataFrame, name: Column, key_1: str, key_2: Column, amount: Column, note: Column, aside: bool) -> DataFrame:
+        return rows.select(
+            name.alias("table_name"), "_insert_id", F.expr(key_1).cast("bigint").alias("key_1"), key_2.cast("bigint").alias("key_2"),
+            amount.cast("double").alias("amount"), note.cast("string").alias("note"), F.lit(aside).alias("aside"),
+        )
+
+    orders, lines, audit = (typed.read_typed(spark, path, s) for s in specs)
+    none, named = F.lit(None), [F.lit(s.table) for s in specs]
+    bad = typed.read_quarantine(spark, path)
+    return (
+        side(orders, named[0], "o_orderkey", none, F.col("o_totalprice"), none, False)
+        .unionByName(side(lines, named[1], "l_orderkey", F.col("line_no"), F.col("l_extendedprice"), none, False))
+        .unionByName(side(audit, named[2], "order_no", none, none, F.col("note"), False))
+        .unionByName(side(bad, F.col("_cdc_table"), "image[0]", none, F.col("image")[3], F.array_join("_reasons", "; "), True))
+    )
