@@ -7,25 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.gtid import explode_gtid_sets
-from tidelog.model import CDC_OPERATION, CHANGE_LOG_SCHEMA, ROW_OPS, SNAPSHOT
+from tidelog.model import CDC_OPERATION, CHANGE_LOG_SCHEMA, CHANGE_ROW_SCHEMA, ROW_OPS, SNAPSHOT
 from tidelog.operators import positions as pos
 from tidelog.operators import state
 from tidelog.operators.continuity import file_number, log_gaps
 from tidelog.operators.images import after_images, explode_row_images, named_columns, route_event_kind, row_events
 from tidelog.operators.number_sets import subtract_spans
+from tidelog.operators.rows import generic_change_rows
 from tidelog.operators.transactions import gtid_transaction
 from tidelog.plans.backfill import follow_backfill, restartable_backfill
 from tidelog.plans.oracle import INSERT_ID as INSERT_ID_SQL
-from tidelog.plans.oracle import LOG, ORDER_ROWS, ROW_COUNT, SNAPSHOT_ORDERS, START, TX, events, images, with_
+from tidelog.plans.oracle import LOG, META, ORDER_ROWS, ROW_COUNT, SNAPSHOT_ORDERS, START, TX, events, images, with_
 from tidelog.plans.registry import query
 from tidelog.plans.scan_queries import START_POSITION, snapshot_at
-from tidelog.plans.sink_queries import GTID_TX
+from tidelog.plans.sink_queries import BOUND, DELAY, GTID_TX, IN_BOUND
 from tidelog.plans.sync import sync_once
 from tidelog.session import new_path
 from tidelog.sinks import targets
 from tidelog.sources import derived as d
 from tidelog.sources.change_log import stream_change_log
 from tidelog.streaming import jobs, retries, sinks, typed
+from tidelog.streaming.gate import force_flush_stream
 from tidelog.streaming.live import counting_sink, live_tables, read_figures
 
 # Orders that the source has changed and lost behind the log's back: every 1009th and every 1013th.
@@ -365,3 +367,40 @@ def typed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(side(audit, named[2], "order_no", none, none, F.col("note"), False))
         .unionByName(side(bad, F.col("_cdc_table"), "image[0]", none, F.col("image")[3], F.array_join("_reasons", "; "), True))
     )
+
+
+# One micro-batch a step. A batch's watermark is the lesser of both sides' newest events less the delay; a row that
+# is older on arrival is dropped, one that has waited for the bound is given up.
+FORCED_PARTS = f"""files AS (SELECT max(CAST(right(binlog_file, 12) AS BIGINT) % 1000000000) AS last FROM log),
+numbered AS (SELECT *, CAST(right(binlog_file, 12) AS BIGINT) % 1000000000 AS f FROM tx),
+stepped AS (SELECT *, CASE WHEN f <= last // 3 THEN 1 WHEN f <= last * 2 // 3 THEN 2 ELSE 3 END AS step FROM numbered, files),
+newest AS (SELECT step, max(event_ts_s) FILTER (op IN ('INSERT', 'UPDATE', 'DELETE')) AS r,
+  max(event_ts_s) FILTER (op = 'COMMIT') AS c FROM stepped GROUP BY step),
+marks AS (SELECT step + 1 AS step, least(max(r) OVER (ORDER BY step), max(c) OVER (ORDER BY step)) - 600 AS w FROM newest),
+dated AS (SELECT s.*, coalesce(m.w, 0) AS w, (SELECT max(w) FROM marks) AS w_end FROM stepped s LEFT JOIN marks m USING (step))"""
+
+
+@query(
+    "force_flush",
+    with_(LOG, events(), GTID_TX, FORCED_PARTS, images("dated"))
+    + f"""SELECT * EXCLUDE (in_bound) REPLACE (CASE WHEN origin = 'stream' THEN in_bound ELSE committed END AS committed) FROM (
+      SELECT {META}, array_to_string(image, '|') AS image, {INSERT_ID_SQL} AS _insert_id, committed,
+        coalesce({IN_BOUND}, FALSE) AS in_bound, CASE WHEN event_ts_s > w AND (coalesce({IN_BOUND}, FALSE)
+        OR event_ts_s <= w_end - 300) THEN 'stream' ELSE 'batch' END AS origin FROM img)""",
+)
+def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream releases or gives up, and what it drops or still holds, settled by the batch form; with origins."""
+    folder, each = landing(spark, sf_dir)
+    path, checkpoint = new_path(spark, "stream"), new_path(spark, "checkpoint")
+
+    def run() -> None:
+        found = gtid_transaction(route_event_kind(stream_change_log(spark, folder)))
+        rows = explode_row_images(after_images(force_flush_stream(found, DELAY, BOUND)))
+        jobs.run_once(generic_change_rows(rows, ["committed"]), sinks.append_sink(path, "a"), checkpoint)
+
+    each(run)
+    shape = T.StructType([*CHANGE_ROW_SCHEMA.fields, T.StructField("committed", T.BooleanType())])
+    out = sinks.read_batches(spark, path, shape).select(*shape.fieldNames())
+    rest = jobs.leftovers(d.landed_log(spark, sf_dir), out).select(*shape.fieldNames())
+    both = out.withColumn("origin", F.lit("stream")).unionByName(rest.withColumn("origin", F.lit("batch")))
+    return both.withColumn("image", F.array_join("image", "|"))

@@ -40,7 +40,7 @@ from tidelog.sources import derived as d
 from tidelog.sources.change_log import stream_change_log
 from tidelog.sources.tables import snapshot_scan
 from tidelog.streaming import jobs, sinks
-from tidelog.streaming.gate import force_flush_stream, stream_dedup
+from tidelog.streaming.gate import stream_dedup
 
 TXN_IMAGES = with_(LOG, events(), TX, images("tx"))
 GTID_TX = """tx AS (SELECT *, gtid_uuid || ':' || gtid_no AS txn_id, event_ts_s AS ts, bool_or(op = 'COMMIT') OVER (
@@ -230,21 +230,6 @@ def gated_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(sinks.read_batches(spark, path, CHANGE_ROW_SCHEMA))
 
 
-@query(
-    "force_flush",
-    GTID_IMAGES
-    + f"SELECT {META}, array_to_string(image, '|') AS image, {INSERT_ID_SQL} AS _insert_id, committed FROM img",
-)
-def flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events_ = gtid_transaction(route_event_kind(steps(spark, sf_dir)))
-    rows = generic_change_rows(
-        explode_row_images(after_images(force_flush_stream(events_, DELAY, BOUND))), ["committed"]
-    )
-    released = drained(spark, rows).drop("run", "batch_id").where("committed")
-    rest = jobs.leftovers(d.landed_log(spark, sf_dir), released)
-    return released.unionByName(rest).withColumn("image", F.array_join("image", "|"))
-
-
 @query("stream_dedup", GTID_IMAGES + ROWS)
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step of the log arrives a second time; the window is wider than a step."""
