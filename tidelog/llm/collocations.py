@@ -83,16 +83,28 @@ class Numbers(dict):
         return number
 
 
+def counted_into(container: dict[int, int], keys: list[int]) -> None:
+    get = container.get
+    if len(keys) < 32:
+        for key in keys:
+            container[key] = get(key, 0) + 1
+    else:
+        for key, n in Counter(keys).items():
+            container[key] = get(key, 0) + n
+
+
 class HatTrie:
     """Counts of phrases as numbers: the first word in the upper bits, the rest below.
 
-    ``children`` of the root and of burst containers are dictionaries by word
-    number; a container is a Counter by the packed rest of the phrase.
+    ``children`` of the root and of burst containers (``burst_into``) are
+    dictionaries by word number; a container is one by the packed rest of the
+    phrase, with counts.
     """
 
     def __init__(self, words: int, burst: int = BURST):
         self.words, self.burst = words, burst
-        self.children: dict[int, Counter | dict[int, Counter]] = {}
+        self.children: dict[int, dict] = {}
+        self.burst_into: set[int] = set()
         self.entries = 0
         self.sizes: dict[int, int] = {}
 
@@ -104,29 +116,33 @@ class HatTrie:
         rest = phrases & ((1 << shift) - 1)
         cuts = [0, *(np.flatnonzero(firsts[1:] != firsts[:-1]) + 1).tolist(), len(firsts)] if len(firsts) else [0]
         heads, rest = firsts[cuts[:-1]].tolist(), rest.tolist()
+        children, sizes, grown = self.children, self.sizes, 0
         for first, a, b in zip(heads, cuts, cuts[1:]):
-            child = self.children.get(first)
+            child = children.get(first)
             if child is None:
-                child = self.children[first] = Counter()
-                self.sizes[first] = 0
-            self.entries -= self.sizes[first]
-            self.sizes[first] = self.insert(first, child, rest[a:b])
-            self.entries += self.sizes[first]
-
-    def insert(self, first: int, child: Counter | dict, rest: list[int]) -> int:
+                child = children[first] = {}
+                sizes[first] = 0
+            before = sizes[first]
+            sizes[first] = size = self.insert(first, child, rest[a:b])
+            grown += size - before
+        self.entries += grown
+
+    def insert(self, first: int, child: dict, rest: list[int]) -> int:
         low = (1 << _WORD_BITS) - 1
-        if isinstance(child, Counter):
-            child.update(rest)
+        if first not in self.burst_into:
+            counted_into(child, rest)
             if self.words > 2 and len(child) > self.burst:
-                self.children[first] = node = {}
+                node: dict[int, dict[int, int]] = {}
                 for key, n in child.items():
-                    node.setdefault(key >> _WORD_BITS, Counter())[key & low] += n
+                    node.setdefault(key >> _WORD_BITS, {})[key & low] = n
+                self.children[first] = node
+                self.burst_into.add(first)
             return len(child)
         grown = self.sizes[first]
         for second, keys in groupby(rest, lambda key: key >> _WORD_BITS):
-            container = child.setdefault(second, Counter())
+            container = child.setdefault(second, {})
             before = len(container)
-            container.update([key & low for key in keys])
+            counted_into(container, [key & low for key in keys])
             grown += len(container) - before
         return grown
 
@@ -137,9 +153,10 @@ class HatTrie:
                 return
             child = self.children.pop(first)
             self.entries -= self.sizes.pop(first)
-            if isinstance(child, Counter):
+            if first not in self.burst_into:
                 yield first, child.items()
             else:
+                self.burst_into.discard(first)
                 yield first, ((second << _WORD_BITS | third, n) for second, c in child.items() for third, n in c.items())
 
 
@@ -230,28 +247,36 @@ class Counting:
     def runs(self, keep: int):
         """Whole subtrees, the largest first, until ``keep`` entries are left, as a run for each partition and language."""
         low, names, hashes = (1 << _WORD_BITS) - 1, self.names, self.hashes
-        made: dict[tuple[int, str], list] = {}
-        for first, entries in self.trie.spill(keep):
+        made: dict[tuple[int, str], tuple[list[bytes], list[int]]] = {}
+        # In order of the first words, and each subtree in order of the rest.
+        for first, entries in sorted(self.trie.spill(keep), key=lambda subtree: names[subtree[0]][1]):
             lang, word = names[first]
             if self.words == 1:
-                for key, n in entries:
-                    made.setdefault((int(hashes[key]) % self.parts, names[key][0]), []).append((names[key][1], n))
+                entries = list(entries)
+                part = (hashes[[key for key, _ in entries]] % np.uint64(self.parts)).tolist()
+                held: dict[tuple[int, str], list] = {}
+                for (key, n), p in zip(entries, part):
+                    held.setdefault((p, names[key][0]), []).append((names[key][1], n))
+                made |= {key: tuple(zip(*sorted(own))) for key, own in held.items()}
                 continue
             part, head = int(hashes[first]) % self.parts, word + b" "
-            if (lang, word) in self.hot:
-                # A frequent word's phrases go to partitions by their second word.
-                for key, n in entries:
-                    second = key >> _WORD_BITS * (self.words - 2)
-                    own = made.setdefault(((part + int(hashes[second]) % HOT_PARTS) % self.parts, lang), [])
-                    own.append((head + b" ".join(names[key >> _WORD_BITS * i & low][1] for i in range(self.words - 2, -1, -1)), n))
-            elif self.words == 2:
-                made.setdefault((part, lang), []).extend([(head + names[key][1], n) for key, n in entries])
+            if self.words == 2:
+                rest = [(names[key][1], n, key) for key, n in entries]
             else:
-                own = made.setdefault((part, lang), [])
-                own += [(head + names[key >> _WORD_BITS][1] + b" " + names[key & low][1], n) for key, n in entries]
-        for (part, lang), own in made.items():
-            own.sort()
-            yield part, lang, b"\n".join([p for p, _ in own]), np.array([n for _, n in own], dtype=np.int64).tobytes()
+                rest = [(names[key >> _WORD_BITS][1] + b" " + names[key & low][1], n, key >> _WORD_BITS) for key, n in entries]
+            rest.sort()
+            if (lang, word) not in self.hot:
+                phrases, counts = made.setdefault((part, lang), ([], []))
+                phrases += [head + r for r, _, _ in rest]
+                counts += [n for _, n, _ in rest]
+                continue
+            # A frequent word's phrases go to partitions by their second word.
+            for r, n, second in rest:
+                phrases, counts = made.setdefault(((part + int(hashes[second]) % HOT_PARTS) % self.parts, lang), ([], []))
+                phrases.append(head + r)
+                counts.append(n)
+        for (part, lang), (phrases, counts) in made.items():
+            yield part, lang, b"\n".join(phrases), np.array(counts, dtype=np.int64).tobytes()
 
     def rest(self):
         self.count()
