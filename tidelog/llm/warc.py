@@ -2,8 +2,9 @@
 
 Pages are told apart by the digest of their payload. Of equal payloads one page
 is written as a response; the others are revisit records, which name the
-response and repeat no payload. Digests are shuffled, not payloads: the page
-that is kept of each digest is an aggregate over headers. Archives are written
+response and repeat no payload. Headers are shuffled to find the page that is
+kept of each digest; of payloads only those that are kept of repeated digests
+are, and the others go straight to the writer. Archives are written
 by Spark's text sink, whose line separator is the end of a record, and read
 back record by record by their stated lengths.
 """
@@ -15,17 +16,21 @@ import datetime
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import arrow_schema, bounded_batches, ddl, map_rows, text_of
+from tidelog.llm.bitmaps import bitmap, holds
+from tidelog.llm.common import arrow_schema, bounded_batches, ddl, map_rows, staged, text_of
 
 #: Payloads of fewer bytes are never replaced by a revisit record.
 MIN_BYTES = 0
 RECORDS_PER_FILE = 5000
+#: Stands for the id of a row without one where ids are hashed.
+NO_ID = -1
 
 # Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
@@ -106,6 +111,66 @@ def record(page_id, url, html, size, sha, kind, refers_to, date) -> str:
     return "\r\n".join(lines) + END + block
 
 
+def with_keys(pages: DataFrame) -> DataFrame:
+    """page_id, url and html of ``pages``, with the payload's length, SHA-1 (hex) and a 64-bit hash, all made in the JVM."""
+    html = F.col("html")
+    plain = pages.select("page_id", "url", text_of("html").alias("html"))
+    return plain.withColumns(
+        {"payload_bytes": F.octet_length(html).cast("long"), "sha_": F.sha1(html.cast("binary")), "key_": F.xxhash64(html)}
+    )
+
+
+def named_digest(rows: DataFrame) -> DataFrame:
+    """payload_digest in place of ``sha_``."""
+
+    def start():
+        return lambda shas: {"payload_digest": [base64.b32encode(bytes.fromhex(s)).decode() for s in shas]}
+
+    return map_rows(rows, ["sha_"], start, {"payload_digest": "string"}, drop=("sha_",))
+
+
+def place() -> Column:
+    """A number for a row's digest and id together."""
+    return F.col("key_").bitwiseXOR(F.coalesce(F.col("page_id"), F.lit(NO_ID)))
+
+
+def responses(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``with_keys`` that are responses, with their html; no other html is shuffled.
+
+    A row whose digest nobody revisits is a response, as a bitmap of the
+    revisited digests says, which misses none. Of the others only those go on
+    whose digest and id a second bitmap has, which holds all responses among
+    them; an exact join with their headers settles what the bitmaps take for
+    others.
+    """
+    spark = rows.sparkSession
+    revisited = spark.sparkContext.broadcast(bitmap(decided.where("record_type = 'revisit'"), "key_"))
+
+    def picked(df: DataFrame, keep: Callable[..., np.ndarray], columns: list[str]) -> DataFrame:
+        """Rows of ``df`` for which ``keep`` of some of its columns holds; batches are filtered as they are."""
+        places = [df.columns.index(c) for c in columns]
+
+        def task(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(keep(*(np.asarray(batch.column(i)) for i in places))))
+
+        return df.mapInArrow(task, df.schema)
+
+    headers = decided.where("record_type = 'response'").select("page_id", "key_", "payload_digest")
+    doubtful = picked(headers, lambda keys: holds(revisited.value, keys), ["key_"]).distinct()
+    doubtful = staged(doubtful.withColumn("place_", place()), "doubtful")
+    firsts = spark.sparkContext.broadcast(bitmap(doubtful, "place_"))
+    placed = rows.withColumn("place_", place())
+    sure = picked(placed, lambda keys: ~holds(revisited.value, keys), ["key_"])
+    maybe = picked(placed, lambda keys, at: holds(revisited.value, keys) & holds(firsts.value, at), ["key_", "place_"])
+    maybe, asked = named_digest(maybe), doubtful.select(*(F.col(c).alias(f"asked_{c}") for c in ("page_id", "key_", "payload_digest")))
+    same = (
+        maybe["page_id"].eqNullSafe(asked["asked_page_id"]) & (maybe["key_"] == asked["asked_key_"])
+        & (maybe["payload_digest"] == asked["asked_payload_digest"])
+    )
+    return named_digest(sure).unionByName(maybe.join(asked, same, "left_semi")).drop("key_", "place_")
+
+
 def write_archives(
     pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE
 ) -> None:
@@ -113,16 +178,20 @@ def write_archives(
 
     Null html is an empty payload; a null url gives a record that is its own
     target, white space and control characters in one are escaped. An empty
-    table leaves no records.
+    table leaves no records. Revisits are written from the headers alone.
     """
     date = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    decided = resolve_revisits(with_digest(pages.select("page_id", "url", "html")), min_bytes)
+    bounded_batches(pages.sparkSession)
+    rows = with_keys(pages)
+    decided = staged(resolve_revisits(named_digest(rows.drop("html")), min_bytes), "headers")
+    first = responses(rows, decided).withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long")})
+    again = decided.where("record_type = 'revisit'").withColumn("html", F.lit(None).cast("string"))
     inputs = ["page_id", "url", "html", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
     def start():
         return lambda *columns: {"value": [record(*row, date) for row in zip(*columns)]}
 
-    records = map_rows(decided, inputs, start, {"value": "string"}, drop=tuple(inputs))
+    records = map_rows(first.select(*inputs).unionByName(again.select(*inputs)), inputs, start, {"value": "string"}, drop=tuple(inputs))
     options = {"lineSep": END, "compression": "gzip", "maxRecordsPerFile": str(records_per_file)}
     records.write.options(**options).text(path)
 
