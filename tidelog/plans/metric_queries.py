@@ -245,7 +245,7 @@ def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))"""
     + " UNION ALL ".join(
         f"""SELECT CAST({w} AS DOUBLE) AS weight, user_id, event_id, list_reduce(l,
-      lambda a, x: CASE WHEN a = 0 THEN x ELSE {w} * x + (1 - {w}) * a END) AS latency_ema FROM s"""
+      lambda a, x: CASE WHEN a = 0 THEN x ELSE CAST({w} AS DOUBLE) * x + (1 - CAST({w} AS DOUBLE)) * a END) AS latency_ema FROM s"""
         for w in ("0.001", "0.1", "0.9")
     ),
 )
