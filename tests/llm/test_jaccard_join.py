@@ -58,7 +58,7 @@ def test_components_are_those_of_all_pairs(spark, corpus):
 
 
 def test_groups_larger_than_a_block_lose_no_link(spark, corpus):
-    got = found(alike_documents(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4), block=60))
+    got = found(alike_documents(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4), block=60, whole=50))
     assert got == plain_components(corpus)
 
 

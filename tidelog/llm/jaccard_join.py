@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import arrow_schema, aside, beside, bounded_batches, ddl, map_rows, staged, worker_store
+from tidelog.llm.common import arrow_schema, aside, beside, bounded_batches, ddl, map_rows, spent, staged, worker_store
 from tidelog.llm.components import components
 
 SHINGLE = 3
@@ -44,6 +44,8 @@ WEAK_COST = 100_000
 #: Sets that are compared with one centre in one task, and shingles of a key's sets verified at a time.
 CENTRE_SETS = 256
 VERIFY_BLOCK = 1 << 20
+#: Shingles up to which keys that hang together are verified as one group.
+WHOLE_GROUP = 1 << 18
 #: Words whose hashes a worker remembers.
 WORDS_KEPT = 400_000
 
@@ -357,11 +359,13 @@ def group_links(members: DataFrame, texts: DataFrame, share: tuple[int, int], sh
     return rows.mapInArrow(task, ddl(LINK)).distinct()
 
 
-def mixed_keys(shared: DataFrame, nodes: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    """key, blocks, node, root of keys whose sets, their least apart, are of several components yet.
+def mixed_keys(shared: DataFrame, nodes: DataFrame, groups: DataFrame, block: int, whole: int = WHOLE_GROUP) -> DataFrame:
+    """key, blocks, node, root of sets to be compared with each other: those of keys that are of several components yet.
 
-    Keys of the same sets are one. Every set but the least has been compared
-    with the least, so what is left to compare is among the others.
+    Every set has been compared with the least of its keys, so what is left is
+    among the others. Keys that hang together by their sets are one group, in
+    which each set is once, as long as that has ``whole`` shingles at most;
+    beyond it every key is a group of its own, and keys of the same sets are one.
     """
     rows = shared.where("node > least").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = rows.join(nodes.select("node", "n_"), "node").select("key", "node", "root", "n_")
@@ -370,10 +374,21 @@ def mixed_keys(shared: DataFrame, nodes: DataFrame, groups: DataFrame, block: in
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.min("node").alias("first"),
     )
     alike = keys.where("low < high").groupBy("n", "sum", "first").agg(F.min("key").alias("key"), F.min("blocks").alias("blocks"))
-    return rows.join(alike.select("key", "blocks"), "key").select("key", "blocks", "node", "root")
+    mixed = staged(rows.join(alike.select("key", "blocks", "first"), "key"), "mixed")
+    together = components(staged(mixed.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "mixed-links"))
+    together = staged(together.withColumnRenamed("root", "group"), "mixed-groups")
+    sets = mixed.select("node", "root", "n_").distinct().join(together, "node")
+    small = sets.groupBy("group").agg(F.sum("n_").alias("sum_n")).where(F.col("sum_n") <= whole).select("group")
+    at_once = sets.join(small, "group").select(
+        F.xxhash64(F.lit("group"), "group").alias("key"), F.lit(1).alias("blocks"), "node", "root"
+    )
+    large = mixed.join(together.join(small, "group", "left_anti").select("node"), "node", "left_semi")
+    return at_once.unionByName(large.select("key", "blocks", "node", "root"))
 
 
-def alike_documents(docs: DataFrame, share: tuple[int, int] = SHARE, shingle: int = SHINGLE, block: int = VERIFY_BLOCK) -> DataFrame:
+def alike_documents(
+    docs: DataFrame, share: tuple[int, int] = SHARE, shingle: int = SHINGLE, block: int = VERIFY_BLOCK, whole: int = WHOLE_GROUP
+) -> DataFrame:
     """``docs`` less the text, with n_shingles and component_id.
 
     Two documents are linked when the Jaccard similarity of their sets of
@@ -400,7 +415,9 @@ def alike_documents(docs: DataFrame, share: tuple[int, int] = SHARE, shingle: in
     texts = candidates(docs, nodes, shared.select("node").distinct())
     links = staged(centre_links(tied, texts, share, shingle), "links")
     first = staged(components(links), "components")
-    more = staged(group_links(staged(mixed_keys(shared, nodes, first, block), "mixed"), texts, share, shingle), "links")
+    spent(tied)
+    more = staged(group_links(staged(mixed_keys(shared, nodes, first, block, whole), "members"), texts, share, shingle), "links")
+    spent(shared, texts)
     found = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)) if more.limit(1).count() else first
     named = nodes.select("set_", "node", "first_id_").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id_").alias("component_id"))
