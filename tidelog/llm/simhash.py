@@ -553,8 +553,9 @@ def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: i
     """Groups (group_, blocks_, set_, first_) of sets of several ``mark_``s that have a rare hash in common.
 
     ``marked`` rows have ``set_`` and ``rare_``; ``named`` has a row a set. A
-    bitmap of the hashes that several sets have keeps the others from travelling;
-    hashes of the same sets are one group.
+    bitmap of the hashes that several sets have keeps the others from travelling.
+    Groups that share a set are one as long as that has a block of shingles at
+    most; beyond it every hash has a group, and hashes of the same sets are one.
     """
     repeated = repeated_rare(marked, part_entries)
     bits = marked.sparkSession.sparkContext.broadcast(bitmap(repeated, "hash"))
@@ -565,8 +566,17 @@ def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: i
         F.sum(F.xxhash64("set_").cast("decimal(38,0)")).alias("sum_"), F.min("set_").alias("low_"),
     )
     groups = groups.where("least_ < most_").groupBy("count_", "sum_", "low_").agg(F.min("hash").alias("hash"), F.min("blocks_").alias("blocks_"))
-    found = rows.join(groups.select("hash", "blocks_"), "hash").join(named.select("set_", "first_"), "set_")
-    out = staged(found.select(F.col("hash").alias("group_"), "blocks_", "set_", "first_"), "members")
+    mixed = staged(rows.join(groups.select("hash", "blocks_", "low_"), "hash"), "mixed")
+    # Hashes that hang together by their sets are one group, in which each set is once, unless that is too large.
+    ties = staged(mixed.select(F.col("set_").alias("a"), F.col("low_").alias("b")).distinct(), "ties")
+    together = staged(components(ties).withColumnRenamed("node", "set_"), "together")
+    sets = mixed.select("set_", "n_").distinct().join(together, "set_")
+    small = sets.groupBy("root").agg(F.sum("n_").alias("sum_n")).where(F.col("sum_n") <= block).select("root")
+    at_once = sets.join(small, "root").select(F.xxhash64("root").alias("group_"), F.lit(1).alias("blocks_"), "set_")
+    large = mixed.join(together.join(small, "root", "left_anti").select("set_"), "set_", "left_semi")
+    found = at_once.unionByName(large.select(F.col("hash").alias("group_"), "blocks_", "set_"))
+    out = staged(found.join(named.select("set_", "first_"), "set_"), "members")
+    spent(mixed, ties, together)
     bits.unpersist()
     spent(repeated, rows)
     return out
