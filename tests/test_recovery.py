@@ -4,18 +4,22 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import EVENT_SCHEMA, event
+from tests.compare import connect, spark_side, sql_side
+from tests.conftest import EVENT_SCHEMA, SF_DIR, event
 from tidelog.model import CHANGE_LOG_SCHEMA, Position
 from tidelog.operators import state
 from tidelog.operators.continuity import LogGap, log_gaps, marks, require_unbroken
 from tidelog.operators.number_sets import SPANS, events_of_numbers, subtract_spans
 from tidelog.operators.positions import load_high_water
 from tidelog.operators.transactions import release_over_capacity
+from tidelog.plans import all_queries
 from tidelog.plans.backfill import Ledger, backfilled, plan_chunks, restartable_backfill
+from tidelog.plans.registry import ORACLES, QUERIES
 from tidelog.sources.change_log import stream_change_log
 from tidelog.streaming import jobs, sinks
 from tidelog.streaming.live import batch_figures, counting_sink, live_latency, live_snapshot, live_totals, read_figures
 
+assert all_queries
 ROWS = "_cdc_operation string, k bigint, v string, _insert_id string"
 
 
@@ -252,3 +256,16 @@ def test_live_figures_count_each_batch_once(spark, tmp_path):
     assert live_totals(read_figures(spark, str(tmp_path / "none")), now).first().rows_written == 0
     assert batch_figures(one.limit(0), 5.0).collect()[0].took_ms == 5.0
 
+
+
+@pytest.mark.parametrize("name", ["commit_gate", "force_flush"])
+def test_gate_queries_fail_without_the_streams_rows(spark, monkeypatch, name):
+    """The batch form settles what the stream leaves out, but it cannot stand in for the stream."""
+
+    def hardly_any(path, run):
+        return lambda batch, batch_id: batch.where("length(_insert_id) < 3").write.mode("overwrite").parquet(sinks.batch_folder(path, run, batch_id))
+
+    monkeypatch.setattr(sinks, "append_sink", hardly_any)
+    ours = spark_side(QUERIES[name](spark, SF_DIR))
+    theirs = sql_side(connect(SF_DIR), ORACLES[name])
+    assert ours[0] == theirs[0] and ours[1] == theirs[1] and ours[3] != theirs[3]

@@ -41,6 +41,7 @@ from tidelog.sources.change_log import stream_change_log
 from tidelog.sources.tables import snapshot_scan
 from tidelog.streaming import jobs, sinks
 from tidelog.streaming.gate import stream_dedup
+from tidelog.streaming.live import read_figures
 
 TXN_IMAGES = with_(LOG, events(), TX, images("tx"))
 GTID_TX = """tx AS (SELECT *, gtid_uuid || ':' || gtid_no AS txn_id, event_ts_s AS ts, bool_or(op = 'COMMIT') OVER (
@@ -242,16 +243,20 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(drained(spark, stream_dedup(rows, "_cdc_timestamp", "2 days", INSERT_ID)))
 
 
-@query("continuous_mode", GTID_IMAGES + ROWS)
+@query("continuous_mode", GTID_IMAGES + ROWS.replace(" FROM img", ", count(*) OVER () AS rows_counted FROM img"))
 def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "stream")
     rows = jobs.change_row_stream(steps(spark, sf_dir))
-    running = jobs.start_continuous(rows, sinks.idempotent_sink(path, "a", CDC_TIMESTAMP), new_path(spark, "checkpoint"), 0.1)
+    sink, figures = sinks.idempotent_sink(path, "a", CDC_TIMESTAMP), new_path(spark, "figures")
+    running = jobs.start_continuous(rows, sink, new_path(spark, "checkpoint"), 0.1, (figures, "a"))
     try:
         running.processAllAvailable()
     finally:
         running.stop()
-    return flat(sinks.read_batches(spark, path, rows.schema))
+    written = flat(sinks.read_batches(spark, path, rows.schema))
+    # The job's own count goes beside the rows, which are all of the run.
+    counted = read_figures(spark, figures).agg(F.sum("n_rows").alias("rows_counted"))
+    return written.crossJoin(F.broadcast(counted))  # one row
 
 
 @query(

@@ -18,6 +18,7 @@ from tidelog.operators.transactions import gtid_transaction
 from tidelog.session import stage
 from tidelog.sinks.targets import read_or_none
 from tidelog.streaming.gate import commit_gate_stream
+from tidelog.streaming.live import counting_sink
 from tidelog.streaming.sinks import BatchWriter, batch_folder
 
 
@@ -52,8 +53,16 @@ def leftovers(log: DataFrame, released: DataFrame) -> DataFrame:
     return changes.join(released.select(INSERT_ID).distinct(), INSERT_ID, "left_anti")
 
 
-def start_continuous(rows: DataFrame, write: BatchWriter, checkpoint: str, max_delay_s: float = 2.0) -> StreamingQuery:
-    """Run until stopped; a micro-batch starts at least every ``max_delay_s`` seconds."""
+def start_continuous(
+    rows: DataFrame, write: BatchWriter, checkpoint: str, max_delay_s: float = 2.0, figures: tuple[str, str] | None = None
+) -> StreamingQuery:
+    """Run until stopped; a micro-batch starts at least every ``max_delay_s`` seconds.
+
+    ``figures`` are a folder and the name of the run: the job then keeps its own
+    metrics there (``live.counting_sink``), for streams of change rows.
+    """
+    if figures is not None:
+        write = counting_sink(write, *figures)
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
