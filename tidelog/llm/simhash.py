@@ -554,8 +554,8 @@ def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: i
 
     ``marked`` rows have ``set_`` and ``rare_``; ``named`` has a row a set. A
     bitmap of the hashes that several sets have keeps the others from travelling.
-    Groups that share a set are one as long as that has a block of shingles at
-    most; beyond it every hash has a group, and hashes of the same sets are one.
+    Groups that share a set are one where that takes no more rows; else every
+    hash has a group, and hashes of the same sets are one.
     """
     repeated = repeated_rare(marked, part_entries)
     bits = marked.sparkSession.sparkContext.broadcast(bitmap(repeated, "hash"))
@@ -567,12 +567,16 @@ def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: i
     )
     groups = groups.where("least_ < most_").groupBy("count_", "sum_", "low_").agg(F.min("hash").alias("hash"), F.min("blocks_").alias("blocks_"))
     mixed = staged(rows.join(groups.select("hash", "blocks_", "low_"), "hash"), "mixed")
-    # Hashes that hang together by their sets are one group, in which each set is once, unless that is too large.
+    # Hashes that hang together by their sets are one group, in which each set is once for each block, where that
+    # takes no more rows than a group for each hash.
     ties = staged(mixed.select(F.col("set_").alias("a"), F.col("low_").alias("b")).distinct(), "ties")
     together = staged(components(ties).withColumnRenamed("node", "set_"), "together")
-    sets = mixed.select("set_", "n_").distinct().join(together, "set_")
-    small = sets.groupBy("root").agg(F.sum("n_").alias("sum_n")).where(F.col("sum_n") <= block).select("root")
-    at_once = sets.join(small, "root").select(F.xxhash64("root").alias("group_"), F.lit(1).alias("blocks_"), "set_")
+    sets = mixed.groupBy("set_", "n_").agg(F.count(F.lit(1)).alias("hashes_")).join(together, "set_")
+    sizes = sets.groupBy("root").agg(
+        F.ceil(F.sum("n_") / block).cast("int").alias("blocks_"), F.count(F.lit(1)).alias("sets_"), F.sum("hashes_").alias("rows_")
+    )
+    small = sizes.where(F.col("sets_") * F.col("blocks_") <= F.col("rows_")).select("root", "blocks_")
+    at_once = sets.join(small, "root").select(F.xxhash64("root").alias("group_"), "blocks_", "set_")
     large = mixed.join(together.join(small, "root", "left_anti").select("set_"), "set_", "left_semi")
     found = at_once.unionByName(large.select(F.col("hash").alias("group_"), "blocks_", "set_"))
     out = staged(found.join(named.select("set_", "first_"), "set_"), "members")
