@@ -43,7 +43,7 @@ LEAF = 64
 
 #: Texts are near duplicates when they share 4 of 5 of their distinct shingles; shingles of the sets in one block.
 SHARE = (4, 5)
-SET_BLOCK = 1 << 18
+SET_BLOCK = 1 << 20
 #: Sampled texts and shingles kept of them to order shingles by how frequent they are; results do not depend on it.
 ORDER_TEXTS = 5_000
 ORDER_SHINGLES = 50_000
