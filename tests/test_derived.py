@@ -33,3 +33,13 @@ def test_hot_order(spark, tmp_path):
     assert hot.select("txn_id").distinct().count() == 3
     assert hot.where("not committed").count() == 0
     log.unpersist()
+
+
+def test_lines_are_shuffled_once_by_ranges_that_do_not_grow(spark, monkeypatch):
+    """Numbered and grouped in one shuffle, with a task for so many rows, whatever the number of shuffle partitions."""
+    monkeypatch.setattr(d, "ROWS_PER_TASK", 500)
+    lines = d.table(spark, SF_DIR, "lineitem")
+    plan = d.line_events(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    assert d.line_events(lines).rdd.getNumPartitions() == -(-lines.count() // 500)
+    assert d.in_ranges(lines.limit(0), "l_orderkey").rdd.getNumPartitions() <= 1
