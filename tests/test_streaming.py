@@ -229,3 +229,14 @@ def test_position_gate_holds_open_transactions_over_batches(spark, tmp_path):
         (2, 6, "single_f:6"),
         (3, 10, "f:9"),
     ]
+
+
+def test_state_lies_on_disk_in_parts_by_cores(spark, tmp_path):
+    """A stream with state keeps it out of the heap; the session's own settings stay as they were."""
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.streaming.minBatchesToRetain")
+    rows = jobs.change_row_stream(stream_change_log(spark, d.landed_steps(spark, SF_DIR)), gate=("10 minutes", "5 minutes"))
+    jobs.run_once(rows, sinks.append_sink(str(tmp_path / "out"), "a"), str(tmp_path / "cp"), state=True)
+    kept = (tmp_path / "cp" / "offsets" / "0").read_text()
+    assert "RocksDBStateStoreProvider" in kept
+    assert f'"spark.sql.shuffle.partitions":"{jobs.STATE_PARTS_PER_CORE * spark.sparkContext.defaultParallelism}"' in kept
+    assert before == (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.streaming.minBatchesToRetain"))
