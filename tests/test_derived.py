@@ -1,6 +1,7 @@
 """The derived log, also where one order holds most line items."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR
 from tidelog.operators.images import after_images, explode_row_images, route_event_kind, row_events
@@ -43,3 +44,28 @@ def test_lines_are_shuffled_once_by_ranges_that_do_not_grow(spark, monkeypatch):
     assert plan.count("Exchange ") == 1
     assert d.line_events(lines).rdd.getNumPartitions() == -(-lines.count() // 500)
     assert d.in_ranges(lines.limit(0), "l_orderkey").rdd.getNumPartitions() <= 1
+
+
+def test_steps_and_their_files_do_not_grow_with_the_log(spark, monkeypatch, path):
+    """A larger log lands in more steps of the same number of files; a step alone gets files by its events."""
+    monkeypatch.setattr(d, "EVENTS_PER_FILE", 200)
+    monkeypatch.setattr(d, "MOST_FILES_PER_STEP", 5)
+    log = d.landed_log(spark, SF_DIR).withColumn("binlog_file", F.format_string("mysql-bin.%012d", F.col("gtid_no") % 50 + 1))
+    steps, files = d.step_shape(log)
+    bounds = d.step_bounds(log, steps)
+    assert steps == len(bounds) > d.STEPS and files == 5
+    for n, (first, last) in enumerate(bounds):
+        d.land_step(log, f"{path}/{n}", first, last, files)
+        d.land_step(log, f"{path}/alone{n}", first, last)
+        for folder in (n, f"alone{n}"):
+            sizes = spark.read.parquet(f"{path}/{folder}").groupBy(F.input_file_name()).count().collect()
+            assert len(sizes) >= files and max(r["count"] for r in sizes) < 2 * d.EVENTS_PER_FILE
+    landed = spark.read.schema(log.schema).parquet(*(f"{path}/{n}" for n in range(len(bounds))))
+    assert landed.count() == log.count() and landed.exceptAll(log).isEmpty()
+
+
+def test_a_step_reads_its_own_files_of_the_log(spark):
+    plan = d.step_events(d.landed_log(spark, SF_DIR), 2, 3)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(binlog_file,mysql-bin.000000000002)" in pushed
+    assert "LessThanOrEqual(binlog_file,mysql-bin.000000000003)" in pushed
