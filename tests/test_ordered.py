@@ -76,3 +76,15 @@ def test_other_columns_pass_through(spark):
     assert [(r.id, r.payload, r.st.x, r.n) for r in got.orderBy("id").collect()] == [
         (i, [i], i, i + 1) for i in range(5)
     ]
+
+
+def test_rows_are_shuffled_without_the_inputs_and_into_many_parts(spark):
+    """Whatever the session's number of parts is, tasks do not grow with the rows."""
+    df = spark.range(100).selectExpr("id % 3 AS g", "id", "id div 10 AS s")
+    values = [Running("total", "sum", F.col("id") * 7), Running("top", "max", F.col("id") * 9)]
+    out = running(df, ["g"], [["s"]], ["id"], values)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g" in plan and ", 1000), REPARTITION_BY_COL" in plan
+    body = plan.split("REPARTITION_BY_COL")[-1].split("HashAggregate")[0]
+    assert "* 7" not in body and "* 9" not in body
+    assert out.where("id = 33").first().total == 7 * sum(range(0, 34, 3))
