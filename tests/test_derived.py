@@ -69,3 +69,15 @@ def test_a_step_reads_its_own_files_of_the_log(spark):
     pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
     assert "GreaterThanOrEqual(binlog_file,mysql-bin.000000000002)" in pushed
     assert "LessThanOrEqual(binlog_file,mysql-bin.000000000003)" in pushed
+
+
+def test_a_step_alone_is_copied_without_a_shuffle(spark, monkeypatch, path):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def shuffled(*_):
+        raise AssertionError("the step was shuffled")
+
+    log = d.landed_log(spark, SF_DIR)
+    monkeypatch.setattr(DataFrame, "repartitionByRange", shuffled)
+    d.land_step(log, path, 1, 1)
+    assert spark.read.parquet(path).count() == d.step_events(log, 1, 1).count() > 0
