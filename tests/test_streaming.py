@@ -240,3 +240,30 @@ def test_state_lies_on_disk_in_parts_by_cores(spark, tmp_path):
     assert "RocksDBStateStoreProvider" in kept
     assert f'"spark.sql.shuffle.partitions":"{jobs.STATE_PARTS_PER_CORE * spark.sparkContext.defaultParallelism}"' in kept
     assert before == (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.streaming.minBatchesToRetain"))
+
+
+def test_resume_takes_the_log_in_bounded_batches(spark, monkeypatch):
+    """A larger log gives more micro-batches, not larger ones, and the same rows."""
+    from tidelog.plans import sink_queries
+
+    monkeypatch.setattr(d, "EVENTS_PER_FILE", 400)
+    monkeypatch.setattr(d, "MOST_FILES_PER_STEP", 4)
+    plain, sizes = sinks.idempotent_sink, []
+
+    def watched(*args):
+        write = plain(*args)
+
+        def counted(batch, batch_id):
+            sizes.append(batch.count())
+            write(batch, batch_id)
+
+        return counted
+
+    monkeypatch.setattr(sinks, "idempotent_sink", watched)
+    log = d.landed_log(spark, SF_DIR)
+    files = F.substring("binlog_file", 11, 12).cast("bigint")
+    log = log.withColumn("binlog_file", F.format_string("mysql-bin.%012d", files * 4 + F.expr("log_pos div 25000000")))
+    monkeypatch.setattr(d, "landed_log", lambda *_: log)
+    rows = sink_queries.resumed(spark, SF_DIR)
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 4
+    assert rows.count() == rows.select("_insert_id").distinct().count() == sum(sizes) / 2
