@@ -84,7 +84,7 @@ def test_rows_are_shuffled_without_the_inputs_and_into_many_parts(spark):
     values = [Running("total", "sum", F.col("id") * 7), Running("top", "max", F.col("id") * 9)]
     out = running(df, ["g"], [["s"]], ["id"], values)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(g" in plan and ", 1000), REPARTITION_BY_COL" in plan
+    assert "hashpartitioning(g" in plan and ", 400), REPARTITION_BY_COL" in plan
     body = plan.split("REPARTITION_BY_COL")[-1].split("HashAggregate")[0]
     assert "* 7" not in body and "* 9" not in body
     assert out.where("id = 33").first().total == 7 * sum(range(0, 34, 3))
