@@ -143,6 +143,15 @@ def sequential(batches, capacity):
     return sorted(out), sorted(e[2] for e in held)
 
 
+def test_compared_states_are_read_once(spark, tmp_path):
+    paths = [str(tmp_path / side) for side in "ab"]
+    for path, factor in zip(paths, (1, 2), strict=True):
+        spark.range(50).selectExpr("id AS k", f"IF(id = 7, {factor}, 0) AS v").write.parquet(path)
+    out = state.differing_rows(*(spark.read.parquet(p) for p in paths), "k", ["v"], leaf_keys=8, fanout=4)
+    assert not [f for f in out.inputFiles() if any(p in f for p in paths)]
+    assert [tuple(r) for r in out.collect()] == [(0, 7, 7, "changed")]
+
+
 def test_capacity_gate_is_the_sequential_one(spark, tmp_path):
     rng, at, batches = random.Random(4), 0, []
     for _ in range(5):

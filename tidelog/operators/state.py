@@ -54,11 +54,22 @@ def leaf_of(key: str, leaf_keys: int = LEAF_KEYS) -> Column:
     return F.floor(F.col(f"`{key}`") / F.lit(leaf_keys)).cast("bigint")
 
 
+def key_checksums(state: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Key and checksum of each row: all that a comparison reads of a state."""
+    return state.select(F.col(f"`{key}`").alias("key"), row_checksum([key, *columns]).cast("decimal(38,0)").alias("checksum"))
+
+
+def _counted(sums: DataFrame, by: Column) -> DataFrame:
+    return sums.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum("checksum").alias("checksum"))
+
+
 def leaves(state: DataFrame, key: str, columns: Sequence[str], leaf_keys: int = LEAF_KEYS) -> DataFrame:
     """Row count and checksum of each key range; a null key has the range null."""
-    return state.groupBy(leaf_of(key, leaf_keys).alias("node")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(row_checksum([key, *columns]).cast("decimal(38,0)")).alias("checksum")
-    )
+    return _leaves(key_checksums(state, key, columns), leaf_keys)
+
+
+def _leaves(sums: DataFrame, leaf_keys: int) -> DataFrame:
+    return _counted(sums, leaf_of("key", leaf_keys).alias("node"))
 
 
 def level_above(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -69,7 +80,11 @@ def level_above(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
 
 def hash_tree(state: DataFrame, key: str, columns: Sequence[str], leaf_keys: int = LEAF_KEYS, fanout: int = FANOUT, depth: int = 3) -> list[DataFrame]:
     """The levels of the tree from the leaves up; the leaves are staged, as all levels are made from them."""
-    levels = [stage(leaves(state, key, columns, leaf_keys), "leaves")]
+    return _tree(leaves(state, key, columns, leaf_keys), fanout, depth)
+
+
+def _tree(leaves_: DataFrame, fanout: int, depth: int) -> list[DataFrame]:
+    levels = [stage(leaves_, "leaves")]
     for _ in range(depth - 1):
         levels.append(level_above(levels[-1], fanout))
     return levels
@@ -107,18 +122,16 @@ def differing_rows(
     ``extra`` ones not in the source. A key held more than once by a side is
     compared as a bag: it is ``changed`` where counts or values differ.
     """
-    ranges = differing_ranges(
-        hash_tree(source, key, columns, leaf_keys, fanout, depth), hash_tree(target, key, columns, leaf_keys, fanout, depth), fanout
-    )
+    # A state may be costly to work out, and is looked at twice: it is worked out once, to two numbers a row.
+    a, b = (stage(key_checksums(side, key, columns), "checksums") for side in (source, target))
+    ranges = differing_ranges(*(_tree(_leaves(side, leaf_keys), fanout, depth) for side in (a, b)), fanout)
     wanted, _ = broadcast_if_small(ranges.select(F.col("node").alias("wanted")))
 
     def within(side: DataFrame) -> DataFrame:
-        inside = side.join(wanted, leaf_of(key, leaf_keys).eqNullSafe(F.col("wanted")), "left_semi")
-        return inside.groupBy(F.col(f"`{key}`").alias("key")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(row_checksum([key, *columns]).cast("decimal(38,0)")).alias("checksum")
-        )
+        inside = side.join(wanted, leaf_of("key", leaf_keys).eqNullSafe(F.col("wanted")), "left_semi")
+        return _counted(inside, F.col("key"))
 
-    a, b = within(source).alias("a"), within(target).alias("b")
+    a, b = within(a).alias("a"), within(b).alias("b")
     both = a.join(b, F.col("a.key").eqNullSafe(F.col("b.key")), "full_outer")
     verdict = (
         F.when(F.col("b.n").isNull(), F.lit(MISSING))
