@@ -172,6 +172,8 @@ def test_capacity_gate_is_the_sequential_one(spark, tmp_path):
     assert sorted((r.batch_id, r.log_pos, r.committed) for r in got.collect()) == want[0]
     assert sorted(r.log_pos for r in held.collect()) == want[1] and len(want[1]) < 20
     assert release_over_capacity(df.limit(0), 1).count() == 0
+    # What is delivered is not written by the gate as well.
+    assert not list((tmp_path / "gate").rglob("gate=released"))
 
 
 def test_batches_are_exact_whatever_the_trigger_cuts(spark, tmp_path):
