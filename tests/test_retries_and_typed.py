@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.model import CHANGE_ROW_SCHEMA, ColumnSpec, TableSpec
+from tidelog.operators.images import fitting
 from tidelog.streaming import retries, typed
 
 KEY = ["k"]
@@ -84,3 +85,27 @@ def test_a_repeated_batch_that_lost_a_table_leaves_nothing_of_it(spark, path):
     assert typed.read_typed(spark, path, A).count() == 0 and typed.read_quarantine(spark, path).count() == 0
     assert typed.read_typed(spark, path, B).count() == 1
     assert typed.read_typed(spark, path + "-none", A).columns[-1] == "_insert_id"
+
+
+def test_reasons_are_worked_out_for_misfits_only(spark, path, monkeypatch):
+    reasons = typed.misfits
+
+    def watched(specs):
+        return F.when(F.col("_insert_id") == "i1", F.raise_error(F.lit("i1 fits"))).otherwise(reasons(specs))
+
+    monkeypatch.setattr(typed, "misfits", watched)
+    rows = [change("a", ["1", "5"], "i1"), change("a", ["2", "128"], "i2"), change("a", ["3", "x"], "i3"), change("a", [None, "-129"], "i4")]
+    typed.typed_sink(path, "a", [A, B])(spark.createDataFrame(rows, CHANGE_ROW_SCHEMA), 0)
+    assert [r._insert_id for r in typed.read_typed(spark, path, A).collect()] == ["i1"]
+    bad = {r._insert_id: r._reasons for r in typed.read_quarantine(spark, path).collect()}
+    unfit = "value does not fit n"
+    assert bad == {"i2": [unfit], "i3": [unfit], "i4": [unfit, "no value for k"]}
+
+
+def test_narrow_numbers_are_those_of_try_cast(spark):
+    texts = ["127", "128", "-128", "-129", " 5 ", "+7", "1.5", "", "x", None, "32767", "32768", "2147483647", "2147483648", "9" * 19, "007"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in ("tinyint", "smallint", "int", "bigint", "decimal(18,2)"):
+        got = rows.select(fitting(F.col("v"), kind).alias("got"), F.col("v").try_cast(kind).alias("want"))
+        assert got.schema["got"].dataType == got.schema["want"].dataType
+        assert got.where(~F.col("got").eqNullSafe(F.col("want"))).count() == 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.model import CDC_DATABASE, CDC_TABLE, CHANGE_ROW_SCHEMA, INSERT_ID, METADATA_COLUMNS, TableSpec
-from tidelog.operators.images import cast_failures, named_columns
+from tidelog.operators.images import cast_failures, fitting, named_columns
 from tidelog.sinks.targets import delete_folders, existing, read_or_none
 from tidelog.streaming.sinks import BatchWriter, batch_folder
 
@@ -40,6 +40,19 @@ def misfits(specs: list[TableSpec]) -> Column:
     return reasons
 
 
+def fits(specs: list[TableSpec]) -> Column:
+    """Does a change row go into its table? The same as no ``misfits``, but compiled, as it works out no reasons."""
+    found = F.lit(False)
+    for spec in specs:
+        here, whole = (F.col(CDC_DATABASE) == spec.database) & (F.col(CDC_TABLE) == spec.table), F.lit(True)
+        for i, c in enumerate(spec.columns):
+            value = F.try_element_at(F.col("image"), F.lit(i + 1))
+            typed = fitting(value, c.spark_type).isNotNull()
+            whole = whole & (typed if c.required else value.isNull() | typed)
+        found = F.when(here, whole).otherwise(found)
+    return found
+
+
 def target_path(path: str, spec: TableSpec) -> str:
     return f"{path}/{spec.database}/{spec.table}"
 
@@ -53,8 +66,7 @@ def typed_sink(path: str, run: str, specs: list[TableSpec]) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, here = batch.sparkSession, batch_folder(f"{path}/staged", run, batch_id)
-        checked = batch.select(*CHANGE_ROW_SCHEMA.fieldNames()).withColumn(REASONS, misfits(specs))
-        placed = checked.withColumn(FITS, F.size(REASONS) == 0)
+        placed = batch.select(*CHANGE_ROW_SCHEMA.fieldNames()).withColumn(FITS, fits(specs))
         placed.write.mode("overwrite").partitionBy(FITS, CDC_DATABASE, CDC_TABLE).parquet(here)
         for spec in specs:
             folder = f"{here}/{FITS}=true/{CDC_DATABASE}={spec.database}/{CDC_TABLE}={spec.table}"
@@ -68,7 +80,9 @@ def typed_sink(path: str, run: str, specs: list[TableSpec]) -> BatchWriter:
         aside = batch_folder(f"{path}/quarantine", run, batch_id)
         if existing(spark, [bad]):
             shape = T.StructType([*CHANGE_ROW_SCHEMA.fields, T.StructField(REASONS, T.ArrayType(T.StringType()))])
-            spark.read.schema(shape).option("basePath", here).parquet(bad).select(*shape.fieldNames()).write.mode("overwrite").parquet(aside)
+            # Only these rows have their reasons worked out.
+            rows = spark.read.schema(CHANGE_ROW_SCHEMA).option("basePath", here).parquet(bad).withColumn(REASONS, misfits(specs))
+            rows.select(*shape.fieldNames()).write.mode("overwrite").parquet(aside)
         else:
             delete_folders(spark, [aside])
         delete_folders(spark, [here])
