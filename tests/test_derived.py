@@ -81,3 +81,13 @@ def test_a_step_alone_is_copied_without_a_shuffle(spark, monkeypatch, path):
     monkeypatch.setattr(DataFrame, "repartitionByRange", shuffled)
     d.land_step(log, path, 1, 1)
     assert spark.read.parquet(path).count() == d.step_events(log, 1, 1).count() > 0
+
+
+def test_file_names_have_twelve_digits_at_least(spark):
+    numbers = [(0, 0), (999, 0), (1000, 0), (123_456_789, 0), (5, 1), (1_000, 999), (999_000, 1_234), (7, 9_999)]
+    rows = spark.createDataFrame(numbers, "k bigint, series bigint")
+    name = d._file(F.col("k"), F.col("series"))
+    # A pattern is parsed for every event.
+    assert "format_string" not in str(name)
+    want = [f"mysql-bin.{series * d.FILES_PER_SERIES + k // d.ORDERS_PER_FILE + 1:012d}" for k, series in numbers]
+    assert [r[0] for r in rows.select(name).collect()] == want
