@@ -9,16 +9,20 @@ from tidelog.llm.simhash import (
     CLOSE,
     BKTree,
     Scheme,
+    alike,
     apart,
     as_words,
     fingerprint,
     forest,
     keep_one,
+    likely_forest,
+    likely_groups,
     near_duplicates,
     rare_first,
     repeated_rare,
     set_fingerprint,
     shingle_set,
+    sketch,
 )
 
 
@@ -242,3 +246,41 @@ def test_bitmap_misses_none(spark):
     bits = bitmap(spark.createDataFrame([(int(h),) for h in hashes], "h long"), "h", 1 << 14)
     assert holds(bits, hashes).all() and len(bits) == 1 << 11
     assert holds(bits, np.arange(10_000)).mean() < 0.05
+
+
+def test_sketches_leave_no_alike_sets_apart():
+    rng = np.random.default_rng(3)
+    share, sets = (4, 5), []
+    for n in [1, 2, 5, 60, 64, 65, 128, 129, 300, 1000, 1030]:
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for lost in (0, n // 20, n // 10, n // 9, n // 5, n // 2):
+            sets.append(np.unique(np.append(base[lost:], rng.integers(0, 1 << 63, lost, dtype=np.uint64))))
+            sets.append(np.unique(base[lost:]) if lost < n else np.unique(base))
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+    sizes, marks = np.array([len(s) for s in sets]), rng.integers(0, 40, len(sets))
+    for second in (None, rng.integers(0, 2, len(sets)).astype(bool)):
+        root = joined(len(sets), likely_forest(sizes, [sketch(s) for s in sets], marks, second, share))
+        for a in range(len(sets)):
+            for b in range(a):
+                meet = marks[a] != marks[b] and (second is None or second[a] != second[b])
+                if meet and alike(sizes[a], sizes[b], len(np.intersect1d(sets[a], sets[b])), share):
+                    assert root[a] == root[b]
+    # Unrelated sets are ruled out.
+    others = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in rng.integers(200, 2000, 60)]
+    sizes = np.array([len(s) for s in others])
+    assert likely_forest(sizes, [sketch(s) for s in others], np.arange(60), None, share) == []
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_only_sets_that_may_be_alike_send_their_texts(spark, blocks):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64)) for _ in range(30)]
+    # Two that differ in few hashes; one more of the same mark as an alike one.
+    sets += [sets[0][5:], sets[1][7:]]
+    marks = [*range(31), 1]
+    rows = [(b"g", blocks, bytes([i]), len(s), m, sketch(s), i) for i, (s, m) in enumerate(zip(sets, marks))]
+    members = spark.createDataFrame(rows, "group_ binary, blocks_ int, set_ binary, n_ long, mark_ long, sketch_ binary, first_ long")
+    found = likely_groups(members, members, 1 << 20, (4, 5)).collect()
+    assert sorted(bytes(r["set_"])[0] for r in found) == [0, 30]
+    assert len({bytes(r["group_"]) for r in found}) == 1

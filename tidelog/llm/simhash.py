@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bitmaps import bitmap, holds
@@ -157,6 +157,17 @@ def rare_first(own: np.ndarray, common: np.ndarray, counts: np.ndarray, share: t
     return own[np.lexsort((own, known))[:n]]
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A bit for each of a power of two places, as many as the set has hashes or more: whether an odd number falls there.
+
+    Of two sets no more bits differ than hashes, also where the halves of the
+    longer sketch are laid over each other.
+    """
+    places = 1 << max(6, (len(own) - 1).bit_length())
+    at = (own & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=places) & 1).astype(np.uint8)).tobytes()
+
+
 def with_fingerprint(docs: DataFrame, shingle: int, bits: int, name: str) -> DataFrame:
     """``docs`` with the fingerprint's bytes in place of the text."""
 
@@ -188,25 +199,26 @@ def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarr
 
 def with_sets(docs: DataFrame, shingle: int, bits: int, share: tuple[int, int]) -> DataFrame:
     """``docs`` with these in place of the text: value_, the fingerprint of the set of shingles; set_, its digest;
-    n_, its size; rare_, the hashes that sets alike to it have one of."""
+    n_, its size; sketch_, its ``sketch``; rare_, the hashes that sets alike to it have one of."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
 
     def start():
         common, counts = shared.value
 
         def step(texts):
-            made = {"value_": [], "set_": [], "n_": [], "rare_": []}
+            made = {"value_": [], "set_": [], "n_": [], "sketch_": [], "rare_": []}
             for text in texts:
                 own = shingle_set(text, shingle)
                 made["value_"].append(set_fingerprint(own, bits))
                 made["set_"].append(xxhash.xxh3_128_digest(own.tobytes()))
                 made["n_"].append(len(own))
+                made["sketch_"].append(sketch(own))
                 made["rare_"].append(rare_first(own, common, counts, share).tobytes())
             return made
 
         return step
 
-    columns = {"value_": "binary", "set_": "binary", "n_": "long", "rare_": "binary"}
+    columns = {"value_": "binary", "set_": "binary", "n_": "long", "sketch_": "binary", "rare_": "binary"}
     return map_rows(docs, ["text"], start, columns, drop=("text",))
 
 
@@ -410,6 +422,115 @@ def set_forest(left: list[np.ndarray], right: list[np.ndarray] | None, share: tu
     return edges
 
 
+def in_blocks(members: DataFrame, *columns: Column) -> DataFrame:
+    """group_, low, high, second, set_ and ``columns`` of ``members``, once for each pair of blocks of their group."""
+    own = F.pmod(F.xxhash64("set_"), F.col("blocks_")).cast("int")
+    placed = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)))
+    return placed.select(
+        "group_",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).alias("second"),
+        "set_",
+        *columns,
+    )
+
+
+def likely_forest(
+    sizes: np.ndarray, sketches: list[bytes], marks: np.ndarray, second: np.ndarray | None, share: tuple[int, int]
+) -> list[tuple[int, int]]:
+    """Edges that join what pairs of different marks join whose sketches leave open that they are alike.
+
+    With ``second``, pairs of one that is and one that is not. No two alike sets
+    of different marks are left apart: the bits in which sketches differ are no
+    more than the hashes that only one of the two has.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, marks = sizes[order], marks[order]
+    second = second[order] if second is not None else None
+    # Sorted by size, sketches of one length follow each other.
+    lengths = np.array([len(s) for s in sketches])[order] // 8
+    tables, firsts = {}, {}
+    for words_ in np.unique(lengths).tolist():
+        rows = order[lengths == words_]
+        firsts[words_] = int(np.searchsorted(lengths, words_))
+        tables[words_] = np.frombuffer(b"".join(sketches[i] for i in rows), dtype=np.uint64).reshape(len(rows), words_)
+    root, edges = np.arange(len(sizes)), []
+    last = np.searchsorted(sizes, sizes * share[1] // share[0], "right")
+    for i in range(len(sizes)):
+        words_ = int(lengths[i])
+        own = tables[words_][i - firsts[words_]]
+        for wide in (words_, 2 * words_):
+            if wide not in tables:
+                continue
+            low = max(i + 1, firsts[wide])
+            high = min(int(last[i]), firsts[wide] + len(tables[wide]))
+            if low >= high:
+                continue
+            fits = marks[low:high] != marks[i]
+            if second is not None:
+                fits &= second[low:high] != second[i]
+            near = np.flatnonzero(fits) + low
+            if not len(near):
+                continue
+            others = tables[wide][near - firsts[wide]]
+            if wide > words_:
+                others = others[:, :words_] ^ others[:, words_:]
+            bits = np.bitwise_count(others ^ own).sum(axis=1, dtype=np.int64)
+            near = near[alike(sizes[i], sizes[near], (sizes[i] + sizes[near] - bits) // 2, share)]
+            for at in near[root[near] != root[i]].tolist():
+                if root[at] != root[i]:
+                    edges.append((int(order[i]), int(order[at])))
+                    root[root == root[at]] = root[i]
+    return edges
+
+
+def likely_groups(members: DataFrame, named: DataFrame, block: int, share: tuple[int, int]) -> DataFrame:
+    """``members`` in the groups that are left of theirs by sketches, which travel in place of texts.
+
+    A group is what pairs of different ``mark_``s hold together whose sketches
+    do not rule out that they are alike; most sets that only have a rare hash
+    in common are in none.
+    """
+    keys = ["group_", "low", "high"]
+    rows = in_blocks(members, "n_", "mark_", "sketch_").repartition(*keys).sortWithinPartitions(*keys, "second", "set_")
+    columns = {"a": "binary", "b": "binary"}
+    schema = arrow_schema(columns)
+    bounded_batches(members.sparkSession)
+
+    def task(batches):
+        key, held = None, []
+
+        def edges():
+            if len(held) < 2 or key[1] != key[2] and held[0][0] == held[-1][0]:
+                return []
+            second, names, sizes, marks, sketches = zip(*held)
+            sides = np.array(second) if key[1] != key[2] else None
+            found = likely_forest(np.array(sizes), list(sketches), np.array(marks), sides, share)
+            return [(names[i], names[j]) for i, j in found]
+
+        def batch_of(made):
+            arrays = [pa.array([a for a, _ in made], pa.binary()), pa.array([b for _, b in made], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+        for batch in batches:
+            made = []
+            for *place, second, name, n, mark, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != key:
+                    made += edges()
+                    key, held = place, []
+                held.append((second, name, n, mark, bits))
+            yield batch_of(made)
+        yield batch_of(edges())
+
+    links = staged(rows.mapInArrow(task, ddl(columns)).distinct(), "likely")
+    found = named.select("set_", "n_", "first_").join(components(links).withColumnRenamed("node", "set_"), "set_")
+    sizes = found.groupBy("root").agg(blocks(block))
+    out = staged(found.join(sizes, "root").select(F.col("root").alias("group_"), "blocks_", "set_", "first_"), "members")
+    spent(links)
+    return out
+
+
 def alike_links(docs: DataFrame, members: DataFrame, shingle: int, share: tuple[int, int]) -> DataFrame:
     """Edges (a, b) that join what exact similarity joins inside each group of ``members``.
 
@@ -418,20 +539,7 @@ def alike_links(docs: DataFrame, members: DataFrame, shingle: int, share: tuple[
     than their hashes. A group is searched for each block and each pair of its
     blocks, as in ``near_links``.
     """
-    own = F.pmod(F.xxhash64("set_"), F.col("blocks_")).cast("int")
-    placed = (
-        members.withColumn("own", own)
-        .select("group_", "own", "set_", "first_", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other"))
-        .select(
-            "group_",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            (F.col("own") > F.col("other")).alias("second"),
-            "set_",
-            F.col("first_.key_id_").alias("asked_id_"),
-            F.col("first_.key_hash_").alias("asked_hash_"),
-        )
-    )
+    placed = in_blocks(members, F.col("first_.key_id_").alias("asked_id_"), F.col("first_.key_hash_").alias("asked_hash_"))
     keys = ["group_", "low", "high"]
     same = F.col("key_id_").eqNullSafe(F.col("asked_id_")) & (F.col("key_hash_") == F.col("asked_hash_"))
     rows = docs.join(placed, same).select(*keys, "second", "set_", "text")
@@ -550,7 +658,7 @@ def repeated_rare(marked: DataFrame, part_entries: int = PART_ENTRIES) -> DataFr
 
 
 def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: int = PART_ENTRIES) -> DataFrame:
-    """Groups (group_, blocks_, set_, first_) of sets of several ``mark_``s that have a rare hash in common.
+    """Groups (group_, blocks_, set_, n_, mark_, sketch_) of sets of several ``mark_``s with a rare hash in common.
 
     ``marked`` rows have ``set_`` and ``rare_``; ``named`` has a row a set. A
     bitmap of the hashes that several sets have keeps the others from travelling.
@@ -579,7 +687,7 @@ def shared_rare(marked: DataFrame, named: DataFrame, block: int, part_entries: i
     at_once = sets.join(small, "root").select(F.xxhash64("root").alias("group_"), "blocks_", "set_")
     large = mixed.join(together.join(small, "root", "left_anti").select("set_"), "set_", "left_semi")
     found = at_once.unionByName(large.select(F.col("hash").alias("group_"), "blocks_", "set_"))
-    out = staged(found.join(named.select("set_", "first_"), "set_"), "members")
+    out = staged(found.join(named.select("set_", "n_", "mark_", "sketch_"), "set_"), "members")
     spent(mixed, ties, together)
     bits.unpersist()
     spent(repeated, rows)
@@ -601,7 +709,8 @@ def keep_one(
     Groups of near fingerprints say which texts are compared first, which joins
     nearly all. The few links that fingerprints miss are found by the rarest
     shingles of each set, of which two alike ones share one (``rare_first``):
-    texts that do and are not joined yet are compared as well.
+    texts that do and are not joined yet are compared as well, unless a short
+    sketch of each set rules a link out.
 
     The row of the smallest doc_id stays, rows without an id come last; of
     several, the one of the least text hash, and of equal rows one. Texts
@@ -617,8 +726,9 @@ def keep_one(
     # Equal sets are one node, which any of its rows can stand for.
     nodes = staged(
         marked.groupBy("set_").agg(
-            F.first("value_").alias("value"), F.first("n_").alias("n_"), F.min(F.struct("key_id_", "key_hash_")).alias("first_")
-        ),
+            F.first("value_").alias("value"), F.first("n_").alias("n_"), F.first("sketch_").alias("sketch_"),
+            F.min(F.struct("key_id_", "key_hash_")).alias("first_"),
+        ),
         "nodes",
     )
     links = staged(near_links(nodes.select("value").distinct(), scheme, tree), "links")
@@ -631,12 +741,14 @@ def keep_one(
     spent(links, members, edges)
     # What fingerprints miss: sets of different groups so far that have a rare hash in common.
     named = nodes.join(groups, nodes["set_"] == groups["node"], "left")
-    others = shared_rare(marked, staged(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), "named"), block)
+    named = staged(named.withColumn("mark_", F.xxhash64(F.coalesce("root", "set_"))), "named")
+    met = shared_rare(marked, named, block)
+    others = likely_groups(met, named, block, share)
     missed = staged(alike_links(narrow, others, shingle, share), "alike")
-    spent(others)
+    spent(met, others, named)
     if missed.limit(1).count():
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(missed))
-    marked = marked.drop("value_", "n_", "rare_")
+    marked = marked.drop("value_", "n_", "sketch_", "rare_")
     rows = marked.join(groups, marked["set_"] == groups["node"], "left").withColumn("root_", F.coalesce("root", "set_"))
     order = Window.partitionBy("root_").orderBy(F.col("key_id_").asc_nulls_last(), "key_hash_")
     first = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1)
