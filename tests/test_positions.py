@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.model import ColumnSpec, Position, TableSpec
 from tidelog.operators import positions as pos
 from tidelog.plans.sync import sync_once
+from tidelog.session import prepare
 from tidelog.sinks.targets import read_targets
 from tidelog.sources.change_log import CHANGE_LOG_SCHEMA
 
@@ -156,3 +158,16 @@ def test_a_start_inside_a_transaction_waits_for_its_commit(spark, tmp_path):
     done = log.unionByName(marked_log(spark, (850, "QUERY", "COMMIT")))
     rows, end = delivered(spark, done, tmp_path / "done", Position("f1", 750), [900])
     assert rows == [("(f1, 800):f1:700:0", "800")] and end == Position("f1", 900)
+
+
+def test_shuffled_bytes_of_a_task_are_bounded(spark):
+    """Sorted log rows take forty times their bytes in a shuffle."""
+    prepare(spark)
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        rows = spark.range(4_000_000).select(F.xxhash64("id").alias("h")).repartition("h")
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    finally:
+        spark.conf.set(name, before)
