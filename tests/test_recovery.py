@@ -198,6 +198,17 @@ def test_batches_are_exact_whatever_the_trigger_cuts(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def counted_rows(df, counter):
+    """``df``, which adds to ``counter`` the rows that are worked out."""
+
+    def task(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(task, df.schema)
+
+
 def test_backfill_goes_on_where_it_stopped(spark, tmp_path):
     rows = spark.range(1000).select(F.when(F.col("id") % 100 == 7, None).otherwise(F.col("id") * F.col("id")).alias("k"), F.col("id").cast("string").alias("v"))
     log = numbered_log(spark, [("b.000001", 40, "a", 1)])
@@ -238,6 +249,18 @@ def test_backfill_of_an_empty_table_is_complete(spark, tmp_path):
 
 
 
+def test_figures_of_written_rows_do_not_work_the_batch_out_again(spark, tmp_path):
+    counter, path, figures = spark.sparkContext.accumulator(0), str(tmp_path / "rows"), str(tmp_path / "figures")
+    batch = spark.range(50).select(
+        F.timestamp_seconds(F.col("id") + 100).alias("_cdc_timestamp"), F.lit("s").alias("_cdc_database"),
+        F.concat(F.lit("t"), F.col("id") % 2).alias("_cdc_table"),
+    )
+    sink = counting_sink(sinks.append_sink(path, "a"), figures, "a", sinks.appended(path, "a", batch.schema))
+    sink(counted_rows(batch, counter), 0)
+    assert counter.value == 50
+    assert sorted((r.table_name, r.n_rows) for r in read_figures(spark, figures).where("n_rows > 0").collect()) == [("s.t0", 25), ("s.t1", 25)]
+
+
 def test_live_figures_count_each_batch_once(spark, tmp_path):
     one = spark.sql(
         "SELECT timestamp_seconds(100 + id) AS _cdc_timestamp, 'INSERT' AS _cdc_operation, 's' AS _cdc_database, "
