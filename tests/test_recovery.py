@@ -209,6 +209,15 @@ def counted_rows(df, counter):
     return df.mapInArrow(task, df.schema)
 
 
+def test_exact_batches_work_a_batch_out_once_and_sort_bounded_parts(spark, tmp_path, monkeypatch):
+    counter, parts, chunks = spark.sparkContext.accumulator(0), [], sinks.row_chunks
+    monkeypatch.setattr(sinks, "row_chunks", lambda *given: parts.append(given[4]) or chunks(*given))
+    sink = sinks.exact_batch_sink(str(tmp_path / "b"), "a", ["t"], ["at"], 7, part_rows=100)
+    sink(counted_rows(spark.range(1000).select(F.lit("x").alias("t"), F.col("id").alias("at")), counter), 0)
+    assert parts == [10] and counter.value == 1000
+    assert not list((tmp_path / "b" / "taken").rglob("*.parquet"))
+
+
 def test_backfill_goes_on_where_it_stopped(spark, tmp_path):
     rows = spark.range(1000).select(F.when(F.col("id") % 100 == 7, None).otherwise(F.col("id") * F.col("id")).alias("k"), F.col("id").cast("string").alias("v"))
     log = numbered_log(spark, [("b.000001", 40, "a", 1)])
