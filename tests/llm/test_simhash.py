@@ -3,7 +3,7 @@ import pytest
 import xxhash
 
 from tidelog.llm.bitmaps import bitmap, holds
-from tidelog.llm.components import components
+from tidelog.llm.components import components, large_star, small_star
 from tidelog.llm.simhash import (
     ALIKE,
     CLOSE,
@@ -284,3 +284,11 @@ def test_only_sets_that_may_be_alike_send_their_texts(spark, blocks):
     found = likely_groups(members, members, 1 << 20, (4, 5)).collect()
     assert sorted(bytes(r["set_"])[0] for r in found) == [0, 30]
     assert len({bytes(r["group_"]) for r in found}) == 1
+
+
+def test_groups_are_found_without_broadcasts(spark):
+    """Sides that are small enough to broadcast, round after round, fill the driver."""
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "u bigint, v bigint")
+    for star in (large_star(edges), small_star(edges)):
+        plan = star._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

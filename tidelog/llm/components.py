@@ -5,7 +5,8 @@ its least neighbour, then its smaller ones, until nothing changes. Groups end
 as stars around their least node after about log(n) rounds. Each round is
 written to the shared folder, so lineage stays short and lost executors cost
 one round. Neighbour lists are never gathered: a node's least neighbour is an
-aggregate, and it is joined back to the node's edges.
+aggregate, and it is joined back to the node's edges. Joins are sorted ones, as
+broadcasts of many rounds would fill the driver.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def _least(edges: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     """Edge (v, least of u's) for each u and each neighbour v above u."""
     near = _both(edges)
-    joined = near.join(_least(near), near["u"] == F.col("k"))
+    joined = near.join(_least(near).hint("merge"), near["u"] == F.col("k"))
     return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
@@ -35,7 +36,7 @@ def small_star(edges: DataFrame) -> DataFrame:
     """Edge (v, least) for each u and each neighbour v below u, and for u itself."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     least = _least(down)
-    joined = down.join(least, down["u"] == F.col("k"))
+    joined = down.join(least.hint("merge"), down["u"] == F.col("k"))
     tied = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionAll(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -61,5 +62,5 @@ def components(edges: DataFrame) -> DataFrame:
         last = found
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = stars.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
-    alone = loops.join(stars.unionAll(roots), "node", "left_anti").withColumn("root", F.col("node"))
+    alone = loops.join(stars.unionAll(roots).hint("merge"), "node", "left_anti").withColumn("root", F.col("node"))
     return stars.unionAll(roots).unionAll(alone)

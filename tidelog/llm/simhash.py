@@ -304,7 +304,7 @@ def near_links(nodes: DataFrame, scheme: Scheme = CLOSE, tree: int = TREE) -> Da
     own = (F.pmod(F.xxhash64("value"), F.col("trees"))).cast("int")
     # Of a pair of trees both ends go to the pair's place; second tells the two apart.
     placed = (
-        keyed.join(sizes, "shard")
+        keyed.join(sizes.hint("merge"), "shard")
         .withColumn("own", own)
         .select("shard", "own", "value", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("other"))
         .select(
@@ -356,11 +356,12 @@ def grouped(marked: DataFrame, scheme: Scheme, tree: int) -> DataFrame:
     # Equal fingerprints are one node; the smallest id stands for its documents.
     nodes = staged(marked.groupBy(F.col("value_").alias("value")).agg(F.min("doc_id").alias("first_id")), "nodes")
     groups = components(staged(near_links(nodes, scheme, tree), "links"))
-    labelled = nodes.join(groups, nodes["value"] == groups["node"], "left").select(
+    # Sorted joins: what is small enough to broadcast here still fills the driver, as groups come in several parts.
+    labelled = nodes.join(groups.hint("merge"), nodes["value"] == groups["node"], "left").select(
         "value", "first_id", F.coalesce("root", "value").alias("root")
     )
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return labelled.join(smallest, "root").select(
+    return labelled.join(smallest.hint("merge"), "root").select(
         F.col("value").alias("named_value_"), F.col("root").alias("root_"), "component_id"
     )
 
@@ -377,7 +378,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CLOSE, shingle: int = SHIN
     plain = docs.drop("fingerprint", "component_id")
     marked = staged(with_fingerprint(plain, shingle, scheme.bits, "value_"), "fingerprints")
     named = grouped(marked, scheme, tree)
-    joined = marked.join(named, marked["value_"] == named["named_value_"])
+    joined = marked.join(named.hint("merge"), marked["value_"] == named["named_value_"])
     return joined.withColumn("fingerprint", F.lower(F.hex("value_"))).drop("value_", "named_value_", "root_")
 
 
