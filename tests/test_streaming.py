@@ -267,3 +267,46 @@ def test_resume_takes_the_log_in_bounded_batches(spark, monkeypatch):
     rows = sink_queries.resumed(spark, SF_DIR)
     assert len(sizes) > 4 and max(sizes) < sum(sizes) / 4
     assert rows.count() == rows.select("_insert_id").distinct().count() == sum(sizes) / 2
+
+
+def test_a_gate_keeps_no_images(spark, tmp_path):
+    """Keys alone pass the gate; images come from the log again, as often as the gate lets an event through."""
+    path, out = str(tmp_path / "log"), str(tmp_path / "out")
+    write_log(spark, [(1, 10, "WRITE_ROWS", 1), (1, 10, "WRITE_ROWS", 1), (2, 11, "WRITE_ROWS", 2), (5, 11, "WRITE_ROWS", None)], path)
+    write_log(spark, [(3, 13, "XID", 1), (4, 14, "WRITE_ROWS", 3)], path)
+    stream = stream_change_log(spark, path, max_files=1)
+    keys = jobs.gated_keys(stream, lambda events: commit_gate_stream(events, "1 minute", "1 minute"))
+    assert not {"rows", "image"} & set(keys.columns)
+    sink = jobs.change_rows_sink(str(tmp_path / "keys"), lambda: read_change_log(spark, path), sinks.append_sink(out, "a"))
+    jobs.run_once(keys, sink, str(tmp_path / "cp"), state=True)
+    whole = drain(spark, jobs.change_row_stream(stream, gate=("1 minute", "1 minute")), tmp_path, "whole")
+    got = sinks.read_batches(spark, out, whole.drop("run", "batch_id").schema)
+    assert sorted(map(tuple, got.select(whole.columns[:6]).collect())) == sorted(map(tuple, whole.select(whole.columns[:6]).collect()))
+    assert got.count() == 2 and not (tmp_path / "keys" / "run=keys" / "batch_id=0").exists()
+
+
+def test_leftovers_keep_rows_without_an_id(spark, tmp_path):
+    rows = [
+        (f, p, 10, kind, None, "app", "t", "u", no, images)
+        for f, p, kind, no, images in [
+            ("f", 1, "WRITE_ROWS", 1, [["a"], ["b"]]), (None, 2, "WRITE_ROWS", 1, [["c"]]), ("f", 3, "XID", 1, None),
+            ("f", 4, "UPDATE_ROWS", 2, [["d"], ["e"], ["x"]]), ("f", 4, "UPDATE_ROWS", 2, [["d"], ["e"], ["x"]]), ("f", 5, "WRITE_ROWS", 2, []),
+        ]
+    ]
+    log = spark.createDataFrame(rows, CHANGE_LOG_SCHEMA)
+    released = spark.createDataFrame([("(f, 1):u:1:0",), (None,)], f"{INSERT_ID} string")
+    got = sorted(("" if r.image is None else r.image[0], r.committed) for r in jobs.leftovers(log, released).collect())
+    assert got == [("b", True), ("c", True), ("e", False), ("e", False)]
+
+
+def test_snapshots_of_state_follow_its_changes(spark, tmp_path):
+    """Changes that a snapshot holds can go; without snapshots the folder grows with the log."""
+    with jobs.state_settings(spark):
+        assert int(spark.conf.get("spark.sql.streaming.stateStore.minDeltasForSnapshot")) <= 2
+
+
+def test_steps_of_the_gate_are_bounded(spark, monkeypatch):
+    log = spark.range(1000)
+    monkeypatch.setattr(d, "EVENTS_PER_FILE", 10)
+    assert d.step_shape(log, d.GATE_FILES_PER_STEP) == (25, 4)
+    assert d.step_shape(log) == (5, 20)
